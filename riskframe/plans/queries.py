@@ -513,3 +513,295 @@ def q_kpi_subset(spark, d):
     """Five headline metrics under short names, 0 when missing."""
     sp = scored_orders(spark, d)
     return evaluate.kpi_subset(evaluate.metrics_long(evaluate.evaluation_summary(sp)))
+
+
+# =====================================================================
+# Step 4 - encoding, splitting, scoring
+# =====================================================================
+
+@query("string_index", """
+WITH e AS (SELECT event_id, nullif(event_type, 'view') AS event_type FROM events),
+f AS (SELECT event_type, count(*) AS n FROM e WHERE event_type IS NOT NULL GROUP BY event_type),
+r AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx FROM f),
+k AS (SELECT CAST(count(*) AS DOUBLE) AS k FROM f)
+SELECT e.event_id, e.event_type, coalesce(r.idx, k.k) AS event_type_idx
+FROM e LEFT JOIN r ON e.event_type = r.event_type CROSS JOIN k""")
+def q_string_index(spark, d):
+    """M1: frequency-ordered index, ties alphabetical; null -> extra last index."""
+    e = tbl(spark, d, "events").select("event_id", F.expr("nullif(event_type, 'view')").alias("event_type"))
+    out, _ = encode.string_index(e, ["event_type", "no_such_column"])
+    return out
+
+
+SPLIT_KEY_SQL = "('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 7))::BIGINT % 100 < 80"
+Z_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("hash_split", f"SELECT l_orderkey, l_linenumber, {SPLIT_KEY_SQL} AS is_train FROM lineitem")
+def q_hash_split(spark, d):
+    """M4: md5-bucket 80/20 split of the line key."""
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
+
+
+@query("split_sizes", f"""
+WITH s AS (SELECT {SPLIT_KEY_SQL} AS t FROM lineitem)
+SELECT CAST(count(*) FILTER (WHERE t) AS BIGINT) AS train_rows,
+       CAST(count(*) FILTER (WHERE NOT t) AS BIGINT) AS test_rows,
+       CAST(count(*) AS BIGINT) AS total_rows,
+       {r6('count(*) FILTER (WHERE t) * 100.0 / count(*)')} AS train_pct,
+       {r6('count(*) FILTER (WHERE NOT t) * 100.0 / count(*)')} AS test_pct
+FROM s""")
+def q_split_sizes(spark, d):
+    """Train / test / total counts and shares."""
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return model.split_sizes(model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8))
+
+
+ZSTATS_SQL = f"""s AS (SELECT l_orderkey, l_linenumber, {", ".join(Z_COLS)}, {SPLIT_KEY_SQL} AS is_train FROM lineitem),
+st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in Z_COLS)} FROM s WHERE is_train)"""
+
+
+@query("zscore", f"""
+WITH {ZSTATS_SQL}
+SELECT l_orderkey, l_linenumber, is_train,
+       {", ".join(f"{r6(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END')} AS {c}_z" for c in Z_COLS)}
+FROM s, st""")
+def q_zscore(spark, d):
+    """M3: z-scores with mean / sample std of the training rows only."""
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *Z_COLS)
+    flagged = model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
+    st = encode.zscore_fit(flagged.where("is_train"), Z_COLS)
+    return encode.zscore_apply(flagged, st).select("l_orderkey", "l_linenumber", "is_train",
+                                                   *[c + "_z" for c in Z_COLS])
+
+
+# Fixed weights of the scoring fixture (position order = Z_COLS) and intercept.
+SCORE_WEIGHTS = (0.8, -0.5, 1.2, -0.3)
+SCORE_INTERCEPT = -0.1
+
+
+@query("score_batch", f"""
+WITH {ZSTATS_SQL},
+z AS (SELECT l_orderkey, l_linenumber, {SCORE_INTERCEPT} + {" + ".join(
+    f"{w} * (({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)" for w, c in zip(SCORE_WEIGHTS, Z_COLS))} AS z
+      FROM s, st),
+p AS (SELECT *, 1.0 / (1.0 + exp(-z)) AS probability FROM z)
+SELECT l_orderkey, l_linenumber, {r6('z')} AS z, {r6('probability')} AS probability,
+       CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction,
+       CASE WHEN probability >= 0.5 THEN 'severe (severity 3-4)' ELSE 'minor (severity 1-2)' END AS caption
+FROM p""")
+def q_score_batch(spark, d):
+    """Scoring from a coefficient table (weights + training mean / std)."""
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *Z_COLS)
+    flagged = model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
+    st = encode.zscore_fit(flagged.where("is_train"), Z_COLS)
+    rows = [(i, c, w, st[c][0], st[c][1]) for i, (w, c) in enumerate(zip(SCORE_WEIGHTS, Z_COLS))]
+    rows.append((-1, "(intercept)", SCORE_INTERCEPT, 0.0, 1.0))
+    coefs = spark.createDataFrame(rows, "position int, feature string, coefficient double, mean double, std double")
+    return score.score_batch(li, coefs).select("l_orderkey", "l_linenumber", "z", "probability",
+                                               "prediction", "caption")
+
+
+# Fixed category map of the lookup fixture; other values fall back to 0.0.
+EVENT_TYPE_MAP = {"click": 1.0, "purchase": 2.0, "view": 3.0}
+
+
+@query("category_lookup", """
+WITH m AS (SELECT * FROM (VALUES ('click', 1.0), ('purchase', 2.0), ('view', 3.0)) v(value, idx))
+SELECT e.event_id, e.event_type, CAST(coalesce(m.idx, 0.0) AS DOUBLE) AS event_type_idx
+FROM events e LEFT JOIN m ON e.event_type = m.value""")
+def q_category_lookup(spark, d):
+    """Category -> index through a broadcast map; unknown -> 0.0."""
+    e = tbl(spark, d, "events").select("event_id", "event_type")
+    return encode.category_lookup(e, "event_type", EVENT_TYPE_MAP)
+
+
+@query("category_lookup_fitted", """
+WITH f AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type),
+r AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx FROM f)
+SELECT o.o_orderkey, o.o_orderstatus, CAST(coalesce(r.idx, 0.0) AS DOUBLE) AS o_orderstatus_idx
+FROM orders o LEFT JOIN r ON o.o_orderstatus = r.event_type""")
+def q_category_lookup_fitted(spark, d):
+    """M1 map saved as a table (S5) and applied with a size-checked broadcast join."""
+    m = encode.fit_string_index(tbl(spark, d, "events"), ["event_type"])
+    mapping = encode.index_table(spark, m).select("value", "idx")
+    o = tbl(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return encode.category_lookup(o, "o_orderstatus", mapping)
+
+
+@query("parse_reject", """
+WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN props ELSE CAST(value AS VARCHAR) END AS raw
+           FROM events)
+SELECT event_id, TRY_CAST(trim(raw) AS DOUBLE) AS raw_num,
+       (raw IS NOT NULL AND TRY_CAST(trim(raw) AS DOUBLE) IS NULL) AS rejected
+FROM e""")
+def q_parse_reject(spark, d):
+    """Text -> double with a reject flag instead of a failed job."""
+    e = tbl(spark, d, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.col("props"))
+        .otherwise(F.col("value").cast("string")).alias("raw"))
+    return encode.parse_numeric(e, ["raw"]).select("event_id", "raw_num", "rejected")
+
+
+# =====================================================================
+# Step 5 - training (not expressible in static SQL: rows-only checks)
+# =====================================================================
+
+TRAIN_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _train_lineitem(spark, d):
+    li = tbl(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", *TRAIN_FEATURES,
+        (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return model.train_model(li, TRAIN_FEATURES, "label", ["l_orderkey", "l_linenumber"], 0.8,
+                             max_iter=50, reg_param=0.01, elastic_net=0.0)
+
+
+@query("train_score")
+def q_train_score(spark, d):
+    """M2-M6: pipeline fitted on the training rows, test rows scored."""
+    fitted, _, test = _train_lineitem(spark, d)
+    return model.predict(fitted, test).select("l_orderkey", "l_linenumber", "label", "p1", "prediction")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    """M7 + O2: coefficient table ranked by absolute weight."""
+    fitted, _, _ = _train_lineitem(spark, d)
+    return model.feature_importance(model.coefficient_table(fitted, TRAIN_FEATURES))
+
+
+@query("auc_mllib_binned")
+def q_auc_mllib_binned(spark, d):
+    """A16 as the original reports it: MLlib's 1000-bin down-sampled AUC of the test rows."""
+    fitted, _, test = _train_lineitem(spark, d)
+    v = evaluate.auc_binned(model.predict(fitted, test), "label")
+    return spark.createDataFrame([(float(v),)], "auc_roc_binned double")
+
+
+# =====================================================================
+# Step 6 - documented customer features
+# =====================================================================
+
+@query("txn_clean", """
+SELECT l_orderkey AS invoice, l_partkey AS item, l_quantity AS quantity, l_extendedprice AS price,
+       CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS invoice_ts
+FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)
+  AND l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice) AND l_shipdate IS NOT NULL
+  AND l_quantity > 0 AND l_extendedprice > 0""")
+def q_txn_clean(spark, d):
+    """D1 + D2: transactions with all keys present, positive quantity / price, parsed date."""
+    li = tbl(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("invoice"), F.col("l_partkey").alias("item"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("invoice_date"))
+    return clean.txn_clean(li, "invoice", "item", "quantity", "price", "invoice_date", "yyyy-MM-dd")
+
+
+@query("rfm", f"""
+WITH m AS (SELECT max(o_orderdate) AS md FROM orders)
+SELECT o_custkey, CAST(date_diff('day', max(o_orderdate), any_value(md)) AS BIGINT) AS recency_days,
+       CAST(count(DISTINCT o_orderkey) AS BIGINT) AS frequency, {r6('sum(o_totalprice)')} AS monetary,
+       CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS BIGINT) AS lifespan_days,
+       {r6('sum(o_totalprice) / count(DISTINCT o_orderkey)')} AS avg_order_value
+FROM orders, m GROUP BY o_custkey""")
+def q_rfm(spark, d):
+    """D3: recency, frequency, monetary, life span, average order value per customer."""
+    return features.rfm(tbl(spark, d, "orders"), "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+QF_SQL = """qf AS (
+  SELECT o_custkey, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS BIGINT) AS quarter_idx,
+         sum(o_totalprice) AS amt, count(DISTINCT o_orderkey) AS n
+  FROM orders GROUP BY 1, 2),
+qf2 AS (SELECT o_custkey, quarter_idx, CAST(quarter_idx // 4 AS BIGINT) AS year,
+               CAST(quarter_idx % 4 + 1 AS INTEGER) AS quarter, amt AS quarter_amount,
+               CAST(n AS BIGINT) AS quarter_frequency, amt / n AS quarter_avg_value FROM qf)"""
+QF_COLS_SQL = (f"o_custkey, quarter_idx, year, quarter, {r6('quarter_amount')} AS quarter_amount, "
+               f"quarter_frequency, {r6('quarter_avg_value')} AS quarter_avg_value")
+TREND_SQL = """qt AS (SELECT *, CAST(CASE WHEN lag(quarter_idx) OVER w = quarter_idx - 1
+                  THEN sign(quarter_amount - lag(quarter_amount) OVER w) ELSE 0 END AS INTEGER) AS purchase_trend,
+                 CASE WHEN lead(quarter_idx) OVER w = quarter_idx + 1 THEN 1 ELSE 0 END AS label
+           FROM qf2 WINDOW w AS (PARTITION BY o_custkey ORDER BY quarter_idx))"""
+
+
+@query("quarter_features", f"WITH {QF_SQL} SELECT {QF_COLS_SQL} FROM qf2")
+def q_quarter_features(spark, d):
+    """Amount, orders and average value per customer quarter."""
+    return features.quarter_features(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                     "o_orderdate", "o_totalprice")
+
+
+@query("quarter_trend", f"WITH {QF_SQL}, {TREND_SQL} SELECT {QF_COLS_SQL}, purchase_trend FROM qt")
+def q_quarter_trend(spark, d):
+    """Sign of the change against the adjacent previous quarter."""
+    qf = features.quarter_features(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                   "o_orderdate", "o_totalprice")
+    return features.quarter_trend(qf, "o_custkey")
+
+
+@query("next_quarter_label", f"""WITH {QF_SQL}, {TREND_SQL}
+SELECT {QF_COLS_SQL}, purchase_trend, label FROM qt
+WHERE quarter_idx < (SELECT max(quarter_idx) FROM qf2)""")
+def q_next_quarter_label(spark, d):
+    """1 when the customer buys in the next quarter; last quarter dropped."""
+    return features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                           "o_orderdate", "o_totalprice")
+
+
+QSTAT_FEATURES = ("quarter_amount", "quarter_frequency", "quarter_avg_value", "purchase_trend")
+
+
+@query("quarter_stats", _column_stats_sql(
+    f"WITH {QF_SQL}, {TREND_SQL}, lab AS (SELECT * FROM qt WHERE quarter_idx < (SELECT max(quarter_idx) FROM qf2)) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM lab" for c in QSTAT_FEATURES)))
+def q_quarter_stats(spark, d):
+    """Statistics of the customer-quarter features."""
+    t = features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                        "o_orderdate", "o_totalprice")
+    return stats.column_stats(t, list(QSTAT_FEATURES))
+
+
+@query("quarter_label_distribution", f"""WITH {QF_SQL}, {TREND_SQL}
+SELECT label, count(*) AS count FROM qt WHERE quarter_idx < (SELECT max(quarter_idx) FROM qf2)
+GROUP BY label ORDER BY label""")
+def q_quarter_label_distribution(spark, d):
+    """Next-quarter label distribution."""
+    t = features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                        "o_orderdate", "o_totalprice")
+    return stats.distribution(t, "label")
+
+
+@query("train_score_quarter")
+def q_train_score_quarter(spark, d):
+    """Probability that a customer buys next quarter (trained on customer quarters)."""
+    t = features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                        "o_orderdate", "o_totalprice")
+    feats = ["quarter_amount", "quarter_frequency", "quarter_avg_value", "purchase_trend"]
+    fitted, _, test = model.train_model(t, feats, "label", ["o_custkey", "quarter_idx"], 0.8)
+    return model.predict(fitted, test).select("o_custkey", "quarter_idx", "label", "p1", "prediction")
+
+
+# =====================================================================
+# Step 7 - sources and sinks
+# =====================================================================
+
+@query("scan_csv_roundtrip", "SELECT * FROM orders")
+def q_scan_csv_roundtrip(spark, d):
+    """Orders written as a CSV directory, read back with its schema."""
+    o = tbl(spark, d, "orders")
+    path = files.write_table(o, scratch_dir(spark, "orders-csv"), fmt="csv")
+    return files.read_table(spark, path, "csv", o.schema)
+
+
+@query("sink_report", f"""
+WITH {LABELLED_SQL}
+SELECT severity, count(*) AS count FROM lb GROUP BY severity""")
+def q_sink_report(spark, d):
+    """S4 + S7: a small report written as one CSV file and read back."""
+    dist = stats.severity_distribution(_labelled_orders(spark, d), "severity")
+    path = reports.write_report(dist, scratch_dir(spark, "severity-report"))
+    return reports.read_report(spark, path, "severity int, count bigint")
