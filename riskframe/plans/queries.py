@@ -19,7 +19,8 @@ from ..operators import clean, encode, evaluate, features, model, quantiles, sco
 from ..session import scratch_dir
 from ..sources import files, reports
 from ..sources.tables import load_table
-from .incidents import SCORED_SQL, incidents, scored_orders
+from . import pipeline
+from .incidents import INCIDENT_MEASURES, INCIDENT_SPEC, SCORED_SQL, incidents, scored_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -235,8 +236,10 @@ agg AS (
   SELECT l.feature AS Feature, CAST(count(x) AS BIGINT) AS Count, avg(x) AS Mean,
          quantile_cont(x, 0.5) AS Median, stddev_samp(x) AS Std, min(x) AS Min, max(x) AS Max,
          quantile_cont(x, 0.25) AS Q1, quantile_cont(x, 0.75) AS Q3,
-         avg((x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 1.5) AS Skewness,
-         avg((x - m) * (x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 2) - 3 AS Kurtosis
+         CASE WHEN avg((x - m) * (x - m)) = 0 THEN NULL
+              ELSE avg((x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 1.5) END AS Skewness,
+         CASE WHEN avg((x - m) * (x - m)) = 0 THEN NULL
+              ELSE avg((x - m) * (x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 2) - 3 END AS Kurtosis
   FROM long l JOIN mu ON l.feature = mu.feature GROUP BY l.feature)
 SELECT Feature, Count, {", ".join(r6(c) + " AS " + c for c in
     ("Mean", "Median", "Std", "Min", "Max", "Q1", "Q3", "Skewness", "Kurtosis"))}{select_extra}
@@ -805,3 +808,48 @@ def q_sink_report(spark, d):
     dist = stats.severity_distribution(_labelled_orders(spark, d), "severity")
     path = reports.write_report(dist, scratch_dir(spark, "severity-report"))
     return reports.read_report(spark, path, "severity int, count bigint")
+
+
+# =====================================================================
+# End-to-end job on the incident table (lineitem x orders)
+# =====================================================================
+
+def _incident_not_null():
+    cols = ("l_orderkey", "l_linenumber", "Severity", "Start_Time") + INCIDENT_MEASURES + (
+        "l_returnflag", "l_linestatus")
+    return _not_null_sql(cols, INCIDENT_MEASURES)
+
+
+@query("incident_prepare", f"""
+WITH j AS (
+  SELECT l_orderkey, l_linenumber, {SEVERITY_SQL} AS Severity, o_orderdate AS Start_Time,
+         {", ".join(INCIDENT_MEASURES)}, l_returnflag, l_linestatus
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+c AS (SELECT DISTINCT * FROM j WHERE {_incident_not_null()})
+SELECT *, CAST(hour(Start_Time) AS INTEGER) AS Hour, CAST(dayofweek(Start_Time) + 1 AS INTEGER) AS Weekday,
+       CAST(month(Start_Time) AS INTEGER) AS Month, CASE WHEN Severity >= 3 THEN 1 ELSE 0 END AS label
+FROM c""")
+def q_incident_prepare(spark, d):
+    """E1 over a join: clean, time features and label of the incident table."""
+    return pipeline.prepare(incidents(spark, d), INCIDENT_SPEC)
+
+
+@query("incident_column_stats", _column_stats_sql(
+    f"""WITH j AS (SELECT DISTINCT l_orderkey, l_linenumber, {SEVERITY_SQL} AS Severity, o_orderdate AS Start_Time,
+         {", ".join(INCIDENT_MEASURES)}, l_returnflag, l_linestatus
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+c AS (SELECT *, CAST(hour(Start_Time) AS INTEGER) AS Hour, CAST(dayofweek(Start_Time) + 1 AS INTEGER) AS Weekday,
+        CAST(month(Start_Time) AS INTEGER) AS Month FROM j WHERE {_incident_not_null()}) """
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM c"
+                         for c in ("l_orderkey", "l_linenumber") + INCIDENT_MEASURES + ("Hour", "Weekday", "Month"))))
+def q_incident_column_stats(spark, d):
+    """A7 on the prepared incident table: every numeric column but target and label."""
+    prep = pipeline.prepare(incidents(spark, d), INCIDENT_SPEC)
+    feats = [c for c in numeric_columns(prep, ("Severity", "label"))]
+    return stats.column_stats(prep, feats)
+
+
+@query("pipeline_metrics")
+def q_pipeline_metrics(spark, d):
+    """The whole job (prepare, describe, train, evaluate) -> 16-row report."""
+    return pipeline.run_pipeline(spark, INCIDENT_SPEC, incidents(spark, d)).metrics
