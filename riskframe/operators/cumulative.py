@@ -30,7 +30,8 @@ MAX_BUCKETS = 100_000
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows whose ``order_col`` <= this row's
-    (inclusive, ascending). ``order_col`` must be unique and numeric."""
+    (inclusive, ascending) and ``total_<c>`` = the grand total.
+    ``order_col`` must be unique and numeric."""
     spark = df.sparkSession
     nb = min(MAX_BUCKETS, max(1, buckets or shuffle_partitions(spark)))
     if nb > 1:
@@ -49,12 +50,15 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     runs = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_run_{c}") for c in sum_cols])
 
     totals = bucketed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    # at most len(splits) rows: a single-partition window here is bounded
+    # at most len(splits) rows: single-partition windows here are bounded
     w_off = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(F.lit(0))
     offsets = totals.select("_bucket", *[
-        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_tot_{c}").over(w_all).alias(f"_all_{c}") for c in sum_cols])
 
     out = runs.join(F.broadcast(offsets), "_bucket")
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
                       *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"{prefix}{c}")
-                        for c in sum_cols])
+                        for c in sum_cols],
+                      *[F.col(f"_all_{c}").alias(f"total_{c}") for c in sum_cols])

@@ -157,15 +157,13 @@ def roc_table(pred: DataFrame, label: str = "label", score: str = "p1",
     """Per distinct score: positives / negatives with scores >= it (a
     distributed running total, no global single-task window)."""
     g = _score_table(pred, label, score, bins)
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = float(tot["P"] or 0.0), float(tot["N"] or 0.0)
     cum = running_totals(g, "score", ["pos", "neg"])
     return cum.select(
         "score", "pos", "neg",
-        (F.lit(P) - F.col("cum_pos") + F.col("pos")).alias("tp"),
-        (F.lit(N) - F.col("cum_neg") + F.col("neg")).alias("fp"),
+        (F.col("total_pos") - F.col("cum_pos") + F.col("pos")).alias("tp"),
+        (F.col("total_neg") - F.col("cum_neg") + F.col("neg")).alias("fp"),
         (F.col("cum_neg") - F.col("neg")).alias("neg_below"),
-        F.lit(P).alias("P"), F.lit(N).alias("N"))
+        F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "p1",

@@ -1,21 +1,26 @@
 """Exact and approximate quantiles without gathering a group into one task.
 
-``exact_quantiles`` finds order statistics by iterative range narrowing.
-Each pass is one scan plus a two-phase aggregate over
-``(target, bucket)``, so only small per-bucket counts are shuffled. No value
-list is ever buffered per group, unlike the ``percentile`` aggregate,
-whose final merge holds every value of a group in one task.
-
-  pass 0: count, min, max per (group, feature)
-  pass k: rows inside each target's current [lo, hi] are cut into B
-          equal-width buckets -> (count, min, max) per bucket; the bucket that
-          holds the target rank becomes the next [lo, hi]
-  final:  when a target's range holds <= ``final_rows`` values (or lo == hi)
-          those few values are fetched and the rank is read off exactly.
-
-Interpolation follows the linear rule h = p*(n-1),
-v = x[floor h] + (h - floor h) * (x[ceil h] - x[floor h]), i.e. the
-``percentile`` / ``quantile_cont`` / numpy default.
+``exact_quantiles`` finds order statistics by bracketing and narrowing:
+
+  pass 1: per (group, feature) count, min, max and a mergeable quantile
+          sketch (``percentile_approx``, rank error <= n / accuracy) read at
+          p -/+ a margin: a value bracket [lo, hi] around every wanted rank.
+          Callers that already aggregate the column (``column_stats``) fuse
+          this into their own single aggregate.
+  pass k: one scan; every value falls in exactly one slot of its (group,
+          feature): a gap between brackets (only counted) or a bracket,
+          inside which it is counted per equal-width bucket (the bucket
+          holding the rank becomes the next bracket) or, once the bracket is
+          small, per distinct value so the rank is read off exactly.
+
+Only per-slot / per-bucket / per-value counts are shuffled, never a group's
+value list (the ``percentile`` aggregate's final merge would hold every
+value of a group in one task). Ranks are located from cumulative counts
+over all slots, so a bracket the sketch got wrong only costs one more pass
+(the gap holding the rank becomes the bracket): results are always exact.
+
+Interpolation: h = p*(n-1), v = x[floor h] + (h - floor h)*(x[ceil h] - x[floor h])
+(``percentile`` / ``quantile_cont`` / numpy default).
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from pyspark.sql import types as T
 from ..functions import col
 
 MAX_TARGETS = 50_000        # size bound of the broadcast target table
+SKETCH_ACCURACY = 10_000    # rank error of the bracketing sketch: n / 10_000
+FINAL_ROWS = 4096           # a bracket with at most this many rows is resolved by value
 
 
 def stack_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -46,112 +53,168 @@ def stack_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[st
     return st.where(cond)
 
 
-def _target_df(spark: SparkSession, rows, group_fields) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField("_tid", T.LongType(), False)]
-        + [T.StructField(f"_g_{f.name}", f.dataType, True) for f in group_fields]
-        + [T.StructField("_feature", T.StringType(), False),
-           T.StructField("_lo", T.DoubleType(), False),
-           T.StructField("_hi", T.DoubleType(), False)])
-    return spark.createDataFrame(rows, schema)
-
-
-def _join_targets(long: DataFrame, targets: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    cond = long["feature"] == targets["_feature"]
-    for g in group_cols:
-        cond = cond & long[g].eqNullSafe(targets[f"_g_{g}"])
-    cond = cond & (long["x"] >= targets["_lo"]) & (long["x"] <= targets["_hi"])
-    # the target table is bounded by MAX_TARGETS rows, so broadcasting it is safe
-    return long.join(F.broadcast(targets), cond, "inner")
-
-
-def order_statistics(df: DataFrame, value_cols: Sequence[str], ranks_for,
-                     group_cols: Sequence[str] = (), bins: int = 1024,
-                     final_rows: int = 4096):
+def bracket_probs(probs: Sequence[float], accuracy: int = SKETCH_ACCURACY) -> list[float]:
+    """Sketch probabilities read around each wanted probability (p -/+ 3/accuracy)."""
+    m = 3.0 / accuracy
+    out = []
+    for p in probs:
+        out += [max(0.0, p - m), min(1.0, p + m)]
+    return out
+
+
+def summary_aggs(x: str, probs: Sequence[float], accuracy: int = SKETCH_ACCURACY) -> list:
+    """Aggregates of pass 1 (fusable into a caller's aggregate): NaN-free count,
+    min, max and the sketch brackets."""
+    v = F.when(~F.isnan(x), F.col(x))
+    arr = F.array(*[F.lit(float(b)) for b in bracket_probs(probs, accuracy)])
+    return [F.count(v).alias("_qn"), F.min(v).alias("_qmn"), F.max(v).alias("_qmx"),
+            F.percentile_approx(v, arr, accuracy).alias("_qsk")]
+
+
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    h = p * (n - 1)
+    return int(math.floor(h)), int(math.ceil(h))
+
+
+def _bracket_df(spark: SparkSession, rows, group_fields, k: int) -> DataFrame:
+    fields = [T.StructField(f"_g_{f.name}", f.dataType, True) for f in group_fields]
+    fields.append(T.StructField("_feature", T.StringType(), False))
+    for i in range(k):
+        fields += [T.StructField(f"_lo{i}", T.DoubleType(), False),
+                   T.StructField(f"_hi{i}", T.DoubleType(), False),
+                   T.StructField(f"_nb{i}", T.IntegerType(), False)]   # 0 = by value
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
+def _merge(brackets):
+    """Sort brackets [lo, hi, est] and merge overlapping ones (disjoint result)."""
+    out = []
+    for lo, hi, est in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+            out[-1][2] += est
+        else:
+            out.append([lo, hi, est])
+    return out
+
+
+def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
+                     group_cols: Sequence[str] = (), summary: list | None = None,
+                     bins: int = 1024, final_rows: int = FINAL_ROWS,
+                     accuracy: int = SKETCH_ACCURACY):
     """Return ({(group_tuple, feature): n}, {(group_tuple, feature, rank): value}).
 
-    ``ranks_for(n)`` gives the 0-based ranks wanted for a group of size n.
+    ``summary`` (optional) are rows with the group columns, ``feature`` and
+    the ``summary_aggs`` fields, when the caller already computed them.
+
+    Each resolving pass maps every value to exactly one slot of its
+    (group, feature): a gap between brackets (counted, min, max) or a
+    bracket (counted per bucket, or per distinct value once small). The
+    per-(group, feature) bracket arrays are a bounded broadcast table joined
+    on equality, so no row is duplicated.
     """
     spark = df.sparkSession
     long = stack_long(df, value_cols, group_cols)
-    gcols = [F.col(g) for g in group_cols]
-    base = long.groupBy(*gcols, F.col("feature")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
-    if len(base) * 2 > MAX_TARGETS:
-        raise ValueError(f"too many (group, feature) cells for exact quantiles: {len(base)}")
+    if summary is None:
+        summary = long.groupBy(*[F.col(g) for g in group_cols], "feature").agg(
+            *summary_aggs("x", probs, accuracy)).collect()
+    if len(summary) * len(probs) * 2 > MAX_TARGETS:
+        raise ValueError(f"too many (group, feature, rank) targets: {len(summary) * len(probs) * 2}")
     group_fields = [df.schema[g] for g in group_cols]
 
     sizes: dict = {}
-    state: dict = {}     # key -> [lo, hi, below, rank]
     values: dict = {}
-    for r in base:
+    pending: dict = {}   # (gkey, feature) -> {rank: [lo, hi, est]}
+    for r in summary:
         gkey = tuple(r[g] for g in group_cols)
-        sizes[(gkey, r["feature"])] = r["n"]
-        for rank in sorted(set(ranks_for(r["n"]))):
-            key = (gkey, r["feature"], rank)
-            if r["mn"] == r["mx"]:
-                values[key] = r["mn"]
-            else:
-                state[key] = [r["mn"], r["mx"], 0, rank, r["n"]]
-
-    def _rows(keys):
-        return [(i, *k[0], k[1], float(state[k][0]), float(state[k][1])) for i, k in enumerate(keys)]
-
-    while state:
-        final = [k for k, s in state.items() if s[4] <= final_rows]
-        narrow = [k for k, s in state.items() if s[4] > final_rows]
-        if final:
-            t = _target_df(spark, _rows(final), group_fields)
-            got: dict[int, list] = {}
-            for r in _join_targets(long, t, group_cols).select("_tid", "x").collect():
-                got.setdefault(r["_tid"], []).append(r["x"])
-            for i, k in enumerate(final):
-                xs = sorted(got.get(i, []))
-                lo, hi, below, rank, _ = state.pop(k)
-                values[k] = xs[rank - below]
-        if narrow:
-            nb = max(16, min(bins, 400_000 // len(narrow)))
-            t = _target_df(spark, _rows(narrow), group_fields)
-            j = _join_targets(long, t, group_cols)
-            bucket = F.least(
-                F.floor((F.col("x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(nb)),
-                F.lit(nb - 1)).cast("int")
-            hist = (j.groupBy("_tid", bucket.alias("_b"))
-                     .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                     .collect())
-            per: dict[int, list] = {}
-            for r in hist:
-                per.setdefault(r["_tid"], []).append((r["_b"], r["c"], r["mn"], r["mx"]))
-            for i, k in enumerate(narrow):
-                s = state[k]
-                cum = s[2]
-                for b, c, mn, mx in sorted(per[i]):
-                    if cum + c > s[3]:
-                        if mn == mx:
-                            values[k] = mn
-                            del state[k]
+        n = r["_qn"]
+        sizes[(gkey, r["feature"])] = n
+        if not n:
+            continue
+        sk = r["_qsk"] or []
+        est_sk = max(1, int(n * 6.0 / accuracy) + 2)
+        for i, p in enumerate(probs):
+            for rank in _ranks(p, n):
+                if r["_qmn"] == r["_qmx"]:
+                    values[(gkey, r["feature"], rank)] = r["_qmn"]
+                elif len(sk) > 2 * i + 1:
+                    pending.setdefault((gkey, r["feature"]), {})[rank] = [sk[2 * i], sk[2 * i + 1], est_sk]
+                else:
+                    pending.setdefault((gkey, r["feature"]), {})[rank] = [r["_qmn"], r["_qmx"], n]
+
+    gcols = [F.col(g) for g in group_cols]
+    while pending:
+        merged_by_key = {key: _merge([tuple(v) for v in {tuple(b) for b in ranks.values()}])
+                         for key, ranks in pending.items()}
+        k = max(len(m) for m in merged_by_key.values())
+        nb_wide = max(16, min(bins, 400_000 // max(1, len(pending))))
+        rows = []
+        for (gkey, f), merged in merged_by_key.items():
+            flat = []
+            for i in range(k):
+                if i < len(merged):
+                    lo_, hi_, est = merged[i]
+                    flat += [float(lo_), float(hi_), 0 if (est <= final_rows or lo_ == hi_) else nb_wide]
+                else:   # padding: NaN bounds never compare true
+                    flat += [math.nan, math.nan, 0]
+            rows.append((*gkey, f, *flat))
+        t = _bracket_df(spark, rows, group_fields, k)
+        cond = long["feature"] == t["_feature"]
+        for g in group_cols:
+            cond = cond & long[g].eqNullSafe(t[f"_g_{g}"])
+        # one row per (group, feature), bounded by MAX_TARGETS: broadcast, no data shuffle
+        j = long.join(F.broadcast(t), cond, "inner")
+        x = F.col("x")
+        n_lo = sum((x >= F.col(f"_lo{i}")).cast("int") for i in range(k))   # brackets started
+        n_hi = sum((x > F.col(f"_hi{i}")).cast("int") for i in range(k))    # brackets passed
+        j = j.select(*gcols, "feature", "x", n_lo.alias("_l"), n_hi.alias("_h"),
+                     *[F.col(f"_{c}{i}") for i in range(k) for c in ("lo", "hi", "nb")])
+        inside = F.col("_l") > F.col("_h")
+        slot = F.when(inside, F.col("_l") * 2 - 1).otherwise(F.col("_l") * 2)
+
+        def pick(c):
+            e = F.lit(None)
+            for i in reversed(range(k)):
+                e = F.when(F.col("_l") == i + 1, F.col(f"_{c}{i}")).otherwise(e)
+            return e
+        nb, lo, hi = pick("nb"), pick("lo"), pick("hi")
+        bucket = F.when(~inside | (nb == 0), F.lit(0)).otherwise(
+            F.least(F.floor((x - lo) / (hi - lo) * nb), nb - 1).cast("int"))
+        val = F.when(inside & (nb == 0), x)
+        hist = (j.groupBy(*gcols, "feature", slot.alias("_s"), bucket.alias("_b"), val.alias("_v"))
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+                 .collect())
+        cells: dict = {}
+        for r in hist:
+            cells.setdefault((tuple(r[g] for g in group_cols), r["feature"]), []).append(r)
+        nxt: dict = {}
+        for key, ranks in pending.items():
+            ordered = sorted(cells.get(key, []), key=lambda r: (
+                r["_s"], r["_b"], r["_v"] if r["_v"] is not None else 0.0))
+            for rank in ranks:
+                cum = 0
+                for r in ordered:
+                    if cum + r["c"] > rank:
+                        if r["_v"] is not None or r["mn"] == r["mx"]:
+                            values[(key[0], key[1], rank)] = r["mn"]
                         else:
-                            state[k] = [mn, mx, cum, s[3], c]
+                            nxt.setdefault(key, {})[rank] = [r["mn"], r["mx"], r["c"]]
                         break
-                    cum += c
+                    cum += r["c"]
+        pending = nxt
     return sizes, values
 
 
-def _ranks(p: float, n: int) -> tuple[int, int]:
-    h = p * (n - 1)
-    return int(math.floor(h)), int(math.ceil(h))
-
-
 def exact_quantile_values(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
                           group_cols: Sequence[str] = (), **kw) -> dict:
     """{(group_tuple, feature, prob): value} with linear interpolation."""
-    def ranks_for(n):
-        return [r for p in probs for r in _ranks(p, n)]
-
-    sizes, vals = order_statistics(df, value_cols, ranks_for, group_cols, **kw)
+    sizes, vals = order_statistics(df, value_cols, probs, group_cols, **kw)
     out = {}
     for (g, f), n in sizes.items():
         for p in probs:
+            if not n:
+                out[(g, f, p)] = None
+                continue
             lo_r, hi_r = _ranks(p, n)
             a, b = vals[(g, f, lo_r)], vals[(g, f, hi_r)]
             h = p * (n - 1)
@@ -167,7 +230,7 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
         [df.schema[g] for g in group_cols]
         + [T.StructField("feature", T.StringType()), T.StructField("prob", T.DoubleType()),
            T.StructField("value", T.DoubleType())])
-    rows = [(*g, f, float(p), float(v)) for (g, f, p), v in vals.items()]
+    rows = [(*g, f, float(p), None if v is None else float(v)) for (g, f, p), v in vals.items()]
     return df.sparkSession.createDataFrame(rows, schema)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import all_present, col, numeric_columns
-from .quantiles import exact_quantile_values, stack_long
+from .quantiles import exact_quantile_values, stack_long, summary_aggs
 
 STAT_COLUMNS = ("Feature", "Count", "Mean", "Median", "Std", "Min", "Max", "Q1", "Q3",
                 "Skewness", "Kurtosis")
@@ -101,25 +101,35 @@ def column_stats(df: DataFrame, features: Sequence[str] | None = None,
     """
     features = list(features) if features is not None else numeric_columns(df, exclude)
     long = stack_long(df, features, drop_nan=False)
+    moments = [F.count("x").alias("Count"), F.avg("x").alias("Mean"),
+               F.stddev_samp("x").alias("Std"), F.min("x").alias("Min"), F.max("x").alias("Max"),
+               F.skewness("x").alias("Skewness"), F.kurtosis("x").alias("Kurtosis")]
     if quantiles == "approx":
         accuracy = max(1, int(round(1.0 / relative_error)))
         q = F.percentile_approx("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        m = long.groupBy("feature").agg(
-            F.count("x").alias("Count"), F.avg("x").alias("Mean"),
-            F.stddev_samp("x").alias("Std"), F.min("x").alias("Min"), F.max("x").alias("Max"),
-            F.skewness("x").alias("Skewness"), F.kurtosis("x").alias("Kurtosis"), q.alias("_q"))
+        m = long.groupBy("feature").agg(*moments, q.alias("_q"))
         m = (m.withColumn("Q1", F.col("_q")[0]).withColumn("Median", F.col("_q")[1])
               .withColumn("Q3", F.col("_q")[2]))
-    else:
-        m = _moments(long)
-        qv = exact_quantile_values(df, features, (0.25, 0.5, 0.75))
-        rows = [(f, qv.get(((), f, 0.25)), qv.get(((), f, 0.5)), qv.get(((), f, 0.75)))
-                for f in features]
-        qdf = df.sparkSession.createDataFrame(rows, "feature string, Q1 double, Median double, Q3 double")
-        # one row per feature on both sides; the quantile side is a bounded literal table
-        m = m.join(F.broadcast(qdf), "feature", "left")
-    return m.select(F.col("feature").alias("Feature"), F.col("Count").cast("bigint").alias("Count"),
-                    *[F.col(c).cast("double").alias(c) for c in STAT_COLUMNS[2:]])
+        return m.select(F.col("feature").alias("Feature"), F.col("Count").cast("bigint").alias("Count"),
+                        *[F.col(c).cast("double").alias(c) for c in STAT_COLUMNS[2:]])
+    # one scan: moments + the quantile sketch brackets; then one bracket-resolving scan
+    probs = (0.25, 0.5, 0.75)
+    summary = long.groupBy("feature").agg(*moments, *summary_aggs("x", probs)).collect()
+    qv = exact_quantile_values(df, features, probs, summary=summary)
+    by_f = {r["feature"]: r for r in summary}
+    rows = []
+    for f in features:
+        r = by_f.get(f)
+        if r is None:
+            rows.append((f, 0, None, None, None, None, None, None, None, None, None))
+            continue
+        q1, med, q3 = (qv.get(((), f, p)) for p in probs)
+        rows.append((f, r["Count"], r["Mean"], med, r["Std"], r["Min"], r["Max"], q1, q3,
+                     r["Skewness"], r["Kurtosis"]))
+    schema = ("Feature string, Count bigint, Mean double, Median double, Std double, Min double, "
+              "Max double, Q1 double, Q3 double, Skewness double, Kurtosis double")
+    # one row per feature: a bounded result assembled from two small aggregates
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def skew_flag(stats: DataFrame, limit: float = 1.0) -> DataFrame:
