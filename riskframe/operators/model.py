@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +46,16 @@ def split_sizes(flagged: DataFrame, flag: str = "is_train") -> DataFrame:
 
 def build_pipeline(features: Sequence[str], label: str = "label", max_iter: int = 50,
                    reg_param: float = 0.01, elastic_net: float = 0.0,
-                   threshold: float = 0.5) -> Pipeline:
-    """M2 + M3 + M5 as one estimator (scaler fitted on whatever is passed to fit)."""
-    return Pipeline(stages=[
+                   threshold: float = 0.5, indexed: Sequence[str] = ()) -> Pipeline:
+    """M1 + M2 + M3 + M5 as one estimator: category indexer (for ``indexed``
+    columns, producing ``<col>_idx``), assembler, scaler, logistic regression.
+    Every statistic (category order, mean, std) is fitted on the rows passed
+    to ``fit`` only - the training split."""
+    stages = []
+    if indexed:
+        stages.append(StringIndexer(inputCols=list(indexed), outputCols=[c + "_idx" for c in indexed],
+                                    handleInvalid="keep", stringOrderType="frequencyDesc"))
+    return Pipeline(stages=stages + [
         VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
@@ -63,9 +70,12 @@ def train_model(df: DataFrame, features: Sequence[str], label: str = "label",
     flagged = hash_split(df, key_cols, train_fraction)
     train = flagged.where(F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
     test = flagged.where(~F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
+    # features named <col>_idx for an existing <col> are indexed inside the pipeline
+    indexed = [f[:-4] for f in features
+               if f.endswith("_idx") and f not in df.columns and f[:-4] in df.columns]
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_pipeline(features, label, **lr).fit(train)
+        model = build_pipeline(features, label, indexed=indexed, **lr).fit(train)
     finally:
         train.unpersist()
     return model, train, test
@@ -80,7 +90,7 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 def coefficient_table(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """M7: (position, feature, coefficient, mean, std) plus the intercept as a
     final row with position -1. Bounded by the number of features."""
-    scaler, lr = model.stages[1], model.stages[2]
+    scaler, lr = model.stages[-2], model.stages[-1]
     coefs = lr.coefficients.toArray().tolist()
     means = scaler.mean.toArray().tolist()
     stds = scaler.std.toArray().tolist()

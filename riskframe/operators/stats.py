@@ -162,7 +162,7 @@ def histograms(df: DataFrame, features: Sequence[str], bins: int = 30,
 
     Ranges come from one min/max aggregate (a bounded result inlined as
     literals). Output (by?, feature, bin, bin_lo, bin_hi, count) includes
-    empty bins, generated from literals rather than a join.
+    empty bins: a literal grid left-joined to the (bounded) counts.
     """
     long = stack_long(df, features, [by] if by else [])
     rng = {r["feature"]: _edges(r["lo"], r["hi"])
@@ -196,8 +196,8 @@ def histograms(df: DataFrame, features: Sequence[str], bins: int = 30,
         on = [by, "feature", "bin"]
     else:
         on = ["feature", "bin"]
-    # grid is bounded (features x bins x groups): broadcast it, keep counts distributed
-    out = counts.join(F.broadcast(grid), on, "right")
+    # counts has at most one row per grid cell (features x bins x groups): bounded, broadcast
+    out = grid.join(F.broadcast(counts), on, "left")
     return out.select(*[F.col(c) for c in on], "bin_lo", "bin_hi",
                       F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 

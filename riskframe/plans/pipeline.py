@@ -91,6 +91,17 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
     coefs = model.coefficient_table(fitted, feats)
     importance = model.feature_importance(coefs)
 
+    # every report is bounded (features, levels, bins, 16 metrics): materialise
+    # them once, then release the cached large tables
+    def small(df):
+        return None if df is None else spark.createDataFrame(df.collect(), df.schema)
+    descriptive, severity, labels, hist, box = map(small, (descriptive, severity, labels, hist, box))
+    metrics, confusion, coefs, importance = map(small, (metrics, confusion, coefs, importance))
+    roc = small(roc) if roc_bins else roc
+    predictions.unpersist()
+    if not output_dir:
+        prepared.unpersist()
+
     if output_dir:
         base = output_dir.rstrip("/")
         for name, df in (("descriptive_statistics", descriptive), ("severity_distribution", severity),
@@ -103,4 +114,5 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         outputs["model"] = save_model(fitted, feats, f"{base}/model")
 
     return PipelineResult(prepared, counts, descriptive, severity, labels, hist, box, fitted,
-                          predictions, metrics, confusion, roc, coefs, importance, outputs)
+                          model.predict(fitted, test), metrics, confusion, roc, coefs, importance,
+                          outputs)

@@ -82,3 +82,15 @@ def test_streaming_ingest(spark, tmp_dir):
     assert set(["Hour", "Weekday", "Month", "label"]) <= set(table.columns)
     sev = spark.read.option("header", True).schema("Severity int, count bigint").csv(os.path.join(tmp_dir, "sev"))
     assert sev.agg(F.sum("count")).first()[0] == 200
+
+
+def test_category_features_indexed_on_train_only(spark):
+    from riskframe.operators import features, model
+    raw = spark.createDataFrame(_accident_rows(300, seed=9), accident_schema())
+    df = features.binary_label(raw)
+    feats = ["Distance(mi)", "Weather_Condition_idx", "Sunrise_Sunset_idx"]
+    fitted, train, test = model.train_model(df, feats, "label")
+    assert len(fitted.stages) == 4
+    out = model.predict(fitted, test)
+    assert out.where(F.col("Weather_Condition_idx").isNull()).count() == 0
+    assert model.coefficient_table(fitted, feats).count() == 4
