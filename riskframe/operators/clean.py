@@ -46,6 +46,26 @@ def clean_data(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return dedupe_rows(drop_nulls(projected, projected.columns))
 
 
+def clean_with_counts(df: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """P1-P3 plus A1 from one aggregate: group the kept columns (map-side
+    combine collapses duplicates), count rows per group.
+
+    Returns (groups, counts): ``groups`` holds every distinct kept row with its
+    multiplicity ``_n`` and a completeness flag ``_ok``; the cleaned table is
+    ``groups.where("_ok").drop("_n", "_ok")`` (same rows as ``clean_data``).
+    ``counts`` is one row: raw_rows, non_null_rows, clean_rows. Persist
+    ``groups`` to compute both from a single pass over the source.
+    """
+    projected = project_existing(df, keep)
+    g = projected.groupBy(*[col(c) for c in projected.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    g = g.withColumn("_ok", all_present(g, projected.columns))
+    counts = g.agg(F.sum("_n").cast("bigint").alias("raw_rows"),
+                   F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_n"))), F.lit(0)).cast("bigint")
+                   .alias("non_null_rows"),
+                   F.count(F.when(F.col("_ok"), F.lit(1))).cast("bigint").alias("clean_rows"))
+    return g, counts
+
+
 def trim_names(df: DataFrame) -> DataFrame:
     """Strip outer whitespace from every column name (one projection)."""
     return df.toDF(*[c.strip() for c in df.columns])

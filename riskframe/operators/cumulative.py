@@ -24,7 +24,22 @@ from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 100_000          # bound of the broadcast per-range offset table
+ROWS_PER_BUCKET = 2_000_000    # target rows per range (one window partition)
+
+
+def _cut_points(df: DataFrame, order_col: str, nb: int):
+    """(row count, sorted distinct cut points) for ``nb`` ranges, from one pass
+    (count + quantile sketch with rank error 1/(4 nb))."""
+    if nb <= 1:
+        return None
+    probs = [i / nb for i in range(1, nb)]
+    acc = int(min(2 ** 31 - 1, 4 * nb))
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.percentile_approx(F.col(order_col).cast("double"),
+                                   F.array(*[F.lit(p) for p in probs]), acc).alias("q")).first()
+    cuts = sorted({float(c) for c in (r["q"] or []) if c is not None and not math.isnan(c)})
+    return r["n"], cuts
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
@@ -34,12 +49,16 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     ``order_col`` must be unique and numeric."""
     spark = df.sparkSession
     nb = min(MAX_BUCKETS, max(1, buckets or shuffle_partitions(spark)))
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        cuts = df.approxQuantile(order_col, probs, 1.0 / (4 * nb))
-        cuts = sorted({float(c) for c in cuts if c is not None and not math.isnan(c)})
-    else:
-        cuts = []
+    cuts = _cut_points(df, order_col, nb)
+    if buckets is None and cuts is not None:
+        n, cuts = cuts
+        # keep every range's window at most ROWS_PER_BUCKET rows: more ranges for big inputs
+        want = min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET))
+        if want > nb:
+            _, cuts = _cut_points(df, order_col, want)
+    elif cuts is not None:
+        cuts = cuts[1]
+    cuts = cuts or []
     splits = [-math.inf] + cuts + [math.inf]
     keyed = df.withColumn("_oc", F.col(order_col).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_oc", outputCol="_bucket",

@@ -70,6 +70,12 @@ def train_model(df: DataFrame, features: Sequence[str], label: str = "label",
     flagged = hash_split(df, key_cols, train_fraction)
     train = flagged.where(F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
     test = flagged.where(~F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
+    # iterative fitting re-reads the cached training rows every iteration: make
+    # sure they are spread over at least the cluster's default parallelism (a
+    # no-op for inputs that already have that many partitions)
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < par:
+        train = train.repartition(par)
     # features named <col>_idx for an existing <col> are indexed inside the pipeline
     indexed = [f[:-4] for f in features
                if f.endswith("_idx") and f not in df.columns and f[:-4] in df.columns]

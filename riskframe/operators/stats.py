@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,7 +92,8 @@ def _moments(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 
 def column_stats(df: DataFrame, features: Sequence[str] | None = None,
                  exclude: Sequence[str] = ("ID", "Severity", "label"),
-                 quantiles: str = "exact", relative_error: float = 0.01) -> DataFrame:
+                 quantiles: str = "exact", relative_error: float = 0.01,
+                 cache: bool = False) -> DataFrame:
     """A5-A7 (+P9): one row per numeric feature with Count, Mean, Median, Std
     (sample), Min, Max, Q1, Q3, Skewness (population), Kurtosis (population excess).
 
@@ -208,7 +210,13 @@ def histogram(df: DataFrame, feature: str, bins: int = 30, by: str | None = None
 
 # ------------------------------------------------------------- box plot ---
 
-def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float = 1.5) -> DataFrame:
+def spark_local(df: DataFrame) -> DataFrame:
+    """Materialise a small (bounded) result as a local DataFrame."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float = 1.5,
+                  cache: bool = False) -> DataFrame:
     """A10: box-plot summary per group: n, mean, q1, median, q3, iqr, whiskers
     (most extreme values within 1.5 IQR of the box) and outlier counts.
 
@@ -218,6 +226,12 @@ def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float =
     """
     base = df.select(col(by).alias(by), col(feature).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v") & F.col(by).isNotNull())
+    if cache:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return spark_local(boxplot_stats(base, "_v", by, whis, cache=False))
+        finally:
+            base.unpersist()
     qv = exact_quantile_values(base, ["_v"], (0.25, 0.5, 0.75), [by])
     groups = sorted({k[0][0] for k in qv})
     if len(groups) > MAX_GROUPS:

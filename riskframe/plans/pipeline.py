@@ -43,18 +43,29 @@ class PipelineResult:
     outputs: dict = field(default_factory=dict)
 
 
-def prepare(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
-    """Tolerant projection, null filter, dedupe, time features, label."""
-    cleaned = clean.clean_data(raw, spec.keep_columns)
+def enrich(cleaned: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Time features and label of a cleaned table."""
     feats = features.time_features(cleaned, spec.time_col) if spec.time_col else cleaned
     return features.binary_label(feats, spec.target, spec.severe_threshold, spec.label)
 
 
+def prepare(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Tolerant projection, null filter, dedupe, time features, label."""
+    return enrich(clean.clean_data(raw, spec.keep_columns), spec)
+
+
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | str,
                  output_dir: str | None = None, schema=None, roc_bins: int | None = 1000) -> PipelineResult:
     raw = files.read_csv(spark, source, schema) if isinstance(source, str) else source
     clean.require_columns(raw, [spec.target])
-    prepared = prepare(raw, spec)
+    # one pass over the source: distinct kept rows with multiplicities give the
+    # cleaned table and the stage counts together
+    groups, count_df = clean.clean_with_counts(raw, spec.keep_columns)
+    groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
+    c = count_df.first()
+    counts = {"raw_rows": c["raw_rows"], "non_null_rows": c["non_null_rows"],
+              "prepared_rows": c["clean_rows"]}
+    prepared = enrich(groups.where("_ok").drop("_n", "_ok"), spec)
 
     outputs: dict[str, str] = {}
     if output_dir:
@@ -63,7 +74,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         prepared = files.read_table(spark, outputs["prepared"])
     else:
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {"raw_rows": raw.count(), "prepared_rows": prepared.count()}
+        prepared.count()
+    groups.unpersist()
 
     # ---- describe (A2-A10) ----
     stat_features = [c for c in numeric_columns(prepared, STATS_EXCLUDED) if c != spec.label]

@@ -267,7 +267,7 @@ def q_skew_flag(spark, d):
     li = tbl(spark, d, "lineitem")
     o = tbl(spark, d, "orders").select("o_orderkey", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    st = stats.column_stats(j, list(LI_STAT_FEATURES) + ["o_totalprice"])
+    st = stats.column_stats(j, list(LI_STAT_FEATURES) + ["o_totalprice"], cache=True)
     return stats.skew_flag(st).select("Feature", "Skewness", "skewed")
 
 
@@ -765,7 +765,7 @@ def q_quarter_stats(spark, d):
     """Statistics of the customer-quarter features."""
     t = features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
                                         "o_orderdate", "o_totalprice")
-    return stats.column_stats(t, list(QSTAT_FEATURES))
+    return stats.column_stats(t, list(QSTAT_FEATURES), cache=True)
 
 
 @query("quarter_label_distribution", f"""WITH {QF_SQL}, {TREND_SQL}
@@ -846,7 +846,7 @@ def q_incident_column_stats(spark, d):
     """A7 on the prepared incident table: every numeric column but target and label."""
     prep = pipeline.prepare(incidents(spark, d), INCIDENT_SPEC)
     feats = [c for c in numeric_columns(prep, ("Severity", "label"))]
-    return stats.column_stats(prep, feats)
+    return stats.column_stats(prep, feats, cache=True)
 
 
 @query("pipeline_metrics")

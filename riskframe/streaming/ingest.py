@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import clean, features
 from ..sources import reports
+from ..session import ensure_checkpoint_dir
 from ..spec import PipelineSpec
 
 
@@ -43,18 +44,30 @@ def incident_stream(spark: SparkSession, landing_dir: str, schema: StructType, s
     return features.binary_label(feats, spec.target, spec.severe_threshold, spec.label)
 
 
-def start_ingest(stream: DataFrame, table_dir: str, checkpoint_dir: str,
-                 available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
-    """Append the prepared stream to a Parquet table (exactly-once via the checkpoint)."""
+def _stream_checkpoint(stream: DataFrame, name: str, checkpoint_dir: str | None) -> str:
+    """Explicit folder, else ``<spark.checkpoint.dir>/streams/<name>`` (a shared folder)."""
+    if checkpoint_dir:
+        return checkpoint_dir
+    return f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
+
+
+def start_ingest(stream: DataFrame, table_dir: str, checkpoint_dir: str | None = None,
+                 available_now: bool = True, interval: str = "1 minute",
+                 name: str = "incident-ingest") -> StreamingQuery:
+    """Append the prepared stream to a Parquet table (exactly-once via the checkpoint,
+    which must be a stable shared folder so a restarted job resumes where it stopped)."""
+    checkpoint_dir = _stream_checkpoint(stream, name, checkpoint_dir)
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", table_dir).option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
-def start_severity_counts(stream: DataFrame, target: str, report_dir: str, checkpoint_dir: str,
-                          available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
+def start_severity_counts(stream: DataFrame, target: str, report_dir: str,
+                          checkpoint_dir: str | None = None, available_now: bool = True,
+                          interval: str = "1 minute", name: str = "severity-counts") -> StreamingQuery:
     """Maintain the severity distribution; each micro-batch rewrites a one-file report."""
+    checkpoint_dir = _stream_checkpoint(stream, name, checkpoint_dir)
     counts = stream.groupBy(target).count()
 
     def publish(batch: DataFrame, _batch_id: int) -> None:

@@ -312,3 +312,14 @@ def test_quarter_trend_and_label(spark):
     assert (2, 1) not in t                  # last observed quarter dropped (label unknown)
     r = {x["c"]: x for x in features.rfm(o, "c", "o", "d", "amt").collect()}
     assert r[1]["recency_days"] == 93 and r[1]["frequency"] == 3 and r[1]["lifespan_days"] == 274
+
+
+def test_cached_stats_equal_uncached(spark):
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(i % 2, rnd.random() * 10) for i in range(500)], "label int, v double")
+    a = stats.column_stats(df, ["v"]).collect()
+    b = stats.column_stats(df, ["v"], cache=True).collect()
+    assert a == b
+    assert stats.boxplot_stats(df, "v").orderBy("label").collect() == \
+        stats.boxplot_stats(df, "v", cache=True).orderBy("label").collect()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()

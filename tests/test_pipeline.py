@@ -36,7 +36,7 @@ def test_run_pipeline_accident_layout(spark, tmp_dir):
     src = files.write_table(raw, os.path.join(tmp_dir, "raw"), fmt="csv")
     res = run_pipeline(spark, ACCIDENTS, src, output_dir=os.path.join(tmp_dir, "out"),
                        schema=accident_schema())
-    assert res.stage_counts == {"raw_rows": 602, "prepared_rows": 600}
+    assert res.stage_counts == {"raw_rows": 602, "non_null_rows": 601, "prepared_rows": 600}
     metrics = {r["Metric"]: r["Value"] for r in res.metrics.collect()}
     assert len(metrics) == 16
     cells = [metrics[k] for k in ("TP (Severe Accidents Detected)", "TN (Minor Accidents Detected)",
