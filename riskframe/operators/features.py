@@ -47,9 +47,10 @@ def rfm(orders: DataFrame, customer: str, order_id: str, ts: str, amount: str) -
     average order value.
 
     The data set's last date is one global aggregate whose single value is
-    inlined as a literal: no cross join, no unpartitioned window.
+    inlined as a literal: no cross join, no unpartitioned window. It is
+    fetched as a DATE so the literal does not depend on any time zone.
     """
-    last = orders.select(F.max(col(ts)).alias("m")).first()["m"]
+    last = orders.select(F.max(col(ts)).cast("date").alias("m")).first()["m"]
     per = orders.groupBy(col(customer).alias(customer)).agg(
         F.max(col(ts)).alias("_last"),
         F.min(col(ts)).alias("_first"),
