@@ -21,10 +21,13 @@ from ..functions import sigmoid
 from ..sources.tables import load_table
 from ..spec import PipelineSpec
 
-# Fixed values of the scored-orders fixture: score = sigmoid((total - 250000) / 100000),
+# Fixed values of the scored-orders fixture: score = sigmoid((total - 250000) / 100000)
+# rounded half-up to 9 decimals with IEEE arithmetic (so libm differences in
+# exp cannot change a score),
 # label = priority digit >= 3, class 1 when score > 0.5 (MLlib's strict rule).
 SCORE_CENTER = 250000.0
 SCORE_SCALE = 100000.0
+SCORE_DECIMALS = 9
 
 INCIDENT_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice")
 INCIDENT_SPEC = PipelineSpec(
@@ -64,7 +67,9 @@ def scored_orders(spark: SparkSession, data_dir: str) -> DataFrame:
     """orders with label, fixed score p1 and predicted class (double)."""
     o = load_table(spark, data_dir, "orders")
     sev = severity_of()
-    p1 = sigmoid((F.col("o_totalprice") - F.lit(SCORE_CENTER)) / F.lit(SCORE_SCALE))
+    p = sigmoid((F.col("o_totalprice") - F.lit(SCORE_CENTER)) / F.lit(SCORE_SCALE))
+    scale = F.lit(10.0 ** SCORE_DECIMALS)
+    p1 = F.floor(p * scale + F.lit(0.5)) / scale
     return o.select(
         "o_orderkey", "o_totalprice", "o_orderstatus",
         F.when(sev >= 3, F.lit(1)).otherwise(F.lit(0)).alias("label"),
@@ -75,6 +80,7 @@ def scored_orders(spark: SparkSession, data_dir: str) -> DataFrame:
 SCORED_SQL = f"""sc AS (
   SELECT o_orderkey, o_totalprice, o_orderstatus,
          CASE WHEN TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) >= 3 THEN 1 ELSE 0 END AS label,
-         1.0 / (1.0 + exp(-((o_totalprice - {SCORE_CENTER}) / {SCORE_SCALE}))) AS p1
+         floor(1.0 / (1.0 + exp(-((o_totalprice - {SCORE_CENTER}) / {SCORE_SCALE}))) * {10.0 ** SCORE_DECIMALS!r} + 0.5)
+           / {10.0 ** SCORE_DECIMALS!r} AS p1
   FROM orders),
 sp AS (SELECT *, CAST(CASE WHEN p1 > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction FROM sc)"""

@@ -8,6 +8,7 @@ rounded to 6 decimals on both sides so the two engines compare equal.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +25,33 @@ from .incidents import INCIDENT_MEASURES, INCIDENT_SPEC, SCORED_SQL, incidents,
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-SIG_FORMAT = "%.11e"      # 12 significant digits
+SIG_DIGITS = 12
+
+# Rounding is plain IEEE arithmetic, floor(x * 10^k + 0.5) / 10^k, identical
+# in both engines for identical inputs. (Formatting or ``round`` would round
+# the shortest decimal string half-up in the JVM but the exact binary value
+# in DuckDB, which differs for ~1e-4 of all doubles.)
+
+
+def _half_up(c, k):
+    """floor(c * 10^k + 0.5) / 10^k with exact powers of ten (k may be negative)."""
+    pos = F.floor(c * F.pow(F.lit(10.0), k) + F.lit(0.5)) / F.pow(F.lit(10.0), k)
+    neg = F.floor(c / F.pow(F.lit(10.0), -k) + F.lit(0.5)) * F.pow(F.lit(10.0), -k)
+    return F.when(k >= 0, pos).otherwise(neg)
 
 
 def sig(c):
-    """Round a double to 12 significant digits (identically reproducible in SQL)."""
-    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
-        F.format_string(SIG_FORMAT, c.cast("double")).cast("double"))
+    """Round a double to 12 significant digits (reproduced exactly by ``r6`` in SQL)."""
+    c = c.cast("double")
+    k = (F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(c)))).cast("int")
+    special = c.isNull() | F.isnan(c) | (c == 0) | (F.abs(c) == float("inf"))
+    return F.when(special, c).otherwise(_half_up(c, k))
+
+
+def unit(c, decimals: int = 9):
+    """Round a dimensionless O(1) double to ``decimals`` places (``d9`` in SQL)."""
+    c = c.cast("double")
+    return F.floor(c * F.lit(10.0 ** decimals) + F.lit(0.5)) / F.lit(10.0 ** decimals)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -41,10 +62,14 @@ def rounded(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, round_doubles: bool = True):
+    """Register ``fn`` as query ``name`` (with its SQL oracle). Queries whose
+    doubles are stored values passed through unchanged (both engines return
+    the same bits) set ``round_doubles=False``."""
     def deco(fn):
         def run(spark: SparkSession, data_dir: str) -> DataFrame:
-            return rounded(fn(spark, data_dir))
+            out = fn(spark, data_dir)
+            return rounded(out) if round_doubles else out
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -58,8 +83,27 @@ def tbl(spark, d, name):
     return load_table(spark, d, name)
 
 
+UNIT_DECIMALS = 9   # dimensionless O(1) values (z, probabilities, skewness, kurtosis)
+
+
+def unit_round(df: DataFrame, cols) -> DataFrame:
+    """Round dimensionless columns to 9 decimals: their cross-engine error is
+    absolute (~1e-13), so decimal places, not significant digits, are stable."""
+    return df.select(*[unit(F.col(f"`{c}`"), UNIT_DECIMALS).alias(c) if c in cols
+                       else F.col(f"`{c}`") for c in df.columns])
+
+
+def d9(e: str) -> str:
+    return f"(floor(CAST({e} AS DOUBLE) * {10.0 ** UNIT_DECIMALS!r} + 0.5) / {10.0 ** UNIT_DECIMALS!r})"
+
+
 def r6(e: str) -> str:
-    return f"CAST(printf('{SIG_FORMAT}', CAST({e} AS DOUBLE)) AS DOUBLE)"
+    """SQL twin of ``sig``: 12 significant digits by IEEE arithmetic."""
+    x = f"CAST({e} AS DOUBLE)"
+    k = f"CAST({SIG_DIGITS - 1} - floor(log10(abs({x}))) AS INTEGER)"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) OR {x} = 0 THEN {x} "
+            f"WHEN {k} >= 0 THEN floor({x} * pow(10.0, {k}) + 0.5) / pow(10.0, {k}) "
+            f"ELSE floor({x} / pow(10.0, -{k}) + 0.5) * pow(10.0, -{k}) END)")
 
 
 # =====================================================================
@@ -85,14 +129,14 @@ def _not_null_sql(cols, doubles=()):
 
 @query("drop_nulls", f"""
 SELECT * FROM ({LI_NULLS_SQL}) b
-WHERE {_not_null_sql(LI_NULLS, ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))}""")
+WHERE {_not_null_sql(LI_NULLS, ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))}""", round_doubles=False)
 def q_drop_nulls(spark, d):
     """Rows with any null (tax 0 read as null) removed."""
     return clean.drop_nulls(_li_with_nulls(spark, d))
 
 
 @query("dedupe_rows", """
-SELECT DISTINCT l_returnflag, l_linestatus, l_tax, l_quantity FROM lineitem""")
+SELECT DISTINCT l_returnflag, l_linestatus, l_tax, l_quantity FROM lineitem""", round_doubles=False)
 def q_dedupe_rows(spark, d):
     """Exact duplicates removed from a narrow projection."""
     return clean.dedupe_rows(tbl(spark, d, "lineitem").select(
@@ -104,7 +148,7 @@ CLEAN_KEEP = ("l_returnflag", "l_linestatus", "l_tax", "l_quantity", "l_comment"
 
 @query("clean_data", f"""
 SELECT DISTINCT l_returnflag, l_linestatus, l_tax, l_quantity FROM ({LI_NULLS_SQL}) b
-WHERE {_not_null_sql(("l_returnflag", "l_linestatus", "l_tax", "l_quantity"), ("l_tax", "l_quantity"))}""")
+WHERE {_not_null_sql(("l_returnflag", "l_linestatus", "l_tax", "l_quantity"), ("l_tax", "l_quantity"))}""", round_doubles=False)
 def q_clean_data(spark, d):
     """P1+P2+P3: tolerant projection (l_comment absent), null filter, dedupe."""
     return clean.clean_data(_li_with_nulls(spark, d), CLEAN_KEEP)
@@ -116,7 +160,7 @@ SEVERITY_SQL = "TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER)"
 @query("binary_label", f"""
 SELECT o_orderkey, {SEVERITY_SQL} AS severity,
        CASE WHEN {SEVERITY_SQL} >= 3 THEN 1 ELSE 0 END AS label
-FROM orders""")
+FROM orders""", round_doubles=False)
 def q_binary_label(spark, d):
     """severity = priority digit, label = severity >= 3."""
     o = tbl(spark, d, "orders").select("o_orderkey",
@@ -127,7 +171,7 @@ def q_binary_label(spark, d):
 @query("time_features", """
 SELECT event_id, CAST(hour(ts) AS INTEGER) AS Hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS Weekday,
        CAST(month(ts) AS INTEGER) AS Month
-FROM events""")
+FROM events""", round_doubles=False)
 def q_time_features(spark, d):
     """Hour, weekday (1 = Sunday), month of the event time."""
     e = tbl(spark, d, "events").select("event_id", "ts")
@@ -136,7 +180,7 @@ def q_time_features(spark, d):
 
 @query("preview", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem
-ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity LIMIT 5""")
+ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity LIMIT 5""", round_doubles=False)
 def q_preview(spark, d):
     """First five rows of the first five columns, in key order (a top-k)."""
     li = tbl(spark, d, "lineitem")
@@ -144,7 +188,7 @@ def q_preview(spark, d):
     return li.select(*first5).orderBy(*first5).limit(5)
 
 
-@query("project_existing", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@query("project_existing", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer", round_doubles=False)
 def q_project_existing(spark, d):
     """Keep wanted columns that exist (c_phone, c_address are absent)."""
     return clean.project_existing(tbl(spark, d, "customer"),
@@ -152,7 +196,7 @@ def q_project_existing(spark, d):
                                    "c_mktsegment"])
 
 
-@query("trim_names", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("trim_names", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders", round_doubles=False)
 def q_trim_names(spark, d):
     """Outer spaces removed from column names."""
     o = tbl(spark, d, "orders").select(F.col("o_orderkey").alias("  o_orderkey"),
@@ -242,7 +286,8 @@ agg AS (
               ELSE avg((x - m) * (x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 2) - 3 END AS Kurtosis
   FROM long l JOIN mu ON l.feature = mu.feature GROUP BY l.feature)
 SELECT Feature, Count, {", ".join(r6(c) + " AS " + c for c in
-    ("Mean", "Median", "Std", "Min", "Max", "Q1", "Q3", "Skewness", "Kurtosis"))}{select_extra}
+    ("Mean", "Median", "Std", "Min", "Max", "Q1", "Q3"))},
+       {r6(d9("Skewness"))} AS Skewness, {r6(d9("Kurtosis"))} AS Kurtosis{select_extra}
 FROM agg {extra}"""
 
 
@@ -256,7 +301,7 @@ def q_column_stats(spark, d):
     """A5-A7 + P9: numeric columns (keys excluded) summarised in one long pass."""
     li = tbl(spark, d, "lineitem")
     feats = numeric_columns(li, exclude=LI_KEYS)
-    return stats.column_stats(li, feats)
+    return unit_round(stats.column_stats(li, feats), ("Skewness", "Kurtosis"))
 
 
 @query("skew_flag", f"""
@@ -268,7 +313,7 @@ def q_skew_flag(spark, d):
     o = tbl(spark, d, "orders").select("o_orderkey", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     st = stats.column_stats(j, list(LI_STAT_FEATURES) + ["o_totalprice"], cache=True)
-    return stats.skew_flag(st).select("Feature", "Skewness", "skewed")
+    return unit_round(stats.skew_flag(st).select("Feature", "Skewness", "skewed"), ("Skewness",))
 
 
 QPROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -459,12 +504,12 @@ def q_auc_exact(spark, d):
 
 @query("brier_logloss", f"""
 WITH {SCORED_SQL}
-SELECT {r6('avg((p1 - label) * (p1 - label))')} AS brier,
-       {r6('-avg(label * ln(p1 + 1e-15) + (1 - label) * ln(1 - p1 + 1e-15))')} AS log_loss
+SELECT {r6(d9('avg((p1 - label) * (p1 - label))'))} AS brier,
+       {r6(d9('-avg(label * ln(p1 + 1e-15) + (1 - label) * ln(1 - p1 + 1e-15))'))} AS log_loss
 FROM sp""")
 def q_brier_logloss(spark, d):
     """A17 + A18 in one aggregate."""
-    return evaluate.brier_logloss(scored_orders(spark, d))
+    return unit_round(evaluate.brier_logloss(scored_orders(spark, d)), ("brier", "log_loss"))
 
 
 @query("roc_points", f"""
@@ -528,7 +573,7 @@ f AS (SELECT event_type, count(*) AS n FROM e WHERE event_type IS NOT NULL GROUP
 r AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx FROM f),
 k AS (SELECT CAST(count(*) AS DOUBLE) AS k FROM f)
 SELECT e.event_id, e.event_type, coalesce(r.idx, k.k) AS event_type_idx
-FROM e LEFT JOIN r ON e.event_type = r.event_type CROSS JOIN k""")
+FROM e LEFT JOIN r ON e.event_type = r.event_type CROSS JOIN k""", round_doubles=False)
 def q_string_index(spark, d):
     """M1: frequency-ordered index, ties alphabetical; null -> extra last index."""
     e = tbl(spark, d, "events").select("event_id", F.expr("nullif(event_type, 'view')").alias("event_type"))
@@ -540,7 +585,7 @@ SPLIT_KEY_SQL = "('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)),
 Z_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@query("hash_split", f"SELECT l_orderkey, l_linenumber, {SPLIT_KEY_SQL} AS is_train FROM lineitem")
+@query("hash_split", f"SELECT l_orderkey, l_linenumber, {SPLIT_KEY_SQL} AS is_train FROM lineitem", round_doubles=False)
 def q_hash_split(spark, d):
     """M4: md5-bucket 80/20 split of the line key."""
     li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
@@ -561,22 +606,40 @@ def q_split_sizes(spark, d):
     return model.split_sizes(model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8))
 
 
+# fitted statistics are rounded to 12 significant digits on both sides, so
+# both engines apply identical doubles and z / probabilities agree bit for bit
 ZSTATS_SQL = f"""s AS (SELECT l_orderkey, l_linenumber, {", ".join(Z_COLS)}, {SPLIT_KEY_SQL} AS is_train FROM lineitem),
-st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in Z_COLS)} FROM s WHERE is_train)"""
+st AS (SELECT {", ".join(f"{r6(f'avg({c})')} AS m_{c}, {r6(f'stddev_samp({c})')} AS s_{c}" for c in Z_COLS)}
+       FROM s WHERE is_train)"""
+
+
+def _sig_py(v: float | None) -> float | None:
+    """Driver-side twin of ``sig`` / ``r6`` (same IEEE steps)."""
+    if v is None or v == 0 or math.isnan(v) or math.isinf(v):
+        return v
+    k = SIG_DIGITS - 1 - math.floor(math.log10(abs(v)))
+    if k >= 0:
+        return math.floor(v * 10.0 ** k + 0.5) / 10.0 ** k
+    return math.floor(v / 10.0 ** -k + 0.5) * 10.0 ** -k
+
+
+def _sig_stats(st: dict) -> dict:
+    return {c: tuple(_sig_py(v) for v in ms) for c, ms in st.items()}
 
 
 @query("zscore", f"""
 WITH {ZSTATS_SQL}
 SELECT l_orderkey, l_linenumber, is_train,
-       {", ".join(f"{r6(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END')} AS {c}_z" for c in Z_COLS)}
+       {", ".join(f"{r6(d9(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END'))} AS {c}_z" for c in Z_COLS)}
 FROM s, st""")
 def q_zscore(spark, d):
     """M3: z-scores with mean / sample std of the training rows only."""
     li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *Z_COLS)
     flagged = model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
-    st = encode.zscore_fit(flagged.where("is_train"), Z_COLS)
-    return encode.zscore_apply(flagged, st).select("l_orderkey", "l_linenumber", "is_train",
-                                                   *[c + "_z" for c in Z_COLS])
+    st = _sig_stats(encode.zscore_fit(flagged.where("is_train"), Z_COLS))
+    out = encode.zscore_apply(flagged, st).select("l_orderkey", "l_linenumber", "is_train",
+                                                  *[c + "_z" for c in Z_COLS])
+    return unit_round(out, [c + "_z" for c in Z_COLS])
 
 
 # Fixed weights of the scoring fixture (position order = Z_COLS) and intercept.
@@ -590,7 +653,7 @@ z AS (SELECT l_orderkey, l_linenumber, {SCORE_INTERCEPT} + {" + ".join(
     f"{w} * (({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)" for w, c in zip(SCORE_WEIGHTS, Z_COLS))} AS z
       FROM s, st),
 p AS (SELECT *, 1.0 / (1.0 + exp(-z)) AS probability FROM z)
-SELECT l_orderkey, l_linenumber, {r6('z')} AS z, {r6('probability')} AS probability,
+SELECT l_orderkey, l_linenumber, {r6(d9('z'))} AS z, {r6(d9('probability'))} AS probability,
        CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction,
        CASE WHEN probability >= 0.5 THEN 'severe (severity 3-4)' ELSE 'minor (severity 1-2)' END AS caption
 FROM p""")
@@ -598,12 +661,13 @@ def q_score_batch(spark, d):
     """Scoring from a coefficient table (weights + training mean / std)."""
     li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *Z_COLS)
     flagged = model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
-    st = encode.zscore_fit(flagged.where("is_train"), Z_COLS)
+    st = _sig_stats(encode.zscore_fit(flagged.where("is_train"), Z_COLS))
     rows = [(i, c, w, st[c][0], st[c][1]) for i, (w, c) in enumerate(zip(SCORE_WEIGHTS, Z_COLS))]
     rows.append((-1, "(intercept)", SCORE_INTERCEPT, 0.0, 1.0))
     coefs = spark.createDataFrame(rows, "position int, feature string, coefficient double, mean double, std double")
-    return score.score_batch(li, coefs).select("l_orderkey", "l_linenumber", "z", "probability",
-                                               "prediction", "caption")
+    out = score.score_batch(li, coefs).select("l_orderkey", "l_linenumber", "z", "probability",
+                                              "prediction", "caption")
+    return unit_round(out, ("z", "probability"))
 
 
 # Fixed category map of the lookup fixture; other values fall back to 0.0.
@@ -613,7 +677,7 @@ EVENT_TYPE_MAP = {"click": 1.0, "purchase": 2.0, "view": 3.0}
 @query("category_lookup", """
 WITH m AS (SELECT * FROM (VALUES ('click', 1.0), ('purchase', 2.0), ('view', 3.0)) v(value, idx))
 SELECT e.event_id, e.event_type, CAST(coalesce(m.idx, 0.0) AS DOUBLE) AS event_type_idx
-FROM events e LEFT JOIN m ON e.event_type = m.value""")
+FROM events e LEFT JOIN m ON e.event_type = m.value""", round_doubles=False)
 def q_category_lookup(spark, d):
     """Category -> index through a broadcast map; unknown -> 0.0."""
     e = tbl(spark, d, "events").select("event_id", "event_type")
@@ -624,7 +688,7 @@ def q_category_lookup(spark, d):
 WITH f AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type),
 r AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx FROM f)
 SELECT o.o_orderkey, o.o_orderstatus, CAST(coalesce(r.idx, 0.0) AS DOUBLE) AS o_orderstatus_idx
-FROM orders o LEFT JOIN r ON o.o_orderstatus = r.event_type""")
+FROM orders o LEFT JOIN r ON o.o_orderstatus = r.event_type""", round_doubles=False)
 def q_category_lookup_fitted(spark, d):
     """M1 map saved as a table (S5) and applied with a size-checked broadcast join."""
     m = encode.fit_string_index(tbl(spark, d, "events"), ["event_type"])
@@ -638,7 +702,7 @@ WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN props ELSE CAST(
            FROM events)
 SELECT event_id, TRY_CAST(trim(raw) AS DOUBLE) AS raw_num,
        (raw IS NOT NULL AND TRY_CAST(trim(raw) AS DOUBLE) IS NULL) AS rejected
-FROM e""")
+FROM e""", round_doubles=False)
 def q_parse_reject(spark, d):
     """Text -> double with a reject flag instead of a failed job."""
     e = tbl(spark, d, "events").select(
@@ -694,7 +758,7 @@ SELECT l_orderkey AS invoice, l_partkey AS item, l_quantity AS quantity, l_exten
 FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)
   AND l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice) AND l_shipdate IS NOT NULL
-  AND l_quantity > 0 AND l_extendedprice > 0""")
+  AND l_quantity > 0 AND l_extendedprice > 0""", round_doubles=False)
 def q_txn_clean(spark, d):
     """D1 + D2: transactions with all keys present, positive quantity / price, parsed date."""
     li = tbl(spark, d, "lineitem").select(
@@ -765,7 +829,7 @@ def q_quarter_stats(spark, d):
     """Statistics of the customer-quarter features."""
     t = features.customer_quarter_table(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
                                         "o_orderdate", "o_totalprice")
-    return stats.column_stats(t, list(QSTAT_FEATURES), cache=True)
+    return unit_round(stats.column_stats(t, list(QSTAT_FEATURES), cache=True), ("Skewness", "Kurtosis"))
 
 
 @query("quarter_label_distribution", f"""WITH {QF_SQL}, {TREND_SQL}
@@ -792,7 +856,7 @@ def q_train_score_quarter(spark, d):
 # Step 7 - sources and sinks
 # =====================================================================
 
-@query("scan_csv_roundtrip", "SELECT * FROM orders")
+@query("scan_csv_roundtrip", "SELECT * FROM orders", round_doubles=False)
 def q_scan_csv_roundtrip(spark, d):
     """Orders written as a CSV directory, read back with its schema."""
     o = tbl(spark, d, "orders")
@@ -828,7 +892,7 @@ WITH j AS (
 c AS (SELECT DISTINCT * FROM j WHERE {_incident_not_null()})
 SELECT *, CAST(hour(Start_Time) AS INTEGER) AS Hour, CAST(dayofweek(Start_Time) + 1 AS INTEGER) AS Weekday,
        CAST(month(Start_Time) AS INTEGER) AS Month, CASE WHEN Severity >= 3 THEN 1 ELSE 0 END AS label
-FROM c""")
+FROM c""", round_doubles=False)
 def q_incident_prepare(spark, d):
     """E1 over a join: clean, time features and label of the incident table."""
     return pipeline.prepare(incidents(spark, d), INCIDENT_SPEC)
@@ -846,7 +910,7 @@ def q_incident_column_stats(spark, d):
     """A7 on the prepared incident table: every numeric column but target and label."""
     prep = pipeline.prepare(incidents(spark, d), INCIDENT_SPEC)
     feats = [c for c in numeric_columns(prep, ("Severity", "label"))]
-    return stats.column_stats(prep, feats, cache=True)
+    return unit_round(stats.column_stats(prep, feats, cache=True), ("Skewness", "Kurtosis"))
 
 
 @query("pipeline_metrics")
