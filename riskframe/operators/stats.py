@@ -146,13 +146,16 @@ def _edges(lo: float, hi: float) -> tuple[float, float]:
     return (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
 
 
-def _bin_expr(x, lo: float, hi: float, bins: int):
-    """Bin index with numpy.histogram semantics: edges e_i = i*step + lo
-    (e_bins = hi); bin i holds e_i <= x < e_{i+1}, the last bin is closed."""
-    step = (hi - lo) / bins
-    g = F.least(F.greatest(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(0)),
+def bin_index(x, lo, hi, bins: int):
+    """Bin index with numpy.histogram semantics: edges e_i = i*step + lo with
+    step = (hi - lo) / bins (e_bins = hi); bin i holds e_i <= x < e_{i+1}, the
+    last bin is closed. ``lo``/``hi`` may be columns (one generic expression)."""
+    step = (hi - lo) / F.lit(float(bins))
+    g = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(0)),
                 F.lit(bins - 1)).cast("int")
-    edge = lambda i: i.cast("double") * F.lit(step) + F.lit(lo)
+
+    def edge(i):
+        return i.cast("double") * step + lo
     return (F.when(x < edge(g), g - 1)
              .when((g < bins - 1) & (x >= edge(g + 1)), g + 1)
              .otherwise(g))
@@ -162,9 +165,10 @@ def histograms(df: DataFrame, features: Sequence[str], bins: int = 30,
                by: str | None = None) -> DataFrame:
     """Equal-width histograms of several features in one scan.
 
-    Ranges come from one min/max aggregate (a bounded result inlined as
-    literals). Output (by?, feature, bin, bin_lo, bin_hi, count) includes
-    empty bins: a literal grid left-joined to the (bounded) counts.
+    Ranges come from one min/max aggregate (a bounded result, inlined as
+    literal maps feature -> lo / hi, so one compact codegen expression bins
+    every feature). Output (by?, feature, bin, bin_lo, bin_hi, count)
+    includes empty bins: a literal grid left-joined to the (bounded) counts.
     """
     long = stack_long(df, features, [by] if by else [])
     rng = {r["feature"]: _edges(r["lo"], r["hi"])
@@ -172,13 +176,13 @@ def histograms(df: DataFrame, features: Sequence[str], bins: int = 30,
     feats = [f for f in features if f in rng]
     if not feats:
         raise ValueError("no non-null values to bin")
-    bin_col = None
-    for f in feats:
-        lo, hi = rng[f]
-        e = _bin_expr(F.col("x"), lo, hi, bins)
-        bin_col = F.when(F.col("feature") == f, e) if bin_col is None else bin_col.when(F.col("feature") == f, e)
+    lo_map = F.create_map(*[e for f in feats for e in (F.lit(f), F.lit(float(rng[f][0])))])
+    hi_map = F.create_map(*[e for f in feats for e in (F.lit(f), F.lit(float(rng[f][1])))])
     keys = ([F.col(by)] if by else []) + [F.col("feature")]
-    counts = long.groupBy(*keys, bin_col.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    binned = long.select(*keys, "x", lo_map[F.col("feature")].alias("_lo"),
+                         hi_map[F.col("feature")].alias("_hi"))
+    counts = (binned.groupBy(*keys, bin_index(F.col("x"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
+                    .agg(F.count(F.lit(1)).alias("count")))
 
     spark = df.sparkSession
     grid_rows = []
