@@ -7,6 +7,7 @@ every denominator and counts are doubles before any product (no overflow).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +157,10 @@ def roc_table(pred: DataFrame, label: str = "label", score: str = "p1",
               bins: int | None = None) -> DataFrame:
     """Per distinct score: positives / negatives with scores >= it (a
     distributed running total, no global single-task window)."""
-    g = _score_table(pred, label, score, bins)
+    return _roc_from_scores(_score_table(pred, label, score, bins))
+
+
+def _roc_from_scores(g: DataFrame) -> DataFrame:
     cum = running_totals(g, "score", ["pos", "neg"])
     return cum.select(
         "score", "pos", "neg",
@@ -177,11 +181,21 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "p1",
 
 def auc_exact(pred: DataFrame, label: str = "label", score: str = "p1") -> DataFrame:
     """A16 (exact): Mann-Whitney form, ties counted half, over distinct scores.
-    Null when only one class is present."""
-    t = roc_table(pred, label, score)
-    num = F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
-    den = F.first("P") * F.first("N")
-    return t.agg(F.when(den > 0, num / den).alias("auc_roc"))
+    Null when only one class is present.
+
+    The per-score table feeds three passes (cut points, per-range running
+    sums, per-range offsets): it is persisted for them and released before
+    the one-row result is returned.
+    """
+    g = _score_table(pred, label, score, None).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        t = _roc_from_scores(g)
+        num = F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
+        den = F.first("P") * F.first("N")
+        row = t.agg(F.when(den > 0, num / den).alias("auc_roc")).first()
+    finally:
+        g.unpersist()
+    return pred.sparkSession.createDataFrame([(row["auc_roc"],)], "auc_roc double")
 
 
 def auc_binned(pred: DataFrame, label: str = "label", raw: str = "rawPrediction",
