@@ -79,3 +79,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20
+                     ) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of (compressed) input.
+
+    * scan splits of ``target_partition_bytes`` (fewer, larger tasks than the
+      128 MB default for very large inputs);
+    * initial shuffle partitions sized so each holds ~``target_partition_bytes``
+      of the largest shuffle (assumed no larger than the input), at least
+      2 x cores; AQE then coalesces small ones and splits skewed ones;
+    * skew handling on for joins and for rebalancing.
+    The checkpoint folder is not set here: it must name a shared folder of
+    the cluster (``spark.checkpoint.dir``).
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **ENGINE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(8 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
