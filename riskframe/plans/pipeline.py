@@ -21,7 +21,7 @@ from ..functions import numeric_columns
 from ..operators import clean, evaluate, features, model, stats
 from ..sources import files, reports
 from ..sources.models import save_model
-from ..spec import STATS_EXCLUDED, PipelineSpec
+from ..spec import QUANTILE_RELATIVE_ERROR, STATS_EXCLUDED, PipelineSpec
 
 
 @dataclass
@@ -79,7 +79,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
 
     # ---- describe (A2-A10) ----
     stat_features = [c for c in numeric_columns(prepared, STATS_EXCLUDED) if c != spec.label]
-    descriptive = stats.column_stats(prepared, stat_features)
+    descriptive = stats.column_stats(prepared, stat_features, quantiles=spec.quantiles,
+                                     relative_error=QUANTILE_RELATIVE_ERROR)
     severity = stats.severity_distribution(prepared, spec.target, spec.label)
     labels = stats.distribution(prepared, spec.label)
     hist_feats = [c for c in spec.histogram_features if c in prepared.columns]

@@ -43,6 +43,11 @@ LR_ELASTIC_NET = 0.0
 HISTOGRAM_BINS = 30
 QUANTILE_RELATIVE_ERROR = 0.01
 CLASS_CAPTIONS = ("minor (severity 1-2)", "severe (severity 3-4)")
+# Category map of the single-record form scorer (unknown values read 0.0).
+FORM_CATEGORY_MAP = {
+    "Weather_Condition": {"Clear": 0, "Cloudy": 1, "Rain": 2, "Snow": 3, "Fog": 4, "Thunderstorm": 5},
+    "Sunrise_Sunset": {"Day": 0, "Night": 1},
+}
 
 
 def accident_schema() -> T.StructType:
@@ -77,6 +82,9 @@ class PipelineSpec:
     elastic_net: float = LR_ELASTIC_NET
     class_threshold: float = CLASS_THRESHOLD
     bins: int = HISTOGRAM_BINS
+    # quartiles of the descriptive report: "approx" (sketch, relative error
+    # 0.01, one scan - as the original report) or "exact" (two scans)
+    quantiles: str = "approx"
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "PipelineSpec":

@@ -35,3 +35,11 @@ def test_step_api_end_to_end(spark, tmp_dir):
     api.save_model_files(fitted, ACCIDENT_FEATURES, os.path.join(tmp_dir, "model"))
     tr, te, sc = api.prepare_features(df.limit(300), df.limit(100), ["Distance(mi)", "Hour"])
     assert "features" in tr.columns and "features" in te.columns
+
+
+def test_form_category_map(spark):
+    df = spark.createDataFrame([("Rain", "Night"), ("Hail", "Day"), ("Thunderstorm", None)],
+                               "Weather_Condition string, Sunrise_Sunset string")
+    out = [(r["Weather_Condition_idx"], r["Sunrise_Sunset_idx"])
+           for r in api.lookup_form_categories(df).orderBy("Weather_Condition").collect()]
+    assert out == [(0.0, 0.0), (2.0, 1.0), (5.0, 0.0)]
