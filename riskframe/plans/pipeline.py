@@ -44,8 +44,13 @@ class PipelineResult:
 
 
 def enrich(cleaned: DataFrame, spec: PipelineSpec) -> DataFrame:
-    """Time features and label of a cleaned table."""
-    feats = features.time_features(cleaned, spec.time_col) if spec.time_col else cleaned
+    """Time features and label of a cleaned table. Rows whose time does not
+    parse (null Hour / Weekday / Month) are dropped here, up front, instead of
+    failing the job later at feature assembly."""
+    feats = cleaned
+    if spec.time_col and spec.time_col in cleaned.columns:
+        feats = clean.drop_nulls(features.time_features(cleaned, spec.time_col),
+                                 ["Hour", "Weekday", "Month"])
     return features.binary_label(feats, spec.target, spec.severe_threshold, spec.label)
 
 
@@ -64,7 +69,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
     groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
     c = count_df.first()
     counts = {"raw_rows": c["raw_rows"], "non_null_rows": c["non_null_rows"],
-              "prepared_rows": c["clean_rows"]}
+              "clean_rows": c["clean_rows"]}
     prepared = enrich(groups.where("_ok").drop("_n", "_ok"), spec)
 
     outputs: dict[str, str] = {}
@@ -74,7 +79,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         prepared = files.read_table(spark, outputs["prepared"])
     else:
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-        prepared.count()
+    counts["prepared_rows"] = prepared.count()   # Parquet footers, or the cache being filled
     groups.unpersist()
 
     # ---- describe (A2-A10) ----

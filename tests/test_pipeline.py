@@ -36,7 +36,8 @@ def test_run_pipeline_accident_layout(spark, tmp_dir):
     src = files.write_table(raw, os.path.join(tmp_dir, "raw"), fmt="csv")
     res = run_pipeline(spark, ACCIDENTS, src, output_dir=os.path.join(tmp_dir, "out"),
                        schema=accident_schema())
-    assert res.stage_counts == {"raw_rows": 602, "non_null_rows": 601, "prepared_rows": 600}
+    assert res.stage_counts == {"raw_rows": 602, "non_null_rows": 601, "clean_rows": 600,
+                                "prepared_rows": 600}
     metrics = {r["Metric"]: r["Value"] for r in res.metrics.collect()}
     assert len(metrics) == 16
     cells = [metrics[k] for k in ("TP (Severe Accidents Detected)", "TN (Minor Accidents Detected)",
@@ -94,3 +95,31 @@ def test_category_features_indexed_on_train_only(spark):
     out = model.predict(fitted, test)
     assert out.where(F.col("Weather_Condition_idx").isNull()).count() == 0
     assert model.coefficient_table(fitted, feats).count() == 4
+
+
+def test_csv_malformed_values_become_nulls(spark, tmp_dir):
+    from riskframe import api
+    path = os.path.join(tmp_dir, "raw.csv")
+    header = "Severity,Start_Time,Start_Lat,Start_Lng,Distance(mi),Temperature(F),Humidity(%),Pressure(in)," \
+             "Visibility(mi),Wind_Speed(mph),Weather_Condition,Sunrise_Sunset\n"
+    good = "3,2021-05-01 10:00:00,30.1,-90.2,0.5,70,50,29.9,10,5,Rain,Day\n"
+    bad_num = "2,2021-05-01 11:00:00,30.1,-90.2,abc,70,50,29.9,10,5,Clear,Night\n"
+    bad_time = "4,not-a-time,30.1,-90.2,0.7,70,50,29.9,10,5,Clear,Night\n"
+    with open(path, "w") as f:
+        f.write(header + good + bad_num + bad_time)
+    raw = api.load_data(spark, path)
+    assert raw.count() == 3
+    prepared = api.feature_engineering(api.clean_data(raw))
+    rows = prepared.collect()
+    assert len(rows) == 2                       # the non-numeric distance is a null, dropped
+    by_sev = {r["Severity"]: r for r in rows}
+    assert by_sev[3]["Hour"] == 10 and by_sev[4]["Hour"] is None   # bad time: null features, no failure
+
+
+def test_pipeline_drops_unparseable_times(spark, tmp_dir):
+    rows = _accident_rows(300, seed=3)
+    rows[5] = (rows[5][0], "not a time") + rows[5][2:]
+    raw = spark.createDataFrame(rows, accident_schema())
+    res = run_pipeline(spark, ACCIDENTS, raw)
+    assert res.stage_counts["clean_rows"] == 300 and res.stage_counts["prepared_rows"] == 299
+    assert res.metrics.count() == 16
