@@ -917,3 +917,35 @@ def q_incident_column_stats(spark, d):
 def q_pipeline_metrics(spark, d):
     """The whole job (prepare, describe, train, evaluate) -> 16-row report."""
     return pipeline.run_pipeline(spark, INCIDENT_SPEC, incidents(spark, d)).metrics
+
+
+# =====================================================================
+# Streaming ingest (S8) over file drops made from the orders table
+# =====================================================================
+
+@query("stream_severity_counts", f"""
+WITH {LABELLED_SQL}
+SELECT severity AS Severity, count(*) AS count FROM lb GROUP BY severity""")
+def q_stream_severity_counts(spark, d):
+    """Orders land as CSV file drops; a file-source stream cleans them and
+    maintains the severity distribution (state bounded by the number of levels)."""
+    from pyspark.sql import types as T
+
+    from ..spec import PipelineSpec
+    from ..streaming.ingest import incident_stream, start_severity_counts
+    landing = scratch_dir(spark, "landing")
+    o = tbl(spark, d, "orders").select(
+        "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("Severity"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Start_Time"), "o_totalprice")
+    o.repartition(4).write.option("header", True).csv(landing)          # four file drops
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("Severity", T.IntegerType()),
+                           T.StructField("Start_Time", T.StringType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    spec = PipelineSpec(keep_columns=("o_orderkey", "Severity", "Start_Time", "o_totalprice"))
+    stream = incident_stream(spark, landing, schema, spec, max_files_per_trigger=1)
+    report = scratch_dir(spark, "stream-severity")
+    q = start_severity_counts(stream, "Severity", report, scratch_dir(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return reports.read_report(spark, report, "Severity int, count bigint")

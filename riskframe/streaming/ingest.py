@@ -6,15 +6,18 @@ for a long-running job), cleaned, enriched with time features and the label,
 and appended to a Parquet table. The running severity distribution is a
 streaming aggregate whose state is bounded by the number of severity levels.
 
-Dedupe across files uses ``dropDuplicatesWithinWatermark`` on the event
-time, so the state is bounded by the watermark delay rather than growing
-with every row ever seen; the batch job's full-row dedupe still runs over
-the appended table.
+Dedupe across files uses ``dropDuplicatesWithinWatermark`` over an
+*ingestion-time* watermark: a row re-uploaded within the window is dropped,
+and state is bounded by the window rather than by every row ever seen. An
+event-time watermark would instead discard historical rows that arrive
+after newer ones (uploads are not time-ordered). The batch job's full-row
+dedupe still runs over the whole appended table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -26,9 +29,9 @@ from ..spec import PipelineSpec
 
 def incident_stream(spark: SparkSession, landing_dir: str, schema: StructType, spec: PipelineSpec,
                     max_files_per_trigger: int | None = None,
-                    dedupe_delay: str | None = "1 day") -> DataFrame:
+                    dedupe_within: str | None = "1 day") -> DataFrame:
     """Streaming DataFrame of prepared incidents (projection, null filter, time
-    features, label, watermark-bounded dedupe)."""
+    features, label, dedupe of rows re-ingested within ``dedupe_within``)."""
     reader = spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -38,8 +41,12 @@ def incident_stream(spark: SparkSession, landing_dir: str, schema: StructType, s
     if tcol and dict(kept.dtypes)[tcol] == "string":
         kept = kept.withColumn(tcol, clean.parse_timestamp(tcol).cast("timestamp"))
     kept = clean.drop_nulls(kept, kept.columns)
-    if tcol and dedupe_delay:
-        kept = kept.withWatermark(tcol, dedupe_delay).dropDuplicatesWithinWatermark(kept.columns)
+    if dedupe_within:
+        cols = kept.columns
+        kept = (kept.withColumn("_ingested_at", F.current_timestamp())
+                    .withWatermark("_ingested_at", dedupe_within)
+                    .dropDuplicatesWithinWatermark(cols)
+                    .drop("_ingested_at"))
     feats = features.time_features(kept, tcol) if tcol else kept
     return features.binary_label(feats, spec.target, spec.severe_threshold, spec.label)
 
@@ -77,3 +84,24 @@ def start_severity_counts(stream: DataFrame, target: str, report_dir: str,
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
+
+
+def start_pipeline_on_arrival(stream: DataFrame, spec: PipelineSpec, table_dir: str, output_dir: str,
+                              checkpoint_dir: str | None = None, available_now: bool = True,
+                              interval: str = "1 minute", name: str = "pipeline-on-arrival"
+                              ) -> StreamingQuery:
+    """Every micro-batch of new files is appended to the prepared table, then the
+    whole job (describe, train, evaluate, reports, model) re-runs on that table."""
+    from ..plans.pipeline import run_pipeline
+    checkpoint_dir = _stream_checkpoint(stream, name, checkpoint_dir)
+
+    def on_batch(batch: DataFrame, _batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        batch.write.mode("append").parquet(table_dir)
+        spark = batch.sparkSession
+        run_pipeline(spark, spec, spark.read.parquet(table_dir), output_dir)
+
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()

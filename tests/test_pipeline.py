@@ -123,3 +123,26 @@ def test_pipeline_drops_unparseable_times(spark, tmp_dir):
     res = run_pipeline(spark, ACCIDENTS, raw)
     assert res.stage_counts["clean_rows"] == 300 and res.stage_counts["prepared_rows"] == 299
     assert res.metrics.count() == 16
+
+
+def test_stream_keeps_out_of_order_history_and_runs_pipeline(spark, tmp_dir):
+    from riskframe.streaming.ingest import incident_stream, start_pipeline_on_arrival
+    schema = accident_schema()
+    newer = _accident_rows(150, seed=11, start=datetime(2023, 1, 1))[:150]
+    older = _accident_rows(150, seed=12, start=datetime(2017, 1, 1))[:150]
+    flat = os.path.join(tmp_dir, "drops")
+    os.makedirs(flat)
+    for k, part in enumerate((newer, older)):            # history arrives after newer data
+        d = os.path.join(tmp_dir, f"w{k}")
+        spark.createDataFrame(part, schema).coalesce(1).write.option("header", True).csv(d)
+        for f in os.listdir(d):
+            if f.endswith(".csv"):
+                os.link(os.path.join(d, f), os.path.join(flat, f"{k}-{f}"))
+    stream = incident_stream(spark, flat, schema, ACCIDENTS, max_files_per_trigger=1)
+    q = start_pipeline_on_arrival(stream, ACCIDENTS, os.path.join(tmp_dir, "table"),
+                                  os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert spark.read.parquet(os.path.join(tmp_dir, "table")).count() == 300
+    m = spark.read.option("header", True).csv(os.path.join(tmp_dir, "out", "reports", "model_evaluation"))
+    assert m.count() == 16
