@@ -61,8 +61,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     cuts = cuts or []
     splits = [-math.inf] + cuts + [math.inf]
     keyed = df.withColumn("_oc", F.col(order_col).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_oc", outputCol="_bucket",
-                          handleInvalid="keep").transform(keyed).drop("_oc")
+    if cuts:
+        bucketed = Bucketizer(splits=splits, inputCol="_oc", outputCol="_bucket",
+                              handleInvalid="keep").transform(keyed).drop("_oc")
+    else:   # empty input or a single distinct value: one range
+        bucketed = keyed.withColumn("_bucket", F.lit(0.0)).drop("_oc")
 
     w_in = (Window.partitionBy("_bucket").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

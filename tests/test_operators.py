@@ -323,3 +323,30 @@ def test_cached_stats_equal_uncached(spark):
     assert stats.boxplot_stats(df, "v").orderBy("label").collect() == \
         stats.boxplot_stats(df, "v", cache=True).orderBy("label").collect()
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+# ------------------------------------------------------- degenerate input ---
+
+def test_empty_and_all_null_inputs(spark):
+    empty = spark.createDataFrame([], "label int, p1 double, prediction double, v double")
+    assert evaluate.auc_exact(empty).first()["auc_roc"] is None
+    assert evaluate.roc_points(empty).count() == 0
+    cells = evaluate.confusion_cells(empty).first()
+    assert (cells["tp"], cells["total"]) == (0.0, 0.0)
+    assert quantiles.exact_quantiles(empty, ["v"], (0.5,)).count() == 0
+    nulls = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 3.0)], "a double, b double")
+    st = {r["Feature"]: r for r in stats.column_stats(nulls).collect()}
+    assert st["a"]["Count"] == 0 and st["a"]["Median"] is None and st["b"]["Median"] == 2.0
+    h = stats.histograms(nulls, ["a", "b"], 30)
+    assert {r["feature"] for r in h.collect()} == {"b"}
+    with pytest.raises(ValueError):
+        stats.histograms(nulls, ["a"], 30)
+
+
+def test_single_row(spark):
+    one = spark.createDataFrame([(1, 0.7, 1.0, 5.0)], "label int, p1 double, prediction double, v double")
+    st = stats.column_stats(one, ["v"]).first()
+    assert (st["Count"], st["Median"], st["Q1"], st["Q3"]) == (1, 5.0, 5.0, 5.0)
+    b = stats.boxplot_stats(one, "v", "label").first()
+    assert (b["median"], b["whisker_lo"], b["whisker_hi"], b["n_outliers"]) == (5.0, 5.0, 5.0, 0)
+    assert evaluate.auc_exact(one).first()["auc_roc"] is None
