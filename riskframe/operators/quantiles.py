@@ -37,6 +37,7 @@ from ..functions import col
 MAX_TARGETS = 50_000        # size bound of the broadcast target table
 SKETCH_ACCURACY = 10_000    # rank error of the bracketing sketch: n / 10_000
 FINAL_ROWS = 4096           # a bracket with at most this many rows is resolved by value
+VALUE_BUDGET = 1_000_000    # at most this many (estimated) values fetched per pass
 
 
 def stack_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -148,13 +149,24 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
                          for key, ranks in pending.items()}
         k = max(len(m) for m in merged_by_key.values())
         nb_wide = max(16, min(bins, 400_000 // max(1, len(pending))))
+        # resolve small brackets by value, smallest first, while the total number of
+        # values fetched stays within VALUE_BUDGET; the others are bucketed again
+        small = sorted((est, key, i) for key, merged in merged_by_key.items()
+                       for i, (lo_, hi_, est) in enumerate(merged) if est <= final_rows and lo_ != hi_)
+        by_value, spent = set(), 0
+        for est, key, i in small:
+            if spent + est > VALUE_BUDGET:
+                break
+            by_value.add((key, i))
+            spent += est
         rows = []
         for (gkey, f), merged in merged_by_key.items():
             flat = []
             for i in range(k):
                 if i < len(merged):
                     lo_, hi_, est = merged[i]
-                    flat += [float(lo_), float(hi_), 0 if (est <= final_rows or lo_ == hi_) else nb_wide]
+                    resolve = lo_ == hi_ or ((gkey, f), i) in by_value
+                    flat += [float(lo_), float(hi_), 0 if resolve else nb_wide]
                 else:   # padding: NaN bounds never compare true
                     flat += [math.nan, math.nan, 0]
             rows.append((*gkey, f, *flat))

@@ -130,3 +130,15 @@ def test_category_lookup_large_map_uses_shuffle_join(spark, monkeypatch):
     assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
     expect = sum(1 for i in range(1000) if i % 150 == 0 or i % 150 >= 100)   # key '0' or unknown
     assert out.where("k_idx = 0.0").count() == expect
+
+
+def test_quantile_value_budget_still_exact(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "VALUE_BUDGET", 40)
+    rnd = random.Random(12)
+    rows = [(i % 7, rnd.gauss(0, 10)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(3)
+    got = quantiles.exact_quantile_values(df, ["v"], (0.25, 0.5, 0.75), ["g"], final_rows=200, bins=16)
+    for g in range(7):
+        xs = [v for k, v in rows if k == g]
+        for p in (0.25, 0.5, 0.75):
+            assert got[((g,), "v", p)] == pytest.approx(np.percentile(xs, p * 100), abs=1e-9)
