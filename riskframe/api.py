@@ -80,10 +80,11 @@ def add_label(df: DataFrame, target: str = "Severity", threshold: int = 3) -> Da
     return features.binary_label(df, target, threshold)
 
 
-def descriptive_statistics(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A2-A4: typed describe of the preferred columns, and the target distribution."""
-    return (stats.describe_core(df, preferred=ACCIDENT_DESCRIBE_COLUMNS),
-            stats.severity_distribution(df))
+def descriptive_statistics(df: DataFrame, as_strings: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A2-A4: describe of the preferred columns (typed, or Spark's string layout),
+    and the target distribution."""
+    describe = stats.describe_strings if as_strings else stats.describe_core
+    return (describe(df, preferred=ACCIDENT_DESCRIBE_COLUMNS), stats.severity_distribution(df))
 
 
 def save_descriptive_to_file(df: DataFrame, result_dir: str) -> dict[str, str]:

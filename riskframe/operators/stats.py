@@ -81,6 +81,15 @@ def describe_core(df: DataFrame, columns: Sequence[str] | None = None,
     return one.select(F.expr(f"stack({len(stats)}, {args}) as (summary, {names})"))
 
 
+def describe_strings(df: DataFrame, columns: Sequence[str] | None = None,
+                     preferred: Sequence[str] = ()) -> DataFrame:
+    """A2 in Spark's native ``describe`` layout (every statistic as a string),
+    for output identical to the original preview; ``describe_core`` is typed."""
+    if columns is None:
+        columns = [c for c in preferred if c in df.columns] or df.columns[:5]
+    return df.select(*[col(c) for c in columns]).describe()
+
+
 # --------------------------------------------------------- column stats ---
 
 def _moments(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -43,3 +43,11 @@ def test_form_category_map(spark):
     out = [(r["Weather_Condition_idx"], r["Sunrise_Sunset_idx"])
            for r in api.lookup_form_categories(df).orderBy("Weather_Condition").collect()]
     assert out == [(0.0, 0.0), (2.0, 1.0), (5.0, 0.0)]
+
+
+def test_describe_string_layout(spark):
+    df = spark.createDataFrame([(3, 1.5), (1, 2.5)], "Severity int, `Distance(mi)` double")
+    d, _ = api.descriptive_statistics(df, as_strings=True)
+    rows = {r["summary"]: r for r in d.collect()}
+    assert d.columns == ["summary", "Severity", "Distance(mi)"]
+    assert rows["count"]["Severity"] == "2" and float(rows["mean"]["Distance(mi)"]) == 2.0
