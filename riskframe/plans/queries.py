@@ -2,13 +2,13 @@
 
 ``QUERIES[name](spark, data_dir) -> DataFrame`` and, where the operator is
 SQL-expressible, ``ORACLE[name]`` is the same computation in plain SQL over
-the same tables (used to check results). Every double in a query result is
-rounded to 6 decimals on both sides so the two engines compare equal.
+the same tables (used to check results). Computed doubles are rounded on
+both sides by the shared contract in ``rounding`` so the two engines compare
+bit for bit.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,46 +22,10 @@ from ..sources import files, reports
 from ..sources.tables import load_table
 from . import pipeline
 from .incidents import INCIDENT_MEASURES, INCIDENT_SPEC, SCORED_SQL, incidents, scored_orders
+from .rounding import rounded, sig_py, sql_sig, sql_unit, unit_round
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-SIG_DIGITS = 12
-
-# Rounding is plain IEEE arithmetic, floor(x * 10^k + 0.5) / 10^k, identical
-# in both engines for identical inputs. (Formatting or ``round`` would round
-# the shortest decimal string half-up in the JVM but the exact binary value
-# in DuckDB, which differs for ~1e-4 of all doubles.)
-
-
-def _half_up(c, k):
-    """floor(c * 10^k + 0.5) / 10^k with exact powers of ten (k may be negative)."""
-    pos = F.floor(c * F.pow(F.lit(10.0), k) + F.lit(0.5)) / F.pow(F.lit(10.0), k)
-    neg = F.floor(c / F.pow(F.lit(10.0), -k) + F.lit(0.5)) * F.pow(F.lit(10.0), -k)
-    return F.when(k >= 0, pos).otherwise(neg)
-
-
-def sig(c):
-    """Round a double to 12 significant digits (reproduced exactly by ``r6`` in SQL)."""
-    c = c.cast("double")
-    k = (F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(c)))).cast("int")
-    special = c.isNull() | F.isnan(c) | (c == 0) | (F.abs(c) == float("inf"))
-    return F.when(special, c).otherwise(_half_up(c, k))
-
-
-def unit(c, decimals: int = 9):
-    """Round a dimensionless O(1) double to ``decimals`` places (``d9`` in SQL)."""
-    c = c.cast("double")
-    return F.floor(c * F.lit(10.0 ** decimals) + F.lit(0.5)) / F.lit(10.0 ** decimals)
-
-
-def rounded(df: DataFrame) -> DataFrame:
-    """Round every floating column (top level) to 12 significant digits."""
-    return df.select(*[
-        sig(F.col(f"`{f.name}`")).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
-        for f in df.schema.fields])
-
-
 def query(name: str, sql: str | None = None, round_doubles: bool = True):
     """Register ``fn`` as query ``name`` (with its SQL oracle). Queries whose
     doubles are stored values passed through unchanged (both engines return
@@ -83,29 +47,6 @@ def tbl(spark, d, name):
     return load_table(spark, d, name)
 
 
-UNIT_DECIMALS = 9   # dimensionless O(1) values (z, probabilities, skewness, kurtosis)
-
-
-def unit_round(df: DataFrame, cols) -> DataFrame:
-    """Round dimensionless columns to 9 decimals: their cross-engine error is
-    absolute (~1e-13), so decimal places, not significant digits, are stable."""
-    return df.select(*[unit(F.col(f"`{c}`"), UNIT_DECIMALS).alias(c) if c in cols
-                       else F.col(f"`{c}`") for c in df.columns])
-
-
-def d9(e: str) -> str:
-    return f"(floor(CAST({e} AS DOUBLE) * {10.0 ** UNIT_DECIMALS!r} + 0.5) / {10.0 ** UNIT_DECIMALS!r})"
-
-
-def r6(e: str) -> str:
-    """SQL twin of ``sig``: 12 significant digits by IEEE arithmetic."""
-    x = f"CAST({e} AS DOUBLE)"
-    k = f"CAST({SIG_DIGITS - 1} - floor(log10(abs({x}))) AS INTEGER)"
-    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) OR {x} = 0 THEN {x} "
-            f"WHEN {k} >= 0 THEN floor({x} * pow(10.0, {k}) + 0.5) / pow(10.0, {k}) "
-            f"ELSE floor({x} / pow(10.0, -{k}) + 0.5) * pow(10.0, -{k}) END)")
-
-
 # =====================================================================
 # Step 1 - cleaning, label, time features
 # =====================================================================
@@ -256,7 +197,7 @@ def _describe_sql(cols, table):
     parts = []
     for s, fn in (("count", "count({c})"), ("mean", "avg({c})"), ("stddev", "stddev_samp({c})"),
                   ("min", "min({c})"), ("max", "max({c})")):
-        sel = ", ".join(f"{r6('CAST(' + fn.format(c=c) + ' AS DOUBLE)')} AS {c}" for c in cols)
+        sel = ", ".join(f"{sql_sig('CAST(' + fn.format(c=c) + ' AS DOUBLE)')} AS {c}" for c in cols)
         parts.append(f"SELECT '{s}' AS summary, {sel} FROM {table}")
     return "\nUNION ALL\n".join(parts)
 
@@ -285,9 +226,9 @@ agg AS (
          CASE WHEN avg((x - m) * (x - m)) = 0 THEN NULL
               ELSE avg((x - m) * (x - m) * (x - m) * (x - m)) / pow(avg((x - m) * (x - m)), 2) - 3 END AS Kurtosis
   FROM long l JOIN mu ON l.feature = mu.feature GROUP BY l.feature)
-SELECT Feature, Count, {", ".join(r6(c) + " AS " + c for c in
+SELECT Feature, Count, {", ".join(sql_sig(c) + " AS " + c for c in
     ("Mean", "Median", "Std", "Min", "Max", "Q1", "Q3"))},
-       {r6(d9("Skewness"))} AS Skewness, {r6(d9("Kurtosis"))} AS Kurtosis{select_extra}
+       {sql_sig(sql_unit("Skewness"))} AS Skewness, {sql_sig(sql_unit("Kurtosis"))} AS Kurtosis{select_extra}
 FROM agg {extra}"""
 
 
@@ -321,7 +262,7 @@ QPROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
 
 @query("quartiles_exact", " UNION ALL ".join(
     f"SELECT o_orderstatus, 'o_totalprice' AS feature, CAST({p} AS DOUBLE) AS prob, "
-    f"{r6(f'quantile_cont(o_totalprice, {p})')} AS value FROM orders GROUP BY o_orderstatus"
+    f"{sql_sig(f'quantile_cont(o_totalprice, {p})')} AS value FROM orders GROUP BY o_orderstatus"
     for p in QPROBS))
 def q_quartiles_exact(spark, d):
     """A6 (exact): interpolated quantiles of the order total per order status."""
@@ -357,7 +298,7 @@ b AS (SELECT {by_sel}CASE WHEN x < g * step + lo THEN g - 1
       FROM g0),
 gr AS (SELECT {by_sel}CAST(i AS INTEGER) AS bin, i * step + lo AS bin_lo,
               CASE WHEN i = {bins - 1} THEN hi ELSE (i + 1) * step + lo END AS bin_hi FROM {grid_from})
-SELECT {gb}'{feature}' AS feature, gr.bin AS bin, {r6('gr.bin_lo')} AS bin_lo, {r6('gr.bin_hi')} AS bin_hi,
+SELECT {gb}'{feature}' AS feature, gr.bin AS bin, {sql_sig('gr.bin_lo')} AS bin_lo, {sql_sig('gr.bin_hi')} AS bin_hi,
        CAST(count(b.bin) AS BIGINT) AS count
 FROM gr LEFT JOIN b ON {join_on}
 GROUP BY {gb}gr.bin, gr.bin_lo, gr.bin_hi"""
@@ -390,11 +331,11 @@ WITH src AS (SELECT l_returnflag, l_extendedprice AS v FROM lineitem
 q AS (SELECT l_returnflag, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
              quantile_cont(v, 0.75) AS q3 FROM src GROUP BY l_returnflag),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lof, q3 + 1.5 * (q3 - q1) AS hif FROM q)
-SELECT s.l_returnflag, CAST(count(*) AS BIGINT) AS n, {r6('avg(v)')} AS mean,
-       {r6('any_value(q1)')} AS q1, {r6('any_value(median)')} AS median, {r6('any_value(q3)')} AS q3,
-       {r6('any_value(iqr)')} AS iqr,
-       {r6('coalesce(min(v) FILTER (WHERE v >= lof), any_value(q1))')} AS whisker_lo,
-       {r6('coalesce(max(v) FILTER (WHERE v <= hif), any_value(q3))')} AS whisker_hi,
+SELECT s.l_returnflag, CAST(count(*) AS BIGINT) AS n, {sql_sig('avg(v)')} AS mean,
+       {sql_sig('any_value(q1)')} AS q1, {sql_sig('any_value(median)')} AS median, {sql_sig('any_value(q3)')} AS q3,
+       {sql_sig('any_value(iqr)')} AS iqr,
+       {sql_sig('coalesce(min(v) FILTER (WHERE v >= lof), any_value(q1))')} AS whisker_lo,
+       {sql_sig('coalesce(max(v) FILTER (WHERE v <= hif), any_value(q3))')} AS whisker_hi,
        CAST(count(*) FILTER (WHERE v < lof) AS BIGINT) AS n_low_outliers,
        CAST(count(*) FILTER (WHERE v > hif) AS BIGINT) AS n_high_outliers,
        CAST(count(*) FILTER (WHERE v < lof OR v > hif) AS BIGINT) AS n_outliers
@@ -461,7 +402,7 @@ rates2 AS (SELECT *, 2.0 * precision * sensitivity / (precision + sensitivity +
 
 @query("rate_metrics", f"""
 WITH {SCORED_SQL}, {CELLS_SQL}, {_rates_select()}
-SELECT {", ".join(r6(c) + " AS " + c for c in
+SELECT {", ".join(sql_sig(c) + " AS " + c for c in
     ("sensitivity", "specificity", "fpr", "fnr", "precision", "f1", "mcc", "youden_j"))}
 FROM rates2""")
 def q_rate_metrics(spark, d):
@@ -478,10 +419,10 @@ k AS (SELECT bl.n_c, bl.tp_c,
              CASE WHEN coalesce(bp.pred_c, 0) = 0 THEN 0.0 ELSE bl.tp_c / bp.pred_c END AS prec,
              bl.tp_c / bl.n_c AS rec
       FROM bl LEFT JOIN bp ON bl.c = bp.c)
-SELECT {r6('CAST(sum(tp_c) AS DOUBLE) / sum(n_c)')} AS accuracy,
-       {r6('sum(prec * n_c) / sum(n_c)')} AS weighted_precision,
-       {r6('sum(rec * n_c) / sum(n_c)')} AS weighted_recall,
-       {r6('sum(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2.0 * prec * rec / (prec + rec) END * n_c) / sum(n_c)')} AS weighted_f1
+SELECT {sql_sig('CAST(sum(tp_c) AS DOUBLE) / sum(n_c)')} AS accuracy,
+       {sql_sig('sum(prec * n_c) / sum(n_c)')} AS weighted_precision,
+       {sql_sig('sum(rec * n_c) / sum(n_c)')} AS weighted_recall,
+       {sql_sig('sum(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2.0 * prec * rec / (prec + rec) END * n_c) / sum(n_c)')} AS weighted_f1
 FROM k""")
 def q_accuracy_weighted(spark, d):
     """A14 + A15: accuracy and label-weighted precision / recall / F1."""
@@ -496,7 +437,7 @@ auc AS (SELECT CAST(sum(pos * (nb + 0.5 * neg)) AS DOUBLE) / (CAST(sum(pos) AS D
 
 @query("auc_exact", f"""
 WITH {SCORED_SQL}, {AUC_SQL}
-SELECT {r6('auc_roc')} AS auc_roc FROM auc""")
+SELECT {sql_sig('auc_roc')} AS auc_roc FROM auc""")
 def q_auc_exact(spark, d):
     """Exact area under ROC (distributed running totals over distinct scores)."""
     return evaluate.auc_exact(scored_orders(spark, d))
@@ -504,8 +445,8 @@ def q_auc_exact(spark, d):
 
 @query("brier_logloss", f"""
 WITH {SCORED_SQL}
-SELECT {r6(d9('avg((p1 - label) * (p1 - label))'))} AS brier,
-       {r6(d9('-avg(label * ln(p1 + 1e-15) + (1 - label) * ln(1 - p1 + 1e-15))'))} AS log_loss
+SELECT {sql_sig(sql_unit('avg((p1 - label) * (p1 - label))'))} AS brier,
+       {sql_sig(sql_unit('-avg(label * ln(p1 + 1e-15) + (1 - label) * ln(1 - p1 + 1e-15))'))} AS log_loss
 FROM sp""")
 def q_brier_logloss(spark, d):
     """A17 + A18 in one aggregate."""
@@ -518,7 +459,7 @@ g AS (SELECT p1, sum(label) AS pos, count(*) - sum(label) AS neg FROM sp GROUP B
 t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
 r AS (SELECT p1, sum(pos) OVER (ORDER BY p1 DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
              sum(neg) OVER (ORDER BY p1 DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM g)
-SELECT {r6('p1')} AS threshold, {r6('CAST(fp AS DOUBLE) / N')} AS fpr, {r6('CAST(tp AS DOUBLE) / P')} AS tpr
+SELECT {sql_sig('p1')} AS threshold, {sql_sig('CAST(fp AS DOUBLE) / N')} AS fpr, {sql_sig('CAST(tp AS DOUBLE) / P')} AS tpr
 FROM r, t""")
 def q_roc_points(spark, d):
     """(threshold, FPR, TPR) at every distinct score."""
@@ -532,7 +473,7 @@ def _metrics_long_sql():
         "f1": "f1", "fnr": "fnr", "fpr": "fpr", "mcc": "mcc", "youden_j": "youden_j",
         "brier": "(SELECT brier FROM pl)", "log_loss": "(SELECT log_loss FROM pl)",
         "tp": "tp", "tn": "tn", "fp": "fp", "fn": "fn"}
-    sel = "\nUNION ALL ".join(f"SELECT '{name}' AS Metric, {r6('round(CAST(' + cols[key] + ' AS DOUBLE), 6)')} AS Value FROM rates2"
+    sel = "\nUNION ALL ".join(f"SELECT '{name}' AS Metric, {sql_sig('round(CAST(' + cols[key] + ' AS DOUBLE), 6)')} AS Value FROM rates2"
                               for name, key in evaluate.METRIC_NAMES)
     return f"""
 WITH {SCORED_SQL}, {CELLS_SQL}, {_rates_select()}, {AUC_SQL},
@@ -597,8 +538,8 @@ WITH s AS (SELECT {SPLIT_KEY_SQL} AS t FROM lineitem)
 SELECT CAST(count(*) FILTER (WHERE t) AS BIGINT) AS train_rows,
        CAST(count(*) FILTER (WHERE NOT t) AS BIGINT) AS test_rows,
        CAST(count(*) AS BIGINT) AS total_rows,
-       {r6('count(*) FILTER (WHERE t) * 100.0 / count(*)')} AS train_pct,
-       {r6('count(*) FILTER (WHERE NOT t) * 100.0 / count(*)')} AS test_pct
+       {sql_sig('count(*) FILTER (WHERE t) * 100.0 / count(*)')} AS train_pct,
+       {sql_sig('count(*) FILTER (WHERE NOT t) * 100.0 / count(*)')} AS test_pct
 FROM s""")
 def q_split_sizes(spark, d):
     """Train / test / total counts and shares."""
@@ -609,28 +550,18 @@ def q_split_sizes(spark, d):
 # fitted statistics are rounded to 12 significant digits on both sides, so
 # both engines apply identical doubles and z / probabilities agree bit for bit
 ZSTATS_SQL = f"""s AS (SELECT l_orderkey, l_linenumber, {", ".join(Z_COLS)}, {SPLIT_KEY_SQL} AS is_train FROM lineitem),
-st AS (SELECT {", ".join(f"{r6(f'avg({c})')} AS m_{c}, {r6(f'stddev_samp({c})')} AS s_{c}" for c in Z_COLS)}
+st AS (SELECT {", ".join(f"{sql_sig(f'avg({c})')} AS m_{c}, {sql_sig(f'stddev_samp({c})')} AS s_{c}" for c in Z_COLS)}
        FROM s WHERE is_train)"""
 
 
-def _sig_py(v: float | None) -> float | None:
-    """Driver-side twin of ``sig`` / ``r6`` (same IEEE steps)."""
-    if v is None or v == 0 or math.isnan(v) or math.isinf(v):
-        return v
-    k = SIG_DIGITS - 1 - math.floor(math.log10(abs(v)))
-    if k >= 0:
-        return math.floor(v * 10.0 ** k + 0.5) / 10.0 ** k
-    return math.floor(v / 10.0 ** -k + 0.5) * 10.0 ** -k
-
-
 def _sig_stats(st: dict) -> dict:
-    return {c: tuple(_sig_py(v) for v in ms) for c, ms in st.items()}
+    return {c: tuple(sig_py(v) for v in ms) for c, ms in st.items()}
 
 
 @query("zscore", f"""
 WITH {ZSTATS_SQL}
 SELECT l_orderkey, l_linenumber, is_train,
-       {", ".join(f"{r6(d9(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END'))} AS {c}_z" for c in Z_COLS)}
+       {", ".join(f"{sql_sig(sql_unit(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END'))} AS {c}_z" for c in Z_COLS)}
 FROM s, st""")
 def q_zscore(spark, d):
     """M3: z-scores with mean / sample std of the training rows only."""
@@ -653,7 +584,7 @@ z AS (SELECT l_orderkey, l_linenumber, {SCORE_INTERCEPT} + {" + ".join(
     f"{w} * (({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)" for w, c in zip(SCORE_WEIGHTS, Z_COLS))} AS z
       FROM s, st),
 p AS (SELECT *, 1.0 / (1.0 + exp(-z)) AS probability FROM z)
-SELECT l_orderkey, l_linenumber, {r6(d9('z'))} AS z, {r6(d9('probability'))} AS probability,
+SELECT l_orderkey, l_linenumber, {sql_sig(sql_unit('z'))} AS z, {sql_sig(sql_unit('probability'))} AS probability,
        CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction,
        CASE WHEN probability >= 0.5 THEN 'severe (severity 3-4)' ELSE 'minor (severity 1-2)' END AS caption
 FROM p""")
@@ -771,9 +702,9 @@ def q_txn_clean(spark, d):
 @query("rfm", f"""
 WITH m AS (SELECT max(o_orderdate) AS md FROM orders)
 SELECT o_custkey, CAST(date_diff('day', max(o_orderdate), any_value(md)) AS BIGINT) AS recency_days,
-       CAST(count(DISTINCT o_orderkey) AS BIGINT) AS frequency, {r6('sum(o_totalprice)')} AS monetary,
+       CAST(count(DISTINCT o_orderkey) AS BIGINT) AS frequency, {sql_sig('sum(o_totalprice)')} AS monetary,
        CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS BIGINT) AS lifespan_days,
-       {r6('sum(o_totalprice) / count(DISTINCT o_orderkey)')} AS avg_order_value
+       {sql_sig('sum(o_totalprice) / count(DISTINCT o_orderkey)')} AS avg_order_value
 FROM orders, m GROUP BY o_custkey""")
 def q_rfm(spark, d):
     """D3: recency, frequency, monetary, life span, average order value per customer."""
@@ -787,8 +718,8 @@ QF_SQL = """qf AS (
 qf2 AS (SELECT o_custkey, quarter_idx, CAST(quarter_idx // 4 AS BIGINT) AS year,
                CAST(quarter_idx % 4 + 1 AS INTEGER) AS quarter, amt AS quarter_amount,
                CAST(n AS BIGINT) AS quarter_frequency, amt / n AS quarter_avg_value FROM qf)"""
-QF_COLS_SQL = (f"o_custkey, quarter_idx, year, quarter, {r6('quarter_amount')} AS quarter_amount, "
-               f"quarter_frequency, {r6('quarter_avg_value')} AS quarter_avg_value")
+QF_COLS_SQL = (f"o_custkey, quarter_idx, year, quarter, {sql_sig('quarter_amount')} AS quarter_amount, "
+               f"quarter_frequency, {sql_sig('quarter_avg_value')} AS quarter_avg_value")
 TREND_SQL = """qt AS (SELECT *, CAST(CASE WHEN lag(quarter_idx) OVER w = quarter_idx - 1
                   THEN sign(quarter_amount - lag(quarter_amount) OVER w) ELSE 0 END AS INTEGER) AS purchase_trend,
                  CASE WHEN lead(quarter_idx) OVER w = quarter_idx + 1 THEN 1 ELSE 0 END AS label
