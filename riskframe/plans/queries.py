@@ -873,7 +873,7 @@ def q_stream_severity_counts(spark, d):
                            T.StructField("Start_Time", T.StringType()),
                            T.StructField("o_totalprice", T.DoubleType())])
     spec = PipelineSpec(keep_columns=("o_orderkey", "Severity", "Start_Time", "o_totalprice"))
-    stream = incident_stream(spark, landing, schema, spec, max_files_per_trigger=1)
+    stream = incident_stream(spark, landing, schema, spec, max_files_per_trigger=2)   # two micro-batches
     report = scratch_dir(spark, "stream-severity")
     q = start_severity_counts(stream, "Severity", report, scratch_dir(spark, "stream-ckpt"))
     q.awaitTermination()
