@@ -118,3 +118,12 @@ def customer_quarter_table(orders: DataFrame, customer: str, order_id: str, ts:
     """D4 + D5 + D6 in one plan: both windows share one partitioning/sort."""
     qf = quarter_features(orders, customer, order_id, ts, amount)
     return next_quarter_label(quarter_trend(qf, customer), customer, label)
+
+
+def latest_quarter_rows(orders: DataFrame, customer: str, order_id: str, ts: str,
+                        amount: str) -> DataFrame:
+    """D7 input: customer-quarter features (with trend) of the data set's last
+    quarter - the rows whose next-quarter outcome is not yet known, to be scored."""
+    qf = quarter_trend(quarter_features(orders, customer, order_id, ts, amount), customer)
+    last_q = qf.select(F.max("quarter_idx").alias("m")).first()["m"]
+    return qf.where(F.col("quarter_idx") == F.lit(last_q))

@@ -783,6 +783,18 @@ def q_train_score_quarter(spark, d):
     return model.predict(fitted, test).select("o_custkey", "quarter_idx", "label", "p1", "prediction")
 
 
+@query("next_quarter_scores")
+def q_next_quarter_scores(spark, d):
+    """Model trained on labelled customer quarters scores every customer's
+    last observed quarter: probability of buying in the (unseen) next quarter."""
+    o = tbl(spark, d, "orders")
+    t = features.customer_quarter_table(o, "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    feats = ["quarter_amount", "quarter_frequency", "quarter_avg_value", "purchase_trend"]
+    fitted, _, _ = model.train_model(t, feats, "label", ["o_custkey", "quarter_idx"], 0.8)
+    latest = features.latest_quarter_rows(o, "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return model.predict(fitted, latest).select("o_custkey", "quarter_idx", F.col("p1").alias("p_next_quarter"))
+
+
 # =====================================================================
 # Step 7 - sources and sinks
 # =====================================================================

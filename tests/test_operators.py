@@ -350,3 +350,13 @@ def test_single_row(spark):
     b = stats.boxplot_stats(one, "v", "label").first()
     assert (b["median"], b["whisker_lo"], b["whisker_hi"], b["n_outliers"]) == (5.0, 5.0, 5.0, 0)
     assert evaluate.auc_exact(one).first()["auc_roc"] is None
+
+
+def test_latest_quarter_rows(spark):
+    from datetime import datetime
+    rows = [(1, 10, datetime(2020, 1, 5), 100.0), (1, 11, datetime(2020, 4, 5), 50.0),
+            (2, 20, datetime(2020, 4, 6), 10.0), (3, 30, datetime(2020, 1, 6), 10.0)]
+    o = spark.createDataFrame(rows, "c int, o int, d timestamp, amt double")
+    out = {r["c"]: r for r in features.latest_quarter_rows(o, "c", "o", "d", "amt").collect()}
+    assert set(out) == {1, 2}                         # customers active in the last quarter
+    assert out[1]["purchase_trend"] == -1 and out[2]["purchase_trend"] == 0
