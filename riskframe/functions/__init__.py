@@ -56,10 +56,6 @@ def quarter_index(ts: Column) -> Column:
     return (F.year(ts) * 4 + F.quarter(ts) - 1).cast("bigint")
 
 
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def numeric_columns(df, exclude: Iterable[str] = (), exclude_suffix: str = "_idx") -> list[str]:
     """All numeric columns (any NumericType, bigint and decimal included)."""
     ex = set(exclude)
