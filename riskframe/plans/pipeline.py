@@ -12,6 +12,7 @@ logistic-regression models non-serialisable.)
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -24,6 +25,9 @@ from ..sources.models import save_model
 from ..spec import QUANTILE_RELATIVE_ERROR, STATS_EXCLUDED, PipelineSpec
 
 
+CONCURRENT_JOBS = 4     # independent report jobs submitted at once
+
+
 @dataclass
 class PipelineResult:
     prepared: DataFrame
@@ -82,41 +86,46 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
     counts["prepared_rows"] = prepared.count()   # Parquet footers, or the cache being filled
     groups.unpersist()
 
-    # ---- describe (A2-A10) ----
+    # Every report is bounded (features, levels, bins, 16 metrics) and is
+    # materialised once. Independent reports and the model fit are submitted
+    # as concurrent Spark jobs from driver threads, so small jobs overlap
+    # instead of queueing behind each other.
+    def small(df):
+        return None if df is None else spark.createDataFrame(df.collect(), df.schema)
+
     stat_features = [c for c in numeric_columns(prepared, STATS_EXCLUDED) if c != spec.label]
-    descriptive = stats.column_stats(prepared, stat_features, quantiles=spec.quantiles,
-                                     relative_error=QUANTILE_RELATIVE_ERROR)
-    severity = stats.severity_distribution(prepared, spec.target, spec.label)
-    labels = stats.distribution(prepared, spec.label)
     hist_feats = [c for c in spec.histogram_features if c in prepared.columns]
-    hist = stats.histograms(prepared, hist_feats, spec.bins) if hist_feats else None
-    box = (stats.boxplot_stats(prepared, spec.boxplot_feature, by=spec.label)
-           if spec.boxplot_feature and spec.boxplot_feature in prepared.columns else None)
-
-    # ---- train + score (M2-M6) ----
     feats = [c for c in spec.features if c in prepared.columns]
-    fitted, _, test = model.train_model(
-        prepared, feats, spec.label, spec.split_key, spec.train_fraction,
-        max_iter=spec.max_iter, reg_param=spec.reg_param, elastic_net=spec.elastic_net,
-        threshold=spec.class_threshold)
-    predictions = model.predict(fitted, test).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # ---- evaluate (A11-A25) ----
-    summary = evaluate.evaluation_summary(predictions, spec.label, "prediction", "p1")
-    metrics = evaluate.metrics_long(summary)
-    confusion = evaluate.confusion_counts(predictions, spec.label, "prediction")
-    roc = evaluate.roc_points(predictions, spec.label, "p1", bins=roc_bins)
-    coefs = model.coefficient_table(fitted, feats)
-    importance = model.feature_importance(coefs)
-
-    # every report is bounded (features, levels, bins, 16 metrics): materialise
-    # them once, then release the cached large tables
-    def small(df):
-        return None if df is None else spark.createDataFrame(df.collect(), df.schema)
-    descriptive, severity, labels, hist, box = map(small, (descriptive, severity, labels, hist, box))
-    metrics, confusion, coefs, importance = map(small, (metrics, confusion, coefs, importance))
-    roc = small(roc) if roc_bins else roc
-    predictions.unpersist()
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        # ---- describe (A2-A10) and train (M2-M5) ----
+        f_desc = pool.submit(lambda: stats.column_stats(
+            prepared, stat_features, quantiles=spec.quantiles, relative_error=QUANTILE_RELATIVE_ERROR))
+        f_sev = pool.submit(lambda: small(stats.severity_distribution(prepared, spec.target, spec.label)))
+        f_lab = pool.submit(lambda: small(stats.distribution(prepared, spec.label)))
+        f_hist = pool.submit(lambda: small(stats.histograms(prepared, hist_feats, spec.bins))
+                             if hist_feats else None)
+        f_box = pool.submit(lambda: small(stats.boxplot_stats(prepared, spec.boxplot_feature, by=spec.label))
+                            if spec.boxplot_feature and spec.boxplot_feature in prepared.columns else None)
+        f_fit = pool.submit(lambda: model.train_model(
+            prepared, feats, spec.label, spec.split_key, spec.train_fraction,
+            max_iter=spec.max_iter, reg_param=spec.reg_param, elastic_net=spec.elastic_net,
+            threshold=spec.class_threshold))
+        fitted, _, test = f_fit.result()
+        predictions = model.predict(fitted, test).persist(StorageLevel.MEMORY_AND_DISK)
+
+        # ---- evaluate (A11-A25, O2, M7) ----
+        f_metrics = pool.submit(lambda: small(evaluate.metrics_long(
+            evaluate.evaluation_summary(predictions, spec.label, "prediction", "p1"))))
+        f_conf = pool.submit(lambda: small(evaluate.confusion_counts(predictions, spec.label, "prediction")))
+        f_roc = pool.submit(lambda: small(evaluate.roc_points(predictions, spec.label, "p1", bins=roc_bins))
+                            if roc_bins else evaluate.roc_points(predictions, spec.label, "p1"))
+        coefs = small(model.coefficient_table(fitted, feats))
+        importance = small(model.feature_importance(coefs))
+        descriptive, severity, labels = f_desc.result(), f_sev.result(), f_lab.result()
+        hist, box = f_hist.result(), f_box.result()
+        metrics, confusion, roc = f_metrics.result(), f_conf.result(), f_roc.result()
+    if roc_bins:
+        predictions.unpersist()
     if not output_dir:
         prepared.unpersist()
 
