@@ -159,6 +159,9 @@ def save_evaluation_to_file(metrics: dict, cm: DataFrame, result_dir: str) -> di
             "confusion_matrix": reports.write_report(cm, f"{base}/confusion_matrix")}
 
 
-def extract_roc_points(pred: DataFrame, label: str = "label", bins: int | None = None) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score (or score bin)."""
-    return evaluate.roc_points(pred, label, "p1", bins)
+def extract_roc_points(pred: DataFrame, label: str = "label", bins: int | None = None,
+                       drop_intermediate: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr) as the usual ``roc_curve`` returns them by
+    default: collinear points dropped, (inf, 0, 0) first."""
+    return evaluate.roc_points(pred, label, "p1", bins, drop_intermediate=drop_intermediate,
+                               with_origin=True)

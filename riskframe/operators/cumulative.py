@@ -43,10 +43,12 @@ def _cut_points(df: DataFrame, order_col: str, nb: int):
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                   buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
+                   buckets: int | None = None, prefix: str = "cum_",
+                   keep_bucket: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows whose ``order_col`` <= this row's
     (inclusive, ascending) and ``total_<c>`` = the grand total.
-    ``order_col`` must be unique and numeric."""
+    ``order_col`` must be unique and numeric. ``keep_bucket`` also returns the
+    value-range id ``_bucket`` (ranges are ordered like ``order_col``)."""
     spark = df.sparkSession
     nb = min(MAX_BUCKETS, max(1, buckets or shuffle_partitions(spark)))
     cuts = _cut_points(df, order_col, nb)
@@ -83,4 +85,5 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
                       *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"{prefix}{c}")
                         for c in sum_cols],
-                      *[F.col(f"_all_{c}").alias(f"total_{c}") for c in sum_cols])
+                      *[F.col(f"_all_{c}").alias(f"total_{c}") for c in sum_cols],
+                      *(["_bucket"] if keep_bucket else []))

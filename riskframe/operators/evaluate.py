@@ -160,10 +160,10 @@ def roc_table(pred: DataFrame, label: str = "label", score: str = "p1",
     return _roc_from_scores(_score_table(pred, label, score, bins))
 
 
-def _roc_from_scores(g: DataFrame) -> DataFrame:
-    cum = running_totals(g, "score", ["pos", "neg"])
+def _roc_from_scores(g: DataFrame, keep_bucket: bool = False) -> DataFrame:
+    cum = running_totals(g, "score", ["pos", "neg"], keep_bucket=keep_bucket)
     return cum.select(
-        "score", "pos", "neg",
+        *(["_bucket"] if keep_bucket else []), "score", "pos", "neg",
         (F.col("total_pos") - F.col("cum_pos") + F.col("pos")).alias("tp"),
         (F.col("total_neg") - F.col("cum_neg") + F.col("neg")).alias("fp"),
         (F.col("cum_neg") - F.col("neg")).alias("neg_below"),
@@ -171,12 +171,47 @@ def _roc_from_scores(g: DataFrame) -> DataFrame:
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "p1",
-               bins: int | None = None) -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score (or score bin)."""
-    t = roc_table(pred, label, score, bins)
-    return t.select(F.col("score").alias("threshold"),
-                    (F.col("fp") / F.col("N")).alias("fpr"),
-                    (F.col("tp") / F.col("P")).alias("tpr"))
+               bins: int | None = None, drop_intermediate: bool = False,
+               with_origin: bool = False) -> DataFrame:
+    """(threshold, fpr, tpr) for every distinct score (or score bin).
+
+    ``drop_intermediate`` keeps only the points where the curve bends (the
+    highest and lowest score, and points whose second difference of fp or tp
+    is non-zero), and ``with_origin`` adds (inf, 0, 0): together they give the
+    points of the usual ``roc_curve`` with its defaults. Neighbours in the
+    global score order come from ``lag`` / ``lead`` inside each value range
+    plus the edge rows of the adjacent ranges (one row per range, bounded).
+    """
+    if not drop_intermediate:
+        t = roc_table(pred, label, score, bins)
+    else:
+        from pyspark.sql import Window
+        t = _roc_from_scores(_score_table(pred, label, score, bins), keep_bucket=True)
+        w = Window.partitionBy("_bucket").orderBy("score")
+        t = t.select("*", *[f(F.col(c)).over(w).alias(f"_{name}_{c}")
+                            for c in ("tp", "fp") for f, name in ((F.lag, "lo"), (F.lead, "hi"))])
+        edges = t.groupBy("_bucket").agg(
+            *[F.min_by(c, "score").alias(f"_first_{c}") for c in ("tp", "fp")],
+            *[F.max_by(c, "score").alias(f"_last_{c}") for c in ("tp", "fp")])
+        # one row per value range: a bounded single-partition window, then broadcast
+        we = Window.orderBy("_bucket")
+        edges = edges.select("_bucket", *[F.lag(f"_last_{c}").over(we).alias(f"_below_{c}") for c in ("tp", "fp")],
+                             *[F.lead(f"_first_{c}").over(we).alias(f"_above_{c}") for c in ("tp", "fp")])
+        t = t.join(F.broadcast(edges), "_bucket")
+        lo = {c: F.coalesce(F.col(f"_lo_{c}"), F.col(f"_below_{c}")) for c in ("tp", "fp")}
+        hi = {c: F.coalesce(F.col(f"_hi_{c}"), F.col(f"_above_{c}")) for c in ("tp", "fp")}
+        bend = F.lit(False)
+        for c in ("tp", "fp"):
+            bend = bend | ((hi[c] - F.lit(2.0) * F.col(c) + lo[c]) != 0)
+        t = t.where(lo["tp"].isNull() | hi["tp"].isNull() | bend)
+    out = t.select(F.col("score").alias("threshold"),
+                   (F.col("fp") / F.col("N")).alias("fpr"),
+                   (F.col("tp") / F.col("P")).alias("tpr"))
+    if with_origin:
+        origin = pred.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)],
+                                                   "threshold double, fpr double, tpr double")
+        out = origin.unionByName(out)
+    return out
 
 
 def auc_exact(pred: DataFrame, label: str = "label", score: str = "p1") -> DataFrame:

@@ -466,6 +466,25 @@ def q_roc_points(spark, d):
     return evaluate.roc_points(scored_orders(spark, d))
 
 
+@query("roc_curve", f"""
+WITH {SCORED_SQL},
+g AS (SELECT p1, sum(label) AS pos, count(*) - sum(label) AS neg FROM sp GROUP BY p1),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
+r AS (SELECT p1, sum(pos) OVER (ORDER BY p1 DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+             sum(neg) OVER (ORDER BY p1 DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM g),
+k AS (SELECT *, lag(tp) OVER (ORDER BY p1 DESC) AS tp_a, lead(tp) OVER (ORDER BY p1 DESC) AS tp_b,
+             lag(fp) OVER (ORDER BY p1 DESC) AS fp_a, lead(fp) OVER (ORDER BY p1 DESC) AS fp_b FROM r)
+SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS fpr, CAST(0.0 AS DOUBLE) AS tpr
+UNION ALL
+SELECT {sql_sig('p1')} AS threshold, {sql_sig('CAST(fp AS DOUBLE) / N')} AS fpr,
+       {sql_sig('CAST(tp AS DOUBLE) / P')} AS tpr
+FROM k, t
+WHERE tp_a IS NULL OR tp_b IS NULL OR tp_b - 2 * tp + tp_a <> 0 OR fp_b - 2 * fp + fp_a <> 0""")
+def q_roc_curve(spark, d):
+    """A23 as the usual roc_curve: bend points only, origin (inf, 0, 0) first."""
+    return evaluate.roc_points(scored_orders(spark, d), drop_intermediate=True, with_origin=True)
+
+
 def _metrics_long_sql():
     cols = {
         "accuracy": "(tp + tn) / (tp + tn + fp + fn)", "auc_roc": "(SELECT auc_roc FROM auc)",

@@ -360,3 +360,34 @@ def test_latest_quarter_rows(spark):
     out = {r["c"]: r for r in features.latest_quarter_rows(o, "c", "o", "d", "amt").collect()}
     assert set(out) == {1, 2}                         # customers active in the last quarter
     assert out[1]["purchase_trend"] == -1 and out[2]["purchase_trend"] == 0
+
+
+def _roc_curve_reference(y, s):
+    """numpy version of the usual roc_curve (drop_intermediate=True)."""
+    y, s = np.asarray(y, float), np.asarray(s, float)
+    order = np.argsort(-s, kind="mergesort")
+    y, s = y[order], s[order]
+    idx = np.r_[np.where(np.diff(s))[0], y.size - 1]
+    tps = np.cumsum(y)[idx]
+    fps = 1 + idx - tps
+    thr = s[idx]
+    if len(fps) > 2:
+        keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+        fps, tps, thr = fps[keep], tps[keep], thr[keep]
+    tps, fps, thr = np.r_[0, tps], np.r_[0, fps], np.r_[np.inf, thr]
+    return thr, fps / fps[-1], tps / tps[-1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_roc_drop_intermediate_matches_reference_curve(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(int(rnd.random() < 0.35), round(rnd.random(), 2) if rnd.random() < 0.7 else 0.5)
+            for _ in range(2500)]
+    df = spark.createDataFrame(rows, "label int, p1 double").repartition(5)
+    got = sorted(((r["threshold"], r["fpr"], r["tpr"]) for r in
+                  evaluate.roc_points(df, drop_intermediate=True, with_origin=True).collect()),
+                 key=lambda t: -t[0])
+    thr, fpr, tpr = _roc_curve_reference([y for y, _ in rows], [p for _, p in rows])
+    assert len(got) == len(thr)
+    for (a, b, c), x, y_, z in zip(got, thr, fpr, tpr):
+        assert a == x and b == pytest.approx(y_) and c == pytest.approx(z)
