@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import EPS_LOG, EPS_RATE, col, safe_ratio
+from ..session import ensure_checkpoint_dir
 from .cumulative import running_totals
 
 # ---------------------------------------------------------------------------
@@ -153,6 +154,18 @@ def _score_table(pred: DataFrame, label: str, score: str, bins: int | None) -> D
                 .agg(F.sum(y).alias("pos"), F.sum(F.lit(1.0) - y).alias("neg")))
 
 
+def _written_once(g: DataFrame) -> DataFrame:
+    """Compute ``g`` once and write it to the shared checkpoint folder (reliable
+    checkpoint: lineage cut, survives executor loss); every later branch reads
+    the written rows instead of re-scanning and re-aggregating the input."""
+    ensure_checkpoint_dir(g.sparkSession)
+    cached = g.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def roc_table(pred: DataFrame, label: str = "label", score: str = "p1",
               bins: int | None = None) -> DataFrame:
     """Per distinct score: positives / negatives with scores >= it (a
@@ -182,11 +195,14 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "p1",
     global score order come from ``lag`` / ``lead`` inside each value range
     plus the edge rows of the adjacent ranges (one row per range, bounded).
     """
+    # the per-score table feeds the cut points, the running sums, the range
+    # offsets (and the edge rows): written once, read by every branch
+    g = _written_once(_score_table(pred, label, score, bins))
     if not drop_intermediate:
-        t = roc_table(pred, label, score, bins)
+        t = _roc_from_scores(g)
     else:
         from pyspark.sql import Window
-        t = _roc_from_scores(_score_table(pred, label, score, bins), keep_bucket=True)
+        t = _roc_from_scores(g, keep_bucket=True)
         w = Window.partitionBy("_bucket").orderBy("score")
         t = t.select("*", *[f(F.col(c)).over(w).alias(f"_{name}_{c}")
                             for c in ("tp", "fp") for f, name in ((F.lag, "lo"), (F.lead, "hi"))])
