@@ -54,6 +54,15 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Whole rows in one struct column ``row`` beside id and text, so that no column of
+    the input can clash with a helper; ``select("row.*")`` gives them back."""
+    ship(docs.sparkSession)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
 def text_key(text: Column) -> Column:
     """Tells apart rows that share an id but not a text (null and empty differ too)."""
     return F.xxhash64(text, F.length(text))

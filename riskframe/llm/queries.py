@@ -36,3 +36,15 @@ def op5_token_files(spark: SparkSession, d: str) -> DataFrame:
     """Every document's ids written to shard files and read back from them."""
     from . import token_files as t
     return t.read_shards(t.write_shards(table(spark, d, "documents"))).drop("shard")
+
+
+@query
+def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' words inside 10-word windows of benchmark items."""
+    from . import decontaminate as t
+    h = t.find_hits(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
+    return h.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                    F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                    (n_hit > 0).alias("contaminated"), "longest")
