@@ -48,3 +48,12 @@ def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
                     F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                     (n_hit > 0).alias("contaminated"), "longest")
+
+
+@query
+def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Predicted language of every document; the held-out fold is never learnt from."""
+    from . import langid as t
+    docs = table(spark, d, "documents")
+    model = t.fit(docs.where(~t.held_out()))
+    return t.predict(docs, model).select("doc_id", t.held_out().alias("held_out"), "lang_pred", "score")
