@@ -57,3 +57,12 @@ def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     model = t.fit(docs.where(~t.held_out()))
     return t.predict(docs, model).select("doc_id", t.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Base measures, base failures and the verdict of the risk-controlled cutoffs."""
+    from . import quality as t
+    return (t.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept", "failed_rules"))
