@@ -66,3 +66,14 @@ def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return (t.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "failed_rules"))
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    """Every document encoded and decoded: sizes, score, digests and the round trip."""
+    from . import pieces as t
+    from .common import text_key
+    x = t.decode(t.encode(table(spark, d, "documents")))
+    return x.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", "n_chunks",
+                    F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"),
+                    (text_key(F.col("text")) == F.col("text_key")).alias("round_trip"))
