@@ -77,3 +77,40 @@ def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", "n_chunks",
                     F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"),
                     (text_key(F.col("text")) == F.col("text_key")).alias("round_trip"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without lines that repeat an earlier line or are one word edit from one."""
+    from . import line_dedup as t
+    return t.dedup_lines(table(spark, d, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op2_line_dedup"] = r"""
+WITH lines AS MATERIALIZED (
+  SELECT doc_id, i - 1 AS line_no, l, list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+        FROM documents WHERE text IS NOT NULL)),
+long AS (SELECT doc_id, line_no, w, len(w) AS n, row_number() OVER (ORDER BY doc_id, line_no) AS pos
+         FROM lines WHERE len(w) >= 5),
+cls AS MATERIALIZED (SELECT array_to_string(w, ' ') AS k, any_value(w) AS w, any_value(n) AS n, min(pos) AS pos
+                     FROM long GROUP BY 1),
+variants AS MATERIALIZED (
+  SELECT k, n, pos, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM cls WHERE n >= 8)),
+near AS (
+  SELECT k FROM variants JOIN (SELECT v, i, n, min(pos) AS m FROM variants GROUP BY v, i, n) USING (v, i, n) WHERE m < pos
+  UNION SELECT x.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 8 WHERE s.pos < x.pos
+  UNION SELECT s.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 8 WHERE x.pos < s.pos),
+gone AS (
+  SELECT doc_id, line_no FROM long JOIN cls ON array_to_string(long.w, ' ') = cls.k
+  WHERE long.pos > cls.pos OR cls.k IN (SELECT k FROM near)),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.doc_id) AS n_removed,
+         sha256(coalesce(string_agg(l.l, chr(10) ORDER BY l.line_no) FILTER (WHERE g.doc_id IS NULL), '')) AS kept_sha256
+  FROM lines l LEFT JOIN gone g USING (doc_id, line_no) GROUP BY 1)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
+"""
