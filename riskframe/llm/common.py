@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -74,7 +75,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and let the driver drop what it
+    still holds of finished jobs, so that Spark's cleaner removes their shuffle files."""
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        p = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

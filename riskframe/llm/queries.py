@@ -114,3 +114,32 @@ kept AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept_sha256
 FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without the 50-word runs that a document with a smaller id has."""
+    from . import recompression as t
+    return t.dedup_substrings(table(spark, d, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op4_substring_dedup"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+hit AS (SELECT doc_id, i FROM win JOIN (SELECT h, min(doc_id) AS a FROM win GROUP BY h) USING (h) WHERE a < doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 50)))) AS g FROM hit GROUP BY doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+gone_word AS (SELECT doc_id, unnest(g) AS i, true AS gone FROM gone),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(gone) AS n_removed,
+         sha256(coalesce(string_agg(x, ' ' ORDER BY i) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+  FROM word LEFT JOIN gone_word USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
+"""
