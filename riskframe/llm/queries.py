@@ -143,3 +143,11 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_remo
        coalesce(kept_sha256, sha256('')) AS kept_sha256
 FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without the 400-byte runs that also occur anywhere else."""
+    from . import suffix_family as t
+    return t.dedup_bytes(table(spark, d, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
