@@ -151,3 +151,10 @@ def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     from . import suffix_family as t
     return t.dedup_bytes(table(spark, d, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets are at least 0.8 similar."""
+    from . import jaccard as t
+    return t.jaccard_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
