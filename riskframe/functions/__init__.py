@@ -41,14 +41,17 @@ def all_present(df, columns: Iterable[str]) -> Column:
     return cond
 
 
-def hash_fraction_bucket(key_cols: Iterable[str | Column]) -> Column:
-    """Deterministic 0..99 bucket of a row key: md5 -> first 7 hex digits -> mod 100.
+BUCKETS = 1 << 28          # values of a row key's bucket
+
+
+def hash_bucket(key_cols: Iterable[str | Column]) -> Column:
+    """Deterministic 28-bit bucket of a row key: the first 7 hex digits of its md5.
 
     Independent of partitioning and of the engine (the same digits are
     reproducible in SQL), unlike a seeded random split.
     """
     key = F.concat_ws("|", *[col(c).cast("string") for c in key_cols])
-    return (F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("bigint") % 100)
+    return F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("bigint")
 
 
 def quarter_index(ts: Column) -> Column:

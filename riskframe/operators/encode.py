@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import col
 
-MAX_BROADCAST_ROWS = 1_000_000   # lookup tables above this size use a shuffle join
-
 
 def fit_string_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx",
                      handle_invalid: str = "keep") -> StringIndexerModel | None:
@@ -48,9 +46,9 @@ def category_lookup(df: DataFrame, column: str, mapping: Mapping[str, float] | D
                     out: str | None = None, default: float = 0.0) -> DataFrame:
     """Replace a category by its index from a mapping; unknown -> ``default``.
 
-    A mapping DataFrame must have (value, idx). It is broadcast only after
-    its row count is checked against ``MAX_BROADCAST_ROWS``; larger maps
-    fall back to a regular (shuffle) join.
+    A mapping DataFrame must have (value, idx); with a ``column`` column, as
+    :func:`index_table` gives, only the rows of ``column`` count. A value listed twice
+    raises. The planner picks the join by the table's size in bytes.
     """
     out = out or column + "_idx"
     spark = df.sparkSession
@@ -59,9 +57,14 @@ def category_lookup(df: DataFrame, column: str, mapping: Mapping[str, float] | D
                                     "value string, idx double")
         small = True
     else:
+        if "column" in mapping.columns:
+            mapping = mapping.where(F.col("column") == column)
         mdf = mapping.select(F.col("value").cast("string").alias("value"),
                              F.col("idx").cast("double").alias("idx"))
-        small = mdf.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+        twice = mdf.groupBy("value").count().where("count > 1").first()
+        if twice:
+            raise ValueError(f"the mapping lists {twice['value']!r} {twice['count']} times")
+        small = False
     mdf = mdf.withColumnRenamed("value", "_lk_value").withColumnRenamed("idx", "_lk_idx")
     right = F.broadcast(mdf) if small else mdf
     j = df.join(right, col(column).cast("string") == F.col("_lk_value"), "left")

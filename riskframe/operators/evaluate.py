@@ -221,8 +221,8 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "p1",
             bend = bend | ((hi[c] - F.lit(2.0) * F.col(c) + lo[c]) != 0)
         t = t.where(lo["tp"].isNull() | hi["tp"].isNull() | bend)
     out = t.select(F.col("score").alias("threshold"),
-                   (F.col("fp") / F.col("N")).alias("fpr"),
-                   (F.col("tp") / F.col("P")).alias("tpr"))
+                   F.try_divide("fp", "N").alias("fpr"),      # null where a class is absent
+                   F.try_divide("tp", "P").alias("tpr"))
     if with_origin:
         origin = pred.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)],
                                                    "threshold double, fpr double, tpr double")

@@ -100,30 +100,44 @@ def quarter_trend(qf: DataFrame, customer: str) -> DataFrame:
     return qf.withColumn("purchase_trend", trend.cast("int"))
 
 
-def next_quarter_label(qf: DataFrame, customer: str, label: str = "label") -> DataFrame:
+def next_quarter_label(qf: DataFrame, customer: str, label: str = "label",
+                       last_quarter: int | None = None) -> DataFrame:
     """1 when the customer buys in the next quarter, else 0.
 
     Rows of the data set's last quarter are dropped: their next quarter is not
-    observed, so the label is unknown.
+    observed, so the label is unknown. ``last_quarter`` (an index) names that
+    quarter where the caller knows it, for instance the last *complete* one.
     """
-    last_q = qf.select(F.max("quarter_idx").alias("m")).first()["m"]
+    if last_quarter is None:
+        last_quarter = qf.select(F.max("quarter_idx").alias("m")).first()["m"]
     w = Window.partitionBy(col(customer)).orderBy("quarter_idx")
     nxt = F.lead("quarter_idx").over(w)
     return (qf.withColumn(label, F.when(nxt == F.col("quarter_idx") + 1, F.lit(1)).otherwise(F.lit(0)))
-              .where(F.col("quarter_idx") < F.lit(last_q)))
+              .where(F.col("quarter_idx") < F.lit(last_quarter)))
 
 
 def customer_quarter_table(orders: DataFrame, customer: str, order_id: str, ts: str,
-                           amount: str, label: str = "label") -> DataFrame:
-    """D4 + D5 + D6 in one plan: both windows share one partitioning/sort."""
+                           amount: str, label: str = "label", complete_until=None) -> DataFrame:
+    """D4 + D5 + D6 in one plan: both windows share one partitioning/sort.
+
+    The last quarter comes from the orders' last date (one aggregate over one column),
+    or from ``complete_until``: the date up to which orders are complete. Quarters
+    that are not over by then are no evidence that a customer did not buy, so labels
+    stop before the last complete quarter."""
+    if complete_until is None:
+        last = orders.select(quarter_index(F.max(col(ts))).alias("m")).first()["m"]
+    else:
+        end = F.date_add(F.lit(complete_until).cast("date"), 1)      # the quarter it falls in is open
+        last = orders.sparkSession.range(1).select((quarter_index(end) - 1).alias("m")).first()["m"]
     qf = quarter_features(orders, customer, order_id, ts, amount)
-    return next_quarter_label(quarter_trend(qf, customer), customer, label)
+    return next_quarter_label(quarter_trend(qf, customer), customer, label, last)
 
 
 def latest_quarter_rows(orders: DataFrame, customer: str, order_id: str, ts: str,
                         amount: str) -> DataFrame:
-    """D7 input: customer-quarter features (with trend) of the data set's last
-    quarter - the rows whose next-quarter outcome is not yet known, to be scored."""
+    """D7 input: for *every* customer the features (with trend) of the last quarter in
+    which the customer bought - the row to be scored."""
     qf = quarter_trend(quarter_features(orders, customer, order_id, ts, amount), customer)
-    last_q = qf.select(F.max("quarter_idx").alias("m")).first()["m"]
-    return qf.where(F.col("quarter_idx") == F.lit(last_q))
+    last = Window.partitionBy(col(customer))         # one row per quarter of a customer
+    return (qf.withColumn("_last", F.max("quarter_idx").over(last))
+              .where(F.col("quarter_idx") == F.col("_last")).drop("_last"))

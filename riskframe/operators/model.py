@@ -3,7 +3,7 @@
 Training uses MLlib's ``Pipeline``: VectorAssembler -> StandardScaler
 (mean and sample std from the training rows only) -> LogisticRegression.
 Each optimizer iteration is one distributed aggregation (treeAggregate);
-the scaled training vectors are persisted for the iterations and released.
+the training rows are persisted for the fit and released.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import col, hash_fraction_bucket
+from ..functions import BUCKETS, col, hash_bucket
 from .evaluate import positive_probability
 
 
@@ -29,8 +29,8 @@ def hash_split(df: DataFrame, key_cols: Sequence[str] | None = None,
     input is partitioned, and it is reproducible in SQL.
     """
     keys = list(key_cols) if key_cols else df.columns
-    cut = int(round(train_fraction * 100))
-    return df.withColumn(out, hash_fraction_bucket(keys) < F.lit(cut))
+    cut = int(round(train_fraction * BUCKETS))
+    return df.withColumn(out, hash_bucket(keys) < F.lit(cut).cast("bigint"))
 
 
 def split_sizes(flagged: DataFrame, flag: str = "is_train") -> DataFrame:
@@ -40,8 +40,8 @@ def split_sizes(flagged: DataFrame, flag: str = "is_train") -> DataFrame:
                     F.count(F.lit(1)).alias("total_rows"))
     return g.select(
         *[F.col(c).cast("bigint").alias(c) for c in ("train_rows", "test_rows", "total_rows")],
-        (F.col("train_rows") * 100.0 / F.col("total_rows")).alias("train_pct"),
-        (F.col("test_rows") * 100.0 / F.col("total_rows")).alias("test_pct"))
+        F.try_divide(F.col("train_rows") * 100.0, F.col("total_rows")).alias("train_pct"),
+        F.try_divide(F.col("test_rows") * 100.0, F.col("total_rows")).alias("test_pct"))
 
 
 def build_pipeline(features: Sequence[str], label: str = "label", max_iter: int = 50,
@@ -70,23 +70,29 @@ def train_model(df: DataFrame, features: Sequence[str], label: str = "label",
     flagged = hash_split(df, key_cols, train_fraction)
     train = flagged.where(F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
     test = flagged.where(~F.col("is_train")).drop("is_train").withColumn(label, col(label).cast("double"))
-    # iterative fitting re-reads the cached training rows every iteration: make
-    # sure they are spread over at least the cluster's default parallelism (a
-    # no-op for inputs that already have that many partitions)
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < par:
-        train = train.repartition(par)
     # features named <col>_idx for an existing <col> are indexed inside the pipeline
-    indexed = [f[:-4] for f in features
-               if f.endswith("_idx") and f not in df.columns and f[:-4] in df.columns]
-    train.persist(StorageLevel.MEMORY_AND_DISK)
+    require_features(df, features)
+    indexed = [f[:-4] for f in features if f not in df.columns]
+    # fitting goes over the rows once an iteration: only the columns it needs, spread
+    # evenly over the cluster whatever the input's partitions are
+    par = df.sparkSession.sparkContext.defaultParallelism
+    rows = train.select(*[col(c) for c in dict.fromkeys([f for f in features if f in df.columns] + indexed)],
+                        col(label).alias(label)).repartition(par).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_pipeline(features, label, indexed=indexed, **lr).fit(train)
+        model = build_pipeline(features, label, indexed=indexed, **lr).fit(rows)
     finally:
-        train.unpersist()
+        rows.unpersist()
     return model, train, test
 
 
+def require_features(df: DataFrame, features: Sequence[str]) -> None:
+    """Every feature is a column, or the index (``<col>_idx``) of one; nothing is left out."""
+    missing = [f for f in features if f not in df.columns
+               and not (f.endswith("_idx") and f[:-4] in df.columns)]
+    if missing:
+        raise ValueError(f"features not in the table: {missing}; it has {df.columns}")
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M6: probability vector, raw score, class (MLlib: class 1 when p > threshold)
     plus ``p1`` = P(class 1) as a plain double."""

@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from ..functions import col
 
-MAX_TARGETS = 50_000        # size bound of the broadcast target table
+FINITE = 1.7976931348623157e308
+MAX_TARGETS = 50_000        # targets in one broadcast table; more go in parts
 SKETCH_ACCURACY = 10_000    # rank error of the bracketing sketch: n / 10_000
 FINAL_ROWS = 4096           # a bracket with at most this many rows is resolved by value
 VALUE_BUDGET = 1_000_000    # at most this many (estimated) values fetched per pass
@@ -119,8 +120,15 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
     if summary is None:
         summary = long.groupBy(*[F.col(g) for g in group_cols], "feature").agg(
             *summary_aggs("x", probs, accuracy)).collect()
-    if len(summary) * len(probs) * 2 > MAX_TARGETS:
-        raise ValueError(f"too many (group, feature, rank) targets: {len(summary) * len(probs) * 2}")
+    most = max(1, MAX_TARGETS // (2 * len(probs)))
+    if len(summary) > most:               # more than one broadcast should hold: in parts
+        sizes, values = {}, {}
+        for i in range(0, len(summary), most):
+            s, v = order_statistics(df, value_cols, probs, group_cols, summary[i:i + most], bins,
+                                    final_rows, accuracy)
+            sizes.update(s)
+            values.update(v)
+        return sizes, values
     group_fields = [df.schema[g] for g in group_cols]
 
     sizes: dict = {}
@@ -190,8 +198,7 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
                 e = F.when(F.col("_l") == i + 1, F.col(f"_{c}{i}")).otherwise(e)
             return e
         nb, lo, hi = pick("nb"), pick("lo"), pick("hi")
-        bucket = F.when(~inside | (nb == 0), F.lit(0)).otherwise(
-            F.least(F.floor((x - lo) / (hi - lo) * nb), nb - 1).cast("int"))
+        bucket = F.when(~inside | (nb == 0), F.lit(0)).otherwise(_bucket(x, lo, hi, nb))
         val = F.when(inside & (nb == 0), x)
         hist = (j.groupBy(*gcols, "feature", slot.alias("_s"), bucket.alias("_b"), val.alias("_v"))
                  .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -210,6 +217,8 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
                         if r["_v"] is not None or r["mn"] == r["mx"]:
                             values[(key[0], key[1], rank)] = r["mn"]
                         else:
+                            if ranks[rank][:2] == [r["mn"], r["mx"]] and r["c"] == ranks[rank][2]:
+                                raise RuntimeError(f"no progress on {key} between {r['mn']} and {r['mx']}")
                             nxt.setdefault(key, {})[rank] = [r["mn"], r["mx"], r["c"]]
                         break
                     cum += r["c"]
@@ -217,6 +226,63 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
     return sizes, values
 
 
+def _bucket(x, lo, hi, nb):
+    """Bucket 0..nb-1 of ``x`` in ``lo``..``hi``; monotone for any doubles. Infinite ends are
+    pulled to the largest finite double and halves are taken where a difference could
+    overflow; what is equal after that (an infinity and its neighbour) is told apart by
+    comparing, so every pass splits the range."""
+    big = F.lit(FINITE)
+    cx, cl, ch = (F.greatest(F.least(v, big), -big) for v in (x, lo, hi))
+    wide = (ch > big / 2) | (cl < -big / 2)
+    f = lambda a, b: F.when(wide, a / 2 - b / 2).otherwise(a - b)
+    share = F.try_divide(f(cx, cl), f(ch, cl))
+    # the ends' own buckets hold nothing else when they are infinite
+    return (F.when(cl >= ch, (x > lo).cast("int")).when((x == lo) & (lo < -big), F.lit(0))
+            .when((x == hi) & (hi > big), nb - 1)
+            .otherwise(F.least(F.floor(share * nb), nb - 1).cast("int")))
+
+
+SORT_ROWS = 2_000_000       # a group of at most this many values is sorted in one task (spilling)
+
+
+def grouped_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
+                      group_cols: Sequence[str], sort_rows: int = SORT_ROWS) -> DataFrame:
+    """Exact interpolated quantiles of any number of groups, as ``exact_quantiles`` but
+    without a driver-side table of groups: ordinary groups are sorted by the cluster, one
+    pass for all; only groups beyond ``sort_rows`` values go through range narrowing."""
+    from pyspark.sql import Window
+    keys = [*group_cols, "feature"]
+    long = stack_long(df, value_cols, group_cols)
+    whole = Window.partitionBy(*keys)
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.where(F.col("_n") > sort_rows).select(*[F.col(g).alias(f"_big_{g}") for g in group_cols]).distinct()
+    some = not big.isEmpty()
+    if some:
+        match = F.lit(True)
+        for g in group_cols:
+            match = match & F.col(g).eqNullSafe(F.col(f"_big_{g}"))
+        large = exact_quantiles(df.join(big, match, "left_semi"), value_cols, probs, group_cols)
+        long = stack_long(df.join(big, match, "left_anti"), value_cols, group_cols)
+    ranked = long.select(*keys, "x", (F.row_number().over(whole.orderBy("x")) - 1).alias("_i"),
+                         F.count(F.lit(1)).over(whole).alias("_n"))
+    aggs = []
+    for k, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        a, b = F.floor(h), F.ceil(h)
+        aggs += [F.max(F.when(F.col("_i") == a, F.col("x"))).alias(f"_a{k}"),
+                 F.max(F.when(F.col("_i") == b, F.col("x"))).alias(f"_b{k}"), F.max(h - a).alias(f"_f{k}")]
+    g = ranked.groupBy(*keys).agg(*aggs)
+
+    def value(k):
+        a, b, f = F.col(f"_a{k}"), F.col(f"_b{k}"), F.col(f"_f{k}")
+        return F.when((f == 0) | (a == b), a).otherwise(a + f * (b - a))      # equal infinities too
+
+    out = g.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), value(k).alias("value")) for k, p in enumerate(probs)])).alias("_q"))
+    out = out.select(*keys, "_q.prob", "_q.value")
+    return out.unionByName(large) if some else out
+
+
 def exact_quantile_values(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
                           group_cols: Sequence[str] = (), **kw) -> dict:
     """{(group_tuple, feature, prob): value} with linear interpolation."""
@@ -230,7 +296,7 @@ def exact_quantile_values(df: DataFrame, value_cols: Sequence[str], probs: Seque
             lo_r, hi_r = _ranks(p, n)
             a, b = vals[(g, f, lo_r)], vals[(g, f, hi_r)]
             h = p * (n - 1)
-            out[(g, f, p)] = a + (h - lo_r) * (b - a) if hi_r != lo_r else a
+            out[(g, f, p)] = a if hi_r == lo_r or a == b else a + (h - lo_r) * (b - a)
     return out
 
 

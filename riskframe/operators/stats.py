@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import all_present, col, numeric_columns
+from ..session import delete_path, scratch_dir
 from .quantiles import exact_quantile_values, stack_long, summary_aggs
 
 STAT_COLUMNS = ("Feature", "Count", "Mean", "Median", "Std", "Min", "Max", "Q1", "Q3",
                 "Skewness", "Kurtosis")
-MAX_GROUPS = 10_000     # size bound for per-group tables that get broadcast
 
 
 # ---------------------------------------------------------------- counts ---
@@ -69,7 +69,7 @@ def describe_core(df: DataFrame, columns: Sequence[str] | None = None,
         columns = [c for c in preferred if c in df.columns] or df.columns[:5]
     aggs = []
     for i, c in enumerate(columns):
-        x = col(c).cast("double")
+        x = col(c).try_cast("double")            # text has counts, and numbers where it holds some
         aggs += [F.count(col(c)).cast("double").alias(f"count_{i}"), F.avg(x).alias(f"mean_{i}"),
                  F.stddev_samp(x).alias(f"stddev_{i}"), F.min(x).alias(f"min_{i}"),
                  F.max(x).alias(f"max_{i}")]
@@ -92,11 +92,16 @@ def describe_strings(df: DataFrame, columns: Sequence[str] | None = None,
 
 # --------------------------------------------------------- column stats ---
 
-def _moments(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    return long.groupBy(*[F.col(g) for g in group_cols], "feature").agg(
-        F.count("x").alias("Count"), F.avg("x").alias("Mean"),
-        F.stddev_samp("x").alias("Std"), F.min("x").alias("Min"), F.max("x").alias("Max"),
-        F.skewness("x").alias("Skewness"), F.kurtosis("x").alias("Kurtosis"))
+def _wide_moments(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Count, Mean, Std, Min, Max, Skewness, Kurtosis per feature, quartiles null."""
+    aggs = {"Count": F.count, "Mean": F.avg, "Std": F.stddev_samp, "Min": F.min, "Max": F.max,
+            "Skewness": F.skewness, "Kurtosis": F.kurtosis}
+    one = df.agg(*[f(col(c).cast("double")).alias(f"{n}_{i}")
+                   for i, c in enumerate(features) for n, f in aggs.items()])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("Feature"), *[
+        (F.col(f"{n}_{i}") if n in aggs else F.lit(None).cast("double")).alias(n) for n in STAT_COLUMNS[1:]])
+        for i, c in enumerate(features)])).alias("r")
+    return one.select(rows).select("r.*")
 
 
 def column_stats(df: DataFrame, features: Sequence[str] | None = None,
@@ -108,9 +113,21 @@ def column_stats(df: DataFrame, features: Sequence[str] | None = None,
 
     ``quantiles='exact'``: interpolated order statistics (distributed
     selection, a few extra scans); ``'approx'``: sketch with the given
-    relative rank error, computed in the same single scan.
+    relative rank error, computed in the same single scan; ``'none'``: no
+    quartiles, one plain aggregate. ``cache`` computes the input once (in the
+    shared folder, removed afterwards) when it is costly and read repeatedly.
     """
     features = list(features) if features is not None else numeric_columns(df, exclude)
+    if cache:                     # several passes: compute the input once, in the shared folder
+        path = scratch_dir(df.sparkSession, "column-stats")
+        df.select(*[col(f) for f in features]).write.parquet(path)
+        try:
+            return spark_local(column_stats(df.sparkSession.read.parquet(path), features, (), quantiles,
+                                            relative_error))
+        finally:
+            delete_path(df.sparkSession, path)
+    if quantiles == "none":       # moments only: one aggregate without the unpivoted view
+        return _wide_moments(df, features)
     long = stack_long(df, features, drop_nan=False)
     moments = [F.count("x").alias("Count"), F.avg("x").alias("Mean"),
                F.stddev_samp("x").alias("Std"), F.min("x").alias("Min"), F.max("x").alias("Max"),
@@ -193,28 +210,28 @@ def histograms(df: DataFrame, features: Sequence[str], bins: int = 30,
     counts = (binned.groupBy(*keys, bin_index(F.col("x"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
                     .agg(F.count(F.lit(1)).alias("count")))
 
-    spark = df.sparkSession
-    grid_rows = []
+    grid_rows = []                       # features x bins
     for f in feats:
         lo, hi = rng[f]
         step = (hi - lo) / bins
         for i in range(bins):
             grid_rows.append((f, i, i * step + lo, hi if i == bins - 1 else (i + 1) * step + lo))
-    grid = spark.createDataFrame(grid_rows, "feature string, bin int, bin_lo double, bin_hi double")
-    if by:
-        groups = [r[0] for r in long.select(by).distinct().limit(MAX_GROUPS + 1).collect()]
-        if len(groups) > MAX_GROUPS:
-            raise ValueError(f"too many groups for a per-group histogram (> {MAX_GROUPS})")
-        gtype = df.schema[by].dataType
-        garr = F.array(*[F.lit(g).cast(gtype) for g in groups])
-        grid = grid.select(F.explode(garr).alias(by), "*")
-        on = [by, "feature", "bin"]
-    else:
-        on = ["feature", "bin"]
-    # counts has at most one row per grid cell (features x bins x groups): bounded, broadcast
-    out = grid.join(F.broadcast(counts), on, "left")
-    return out.select(*[F.col(c) for c in on], "bin_lo", "bin_hi",
-                      F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(i).alias("bin"),
+                               F.lit(float(a)).alias("bin_lo"), F.lit(float(b)).alias("bin_hi"))
+                      for f, i, a, b in grid_rows])
+    if not by:
+        grid = df.sparkSession.createDataFrame(grid_rows, "feature string, bin int, bin_lo double, bin_hi double")
+        out = grid.join(counts, ["feature", "bin"], "left")
+        return out.select("feature", "bin", "bin_lo", "bin_hi",
+                          F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
+    # a null group is a group; per group the counts become a map, and every cell looks itself
+    # up in it: any number of groups, one row each, no join
+    key = F.struct("feature", "bin")
+    held = counts.groupBy(F.col(by)).agg(F.map_from_entries(F.collect_list(F.struct(key, "count"))).alias("_m"))
+    out = held.select(by, "_m", F.explode(cells).alias("_c"))
+    return out.select(by, "_c.feature", "_c.bin", "_c.bin_lo", "_c.bin_hi", F.coalesce(
+        F.col("_m")[F.struct(F.col("_c.feature").alias("feature"), F.col("_c.bin").alias("bin"))],
+        F.lit(0)).cast("bigint").alias("count"))
 
 
 def histogram(df: DataFrame, feature: str, bins: int = 30, by: str | None = None) -> DataFrame:
@@ -247,8 +264,6 @@ def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float =
             base.unpersist()
     qv = exact_quantile_values(base, ["_v"], (0.25, 0.5, 0.75), [by])
     groups = sorted({k[0][0] for k in qv})
-    if len(groups) > MAX_GROUPS:
-        raise ValueError("too many groups")
     rows = []
     for g in groups:
         q1, med, q3 = qv[((g,), "_v", 0.25)], qv[((g,), "_v", 0.5)], qv[((g,), "_v", 0.75)]

@@ -64,7 +64,7 @@ def prepare(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | str,
-                 output_dir: str | None = None, schema=None, roc_bins: int | None = 1000) -> PipelineResult:
+                 output_dir: str | None = None, schema=None, roc_bins: int | None = None) -> PipelineResult:
     raw = files.read_csv(spark, source, schema) if isinstance(source, str) else source
     clean.require_columns(raw, [spec.target])
     # one pass over the source: distinct kept rows with multiplicities give the
@@ -94,8 +94,9 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         return None if df is None else spark.createDataFrame(df.collect(), df.schema)
 
     stat_features = [c for c in numeric_columns(prepared, STATS_EXCLUDED) if c != spec.label]
-    hist_feats = [c for c in spec.histogram_features if c in prepared.columns]
-    feats = [c for c in spec.features if c in prepared.columns]
+    hist_feats, feats = list(spec.histogram_features), list(spec.features)
+    model.require_features(prepared, feats)
+    clean.require_columns(prepared, hist_feats)
     with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
         # ---- describe (A2-A10) and train (M2-M5) ----
         f_desc = pool.submit(lambda: stats.column_stats(

@@ -253,7 +253,7 @@ def q_skew_flag(spark, d):
     li = tbl(spark, d, "lineitem")
     o = tbl(spark, d, "orders").select("o_orderkey", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    st = stats.column_stats(j, list(LI_STAT_FEATURES) + ["o_totalprice"], cache=True)
+    st = stats.column_stats(j, list(LI_STAT_FEATURES) + ["o_totalprice"], quantiles="none")
     return unit_round(stats.skew_flag(st).select("Feature", "Skewness", "skewed"), ("Skewness",))
 
 
@@ -270,6 +270,24 @@ def q_quartiles_exact(spark, d):
     return quantiles.exact_quantiles(o, ["o_totalprice"], QPROBS, ["o_orderstatus"])
 
 
+@query("quartiles_many_groups", " UNION ALL ".join(
+    f"SELECT l_orderkey, 'l_quantity' AS feature, CAST({p} AS DOUBLE) AS prob, "
+    f"{sql_sig(f'quantile_cont(CAST(l_quantity AS DOUBLE), {p})')} AS value FROM lineitem GROUP BY l_orderkey"
+    for p in (0.25, 0.5, 0.75)))
+def q_quartiles_many_groups(spark, d):
+    """A6 (exact): quartiles of the quantity of every order (as many groups as orders)."""
+    return quantiles.grouped_quantiles(tbl(spark, d, "lineitem"), ["l_quantity"], (0.25, 0.5, 0.75), ["l_orderkey"])
+
+
+@query("skew_flag_events", f"""
+SELECT Feature, Skewness, abs(Skewness) > 1 AS skewed FROM (
+{_column_stats_sql(_long_sql(("value", "user_id"), "events"))}) s""")
+def q_skew_flag_events(spark, d):
+    """O3 on a skewed measure: both values of the flag occur."""
+    st = stats.column_stats(tbl(spark, d, "events"), ["value", "user_id"], quantiles="none")
+    return unit_round(stats.skew_flag(st).select("Feature", "Skewness", "skewed"), ("Skewness",))
+
+
 @query("quartiles_approx")
 def q_quartiles_approx(spark, d):
     """A6 (sketch, relative error 0.01): quartiles of line measures; rows-only check."""
@@ -541,7 +559,7 @@ def q_string_index(spark, d):
     return out
 
 
-SPLIT_KEY_SQL = "('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 7))::BIGINT % 100 < 80"
+SPLIT_KEY_SQL = "('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 7))::BIGINT < 214748365"
 Z_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -552,6 +570,14 @@ def q_hash_split(spark, d):
     return model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.8)
 
 
+@query("hash_split_fine", f"SELECT l_orderkey, l_linenumber, {SPLIT_KEY_SQL.replace('214748365', '267093279')} "
+       "AS is_train FROM lineitem", round_doubles=False)
+def q_hash_split_fine(spark, d):
+    """M4: a split at 99.5 percent."""
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return model.hash_split(li, ["l_orderkey", "l_linenumber"], 0.995)
+
+
 @query("split_sizes", f"""
 WITH s AS (SELECT {SPLIT_KEY_SQL} AS t FROM lineitem)
 SELECT CAST(count(*) FILTER (WHERE t) AS BIGINT) AS train_rows,
@@ -647,6 +673,18 @@ def q_category_lookup_fitted(spark, d):
     return encode.category_lookup(o, "o_orderstatus", mapping)
 
 
+@query("category_lookup_known", """
+WITH f AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('error', 'click', 'view') GROUP BY 1),
+r AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx FROM f)
+SELECT e.event_id, e.event_type, CAST(coalesce(r.idx, 0.0) AS DOUBLE) AS event_type_idx
+FROM events e LEFT JOIN r ON e.event_type = r.event_type""", round_doubles=False)
+def q_category_lookup_known(spark, d):
+    """M1 map of some event types applied to all events (M11): known and unknown values."""
+    e = tbl(spark, d, "events").select("event_id", "event_type")
+    m = encode.fit_string_index(e.where(F.col("event_type").isin("error", "click", "view")), ["event_type"])
+    return encode.category_lookup(e, "event_type", encode.index_table(spark, m))
+
+
 @query("parse_reject", """
 WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN props ELSE CAST(value AS VARCHAR) END AS raw
            FROM events)
@@ -782,6 +820,15 @@ def q_quarter_stats(spark, d):
     return unit_round(stats.column_stats(t, list(QSTAT_FEATURES), cache=True), ("Skewness", "Kurtosis"))
 
 
+@query("latest_quarters", f"""WITH {QF_SQL}, {TREND_SQL}
+SELECT {QF_COLS_SQL}, purchase_trend FROM qt
+WHERE quarter_idx = (SELECT max(quarter_idx) FROM qf2 m WHERE m.o_custkey = qt.o_custkey)""")
+def q_latest_quarters(spark, d):
+    """D7 input: every customer's last observed quarter."""
+    return features.latest_quarter_rows(tbl(spark, d, "orders"), "o_custkey", "o_orderkey",
+                                        "o_orderdate", "o_totalprice")
+
+
 @query("quarter_label_distribution", f"""WITH {QF_SQL}, {TREND_SQL}
 SELECT label, count(*) AS count FROM qt WHERE quarter_idx < (SELECT max(quarter_idx) FROM qf2)
 GROUP BY label ORDER BY label""")
@@ -826,6 +873,17 @@ def q_scan_csv_roundtrip(spark, d):
     return files.read_table(spark, path, "csv", o.schema)
 
 
+@query("scan_csv_by_name", """SELECT o_totalprice, o_orderkey, o_orderpriority, o_orderdate FROM orders""", round_doubles=False)
+def q_scan_csv_by_name(spark, d):
+    """A CSV whose columns stand in another order, with more columns and padded names."""
+    o = tbl(spark, d, "orders")
+    wanted = o.select("o_totalprice", "o_orderkey", "o_orderpriority", "o_orderdate").schema
+    mixed = o.select(F.lit("x").alias("note"), F.col("o_orderpriority").alias(" o_orderpriority"), "o_custkey",
+                     F.col("o_orderkey").alias("o_orderkey "), "o_orderdate", "o_totalprice")
+    path = files.write_table(mixed, scratch_dir(spark, "orders-mixed"), fmt="csv")
+    return files.read_csv(spark, path, wanted)
+
+
 @query("sink_report", f"""
 WITH {LABELLED_SQL}
 SELECT severity, count(*) AS count FROM lb GROUP BY severity""")

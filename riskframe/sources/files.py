@@ -1,26 +1,54 @@
 """CSV / Parquet directory scans and sinks.
 
-Scans take an explicit schema (no inference pass over the data); inference
-is only the fallback when no schema is given. Sinks write part files from
+Scans take an explicit schema (no inference pass over the data) whose columns are
+found by their names in the header; inference is only the fallback when no schema is given. Sinks write part files from
 every task in parallel.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+             header: bool = True, mode: str = "PERMISSIVE", rejected: str | None = None) -> DataFrame:
     """A CSV file or a directory of part files as one table.
 
-    With ``mode='PERMISSIVE'`` malformed fields become null (and are later
-    removed by the null filter) instead of failing the job.
+    With a header, columns are bound by *name*: the header's names (trimmed) are
+    read as text, the schema's columns that exist are selected in its order and
+    cast; others are left out of the result, whatever their place in the file.
+    Part files of one directory share a header (a file that differs raises).
+    Values that do not parse become null (and are later removed by the null
+    filter); ``rejected`` adds a flag column that marks their rows. Without a
+    header the schema binds by position.
     """
     r = spark.read.option("header", header).option("mode", mode)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    if schema is None:
+        return r.option("inferSchema", True).csv(path)
+    if not header:
+        return r.schema(schema).csv(path)
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    return by_name(r.option("enforceSchema", False).csv(path), schema, rejected)
+
+
+def by_name(text: DataFrame, schema: T.StructType, rejected: str | None = None) -> DataFrame:
+    """The columns of ``schema`` that ``text`` (strings under a file's header names) has,
+    cast to their types; text that does not parse becomes null."""
+    names = {c.strip(): c for c in text.columns}
+    cols, bad = [], F.lit(False)
+    for f in schema.fields:
+        if f.name not in names:
+            continue
+        raw = F.col(f"`{names[f.name]}`")
+        value = raw if isinstance(f.dataType, T.StringType) else F.trim(raw).try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+        bad = bad | (raw.isNotNull() & value.isNull())
+    if rejected:
+        cols.append(bad.alias(rejected))
+    return text.select(*cols)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -1,7 +1,8 @@
 """Small result tables as single CSV files (S4) and their read-back.
 
 Only report-sized tables (statistics, distributions, metrics) go through
-here: they are coalesced to one partition so a report is one file.
+here: one exchange brings a report to one task, so it is one file while what computes it
+stays parallel. Tables of any size belong to ``files.write_table``.
 """
 
 from __future__ import annotations
@@ -9,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-MAX_REPORT_ROWS = 1_000_000
 
-
-def write_report(df: DataFrame, path: str, check_size: bool = True) -> str:
+def write_report(df: DataFrame, path: str) -> str:
     """One CSV file (inside ``path``) with a header row, overwriting."""
-    if check_size and df.limit(MAX_REPORT_ROWS + 1).count() > MAX_REPORT_ROWS:
-        raise ValueError(f"report larger than {MAX_REPORT_ROWS} rows; use write_table")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -19,10 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import clean, features
-from ..sources import reports
+from ..sources import files, reports
 from ..session import ensure_checkpoint_dir
 from ..spec import PipelineSpec
 
@@ -32,10 +33,18 @@ def incident_stream(spark: SparkSession, landing_dir: str, schema: StructType, s
                     dedupe_within: str | None = "1 day") -> DataFrame:
     """Streaming DataFrame of prepared incidents (projection, null filter, time
     features, label, dedupe of rows re-ingested within ``dedupe_within``)."""
-    reader = spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    # columns are bound by the header's names: those of the files that have landed (all as
+    # text, then cast), or of the schema while the folder is empty; a later file whose
+    # header differs fails its batch (enforceSchema off) instead of shifting columns
+    try:
+        names = spark.read.option("header", True).csv(landing_dir).columns
+    except AnalysisException:
+        names = []
+    reader = spark.readStream.schema(StructType([StructField(n, StringType()) for n in names or schema.names]))
+    reader = reader.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(landing_dir)
+    raw = files.by_name(reader.csv(landing_dir), schema)
     kept = clean.project_existing(raw, spec.keep_columns)
     tcol = spec.time_col if spec.time_col in kept.columns else None
     if tcol and dict(kept.dtypes)[tcol] == "string":
@@ -78,7 +87,7 @@ def start_severity_counts(stream: DataFrame, target: str, report_dir: str,
     counts = stream.groupBy(target).count()
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
-        reports.write_report(batch.orderBy(target), report_dir, check_size=False)
+        reports.write_report(batch.orderBy(target), report_dir)
 
     w = (counts.writeStream.outputMode("complete").foreachBatch(publish)
          .option("checkpointLocation", checkpoint_dir))
@@ -95,12 +104,12 @@ def start_pipeline_on_arrival(stream: DataFrame, spec: PipelineSpec, table_dir:
     from ..plans.pipeline import run_pipeline
     checkpoint_dir = _stream_checkpoint(stream, name, checkpoint_dir)
 
-    def on_batch(batch: DataFrame, _batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("append").parquet(table_dir)
-        spark = batch.sparkSession
-        run_pipeline(spark, spec, spark.read.parquet(table_dir), output_dir)
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # a folder for each batch, overwritten if the batch is tried again
+        batch.write.mode("overwrite").parquet(f"{table_dir}/batch={batch_id}")
+        table = batch.sparkSession.read.schema(batch.schema).parquet(f"{table_dir}/batch=*")
+        if not table.isEmpty():
+            run_pipeline(batch.sparkSession, spec, table, output_dir)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
