@@ -159,7 +159,8 @@ def subset_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     with the smallest set of the subset (if two link, both link with that one)."""
     s = sets.where(F.size("subsets") > 0).dropDuplicates(["cls"]).select("cls", "n", F.explode("subsets").alias("s"))
     s = s.select("cls", "n", "s.key", "s.k")
-    least = s.groupBy("key", "k").agg(F.min(F.struct("n", "cls")).alias("m"))
+    least = written(s.groupBy("key", "k").agg(F.min(F.struct("n", "cls")).alias("m"), F.count("*").alias("c"))
+                    .where("c > 1").drop("c"), "subsets")
     j = s.join(least, ["key", "k"]).where(F.col("cls") != F.col("m.cls"))
     ok = 100 * F.col("k") >= percent * (F.col("n") + F.col("m.n") - F.col("k"))
     return j.where(ok).select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct()
@@ -177,7 +178,8 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     discard(spark, twice)
     listed, need = _formula(F.col("n"), percent)
     for last in (False, True):
-        df = m.drop("df").groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        # written, so that the join below has a plain exchange on both sides and hot lists split
+        df = written(m.drop("df").groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
         held = m.drop("df").join(df, "token")
         enough = held.groupBy("cls").agg(F.count("*").alias("have"), F.max("n").alias("size")).where(
             F.col("have") >= _formula(F.col("size"), percent)[1]).select("cls", "have")
@@ -243,7 +245,8 @@ def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT,
 
     for k in range(rounds + 1):
         cur = in_components(lists, "cls")
-        crossed = cur.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        crossed = written(cur.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                          .where("c0 <> c1"), "crossed-lists")
         open_ = written(cur.join(crossed.select("token"), "token"), "open-lists")
         if open_.isEmpty():
             break

@@ -79,7 +79,9 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) ->
 
     # classes that share a half with another class
     halves = classes.where(F.col("halves").isNotNull()).select(*CLASS, "first", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
+    # written (as other grouped sides of joins below): the join then has a plain exchange on
+    # both sides, so that hot keys split
+    shared = written(halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "line-halves")
     near = written(halves.join(shared, "half").groupBy(*CLASS).agg(F.any_value("first").alias("first")), "line-near")
 
     # their words: one line for each class, from the documents that hold the first ones
@@ -93,8 +95,8 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) ->
                     .select(*CLASS, "first", "words", "n"), "line-words")
 
     witness = _witnesses(words)
-    gone = classes.join(witness, list(CLASS), "left").where("copies > 1 or witness is not null").select(
-        *CLASS, F.col("first").alias("cls_first"), F.col("witness").isNotNull().alias("is_near"))
+    gone = written(classes.join(witness, list(CLASS), "left").where("copies > 1 or witness is not null").select(
+        *CLASS, F.col("first").alias("cls_first"), F.col("witness").isNotNull().alias("is_near")), "line-gone")
     hit = lines.join(gone, list(CLASS)).where(F.col("is_near") | (pos > F.col("cls_first")))
     return hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed"))
 
@@ -120,7 +122,7 @@ def _witnesses(words: DataFrame) -> DataFrame:
     v = ["vx", "vy"]
     who = F.struct("first", *CLASS)
     # lines that became equal by deleting at the same place: one replaced word
-    least = variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c"))
+    least = written(variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
     replaced = variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
     # a variant of the longer line is the shorter one: one word more or less
     short = whole.select(*v, (F.col("n") + 1).alias("n"), who.alias("m"))
