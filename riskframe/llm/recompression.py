@@ -13,7 +13,7 @@ the least fingerprint.
 
 Spark then compares anchors instead of windows: anchors whose surroundings occur in one
 document only are dropped; equal regions (all windows of an anchor) form classes whose
-first document is found by aggregation; only one region of each class is looked at window
+first document is found by aggregation; only that document's regions are looked at window
 by window, against the other classes with the same anchor. No pairs are formed, copies
 cost one row per anchor, and nothing is sampled or capped. A match needs two independent
 64-bit fingerprints (of the anchor's surroundings and of the region or window) to agree.
@@ -191,12 +191,15 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     classes = written(common.groupBy("key", "region").agg(
         F.min(F.struct("doc_id", "text_key", "lo", "hi", "left")).alias("rep")), "region-classes")
     first = classes.select("key", "region", F.col("rep.doc_id").alias("first_doc"))
+    held = common.join(first, ["key", "region"])
     # whole regions that an earlier document has
-    whole = common.join(first, ["key", "region"]).where("doc_id > first_doc").select(
+    whole = held.where("doc_id > first_doc").select(
         "doc_id", "text_key", F.col("lo").alias("first"), (F.col("hi") + window).alias("end"))
-    # of regions that differ around the same anchor: single windows
-    several = classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    regions = classes.join(several, "key").select("key", "rep.*")
+    # of regions that differ around the same anchor: single windows, wherever the class's
+    # first document has the region
+    several = written(classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "region-groups")
+    regions = held.where("doc_id = first_doc").join(several, "key").select(
+        "key", "doc_id", "text_key", "lo", "hi", "left").distinct()
     single = written(_windows(rows, regions, window), "windows")
     discard(spark)
     same = ["key", "left", "print"]
