@@ -10,11 +10,13 @@ the smallest set of each subset stands for the others, so a shared subset costs
 per set. Heavy sets go through inverted lists. ``x`` is chosen by cost: the largest size
 whose subsets are fewer than the list entries that a set of that size would read.
 
-Inverted lists hold, of each set, the shingles with the least fingerprints: linked sets
-share at least ``need`` of those (prefix filter for several common elements). Lists of one
-class are dropped, and then every class that has fewer than ``need`` listed shingles left;
-of the others the rarest ones are kept, as many as a link must hit at least once. So a
-passage that many otherwise different documents share is not a candidate.
+Candidates come first: of each set the shingles with the least fingerprints are listed;
+linked sets share at least ``need`` of those (prefix filter for several common elements),
+so classes that have fewer listed shingles in common with any others are out. Inverted
+lists are then made of the candidates' whole sets: a class stays only if other candidates
+have as many of its shingles as a link needs, and it enters the lists of its rarest ones,
+as many as a link must hit at least once. So a passage that many otherwise different
+documents share makes no candidates.
 
 Links are looked for along the lists in rounds: each list's most shared class is compared
 with the list's other classes, exactly, on the whole sets; components grow; lists inside
@@ -166,29 +168,49 @@ def subset_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return j.where(ok).select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct()
 
 
-def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``(token, cls, n, share)``: inverted lists of the classes that can still link with
-    another one, by their rarest listed shingles; ``share``: part of the set's listed
-    shingles that other classes list too."""
+def _shared(m: DataFrame, enough, rounds: int = 2) -> DataFrame:
+    """Of ``(token, cls, n)`` the tokens that two classes or more have, with their list's
+    length ``df``, and only classes that have at least ``enough(n)`` of them (``have``).
+    A class that goes shortens other lists, so this is done twice."""
+    spark = m.sparkSession
+    cols = ["token", "cls", "n"]
+    for k in range(rounds):
+        # written, so that the join below has a plain exchange on both sides and hot lists split
+        df = written(m.select(cols).groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
+        held = m.select(cols).join(df, "token")
+        keep = held.groupBy("cls").agg(F.count("*").alias("have"), F.max("n").alias("size")).where(
+            F.col("have") >= enough(F.col("size"))).select("cls", "have")
+        new = written(held.join(keep, "cls"), "lists")
+        discard(spark, m, df)
+        m = new
+    return m
+
+
+def candidates(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``cls`` of the classes whose listed shingles can be part of a link."""
     spark = sets.sparkSession
     post = sets.select("cls", "n", F.explode("listed").alias("token"))
     twice = written(post.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "tokens")
     discard(spark)
     m = written(post.join(twice, "token").dropDuplicates(["token", "cls"]), "lists")
     discard(spark, twice)
-    listed, need = _formula(F.col("n"), percent)
-    for last in (False, True):
-        # written, so that the join below has a plain exchange on both sides and hot lists split
-        df = written(m.drop("df").groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
-        held = m.drop("df").join(df, "token")
-        enough = held.groupBy("cls").agg(F.count("*").alias("have"), F.max("n").alias("size")).where(
-            F.col("have") >= _formula(F.col("size"), percent)[1]).select("cls", "have")
-        new = written(held.join(enough, "cls").drop(*([] if last else ["have"])), "lists")
-        discard(spark, m)
-        m = new
-    rare = Window.partitionBy("cls").orderBy("df", "token")          # as many rows as a set lists
-    kept = m.withColumn("r", F.row_number().over(rare)).where(F.col("r") <= F.col("have") - need + 1)
-    out = written(kept.select("token", "cls", "n", (F.col("have") / listed).alias("share")), "candidates")
+    m = _shared(m, lambda n: _formula(n, percent)[1])
+    out = written(m.select("cls").distinct(), "candidates")
+    discard(spark, m)
+    return out
+
+
+def inverted_lists(whole: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(token, cls, n, share)``: inverted lists over the candidates' whole sets. A class needs
+    as many shared shingles as its least overlap; of those it keeps the rarest, as many as
+    a link must hit at least once. ``share``: part of the set that other candidates have."""
+    spark = whole.sparkSession
+    m = written(whole.select("cls", F.size("tokens").alias("n"), F.explode("tokens").alias("token")), "lists")
+    need = lambda n: F.ceil(percent * n / 100).cast("int")
+    m = _shared(m, need)
+    rare = Window.partitionBy("cls").orderBy("df", "token")          # as many rows as a set has
+    kept = m.withColumn("r", F.row_number().over(rare)).where(F.col("r") <= F.col("have") - need(F.col("n")) + 1)
+    out = written(kept.select("token", "cls", "n", (F.col("have") / F.col("n")).alias("share")), "inverted-lists")
     discard(spark, m)
     return out
 
@@ -223,11 +245,12 @@ def verified(pairs: DataFrame, whole: DataFrame, percent: int = PERCENT) -> Data
     return j.where(100 * both >= percent * (F.size("ta") + F.size("tb") - both)).select("a", "b")
 
 
-def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
+def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT, rounds: int = 3) -> DataFrame:
     """Links ``(a, b)`` between heavy classes, enough of them to connect every component."""
     spark = rows.sparkSession
-    lists = candidate_lists(sets, percent)
-    whole = written(_whole_sets(rows, sets, lists.select("cls").distinct(), n), "whole-sets")
+    whole = written(_whole_sets(rows, sets, candidates(sets, percent), n), "whole-sets")
+    discard(spark)
+    lists = inverted_lists(whole, percent)
     links, comp, led = [], None, None
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
