@@ -58,6 +58,18 @@ class Vocabulary:
         self.bytes_of = [bytes([byte_of[i]]) if i in byte_of else p.replace(MARK, " ").encode("utf-8")
                          for i, p in enumerate(self.piece)]
         self.memo: dict[str, tuple[bytes, int]] = {}
+        # all pieces of a string at once: (end, length and id)
+        import ahocorasick
+        self.automaton = ahocorasick.Automaton()
+        self.scores = np.zeros(len(self.piece), dtype=np.int64)
+        for p, (i, x) in self.ids.items():
+            self.automaton.add_word(p, (len(p) << 16) | i)
+            self.scores[i] = x
+        self.automaton.make_automaton()
+        if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
+            raise ValueError("units need pieces without line ends and with word marks in front only")
+        self.tails = {c for c in ".,;:!?" if not any(a.isalpha() and b == c for p in self.ids for a, b in zip(p, p[1:]))}
+        self.singles = {p for p in self.ids if len(p) == 1 and p != self.LITERAL}
 
     # private character of the marked text: before "1" a word mark, before "0" itself
     LITERAL = "\ue000"
@@ -111,41 +123,113 @@ class Vocabulary:
         return score[last], [k for ids in reversed(out) for k in ids]
 
     def units(self, s: str) -> list[str]:
-        """Cut before every word mark that follows another character: no piece holds a
-        mark behind one, so the best path passes there and each unit stands alone."""
+        """Cut where no piece can straddle, so each unit stands alone on the best path:
+        before every word mark that follows another character, around line ends, and between
+        a letter and a final stop or comma."""
         parts = s.split(MARK)                   # the text starts with a mark: parts[0] is empty
-        out, run = [], 0
+        out, run, tails = [], 0, self.tails
         for p in parts[1:]:
             run += 1
-            if p:
-                out.append(MARK * run + p)
-                run = 0
+            if not p:
+                continue
+            p = MARK * run + p
+            run = 0
+            if "\n" in p:
+                lines = p.split("\n")
+                out.append(lines[0])
+                for x in lines[1:]:
+                    out.append("\n")
+                    if x:
+                        out.append(x)
+                p = out.pop()
+            if p[-1] in tails and len(p) > 1 and p[-2].isalpha():
+                out.append(p[:-1])
+                out.append(p[-1])
+            else:
+                out.append(p)
         if run:
             out.append(MARK * run)
         return out
 
     def encode(self, text: str) -> tuple[np.ndarray, int]:
-        """Ids and score of a text of ordinary size (units by memo)."""
-        if not text:
-            return np.zeros(0, dtype="<i4"), 0
-        parts, total = [], 0
-        get = self.memo.get
-        for u in self.units(self.marked(text)):
-            hit = get(u) or self.unit(u)
-            parts.append(hit[0])
-            total += hit[1]
-        return np.frombuffer(b"".join(parts), dtype="<i4"), total
-
-    def unit(self, u: str) -> tuple[bytes, int]:
-        hit = self.memo.get(u)
-        if hit is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            x, ids = self.best(u)
-            hit = (np.asarray(ids, dtype="<i4").tobytes(), x)
-            if len(u) <= 64:
-                self.memo[u] = hit
-        return hit
+        """Ids and score of a text of ordinary size."""
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[tuple[np.ndarray, int]]:
+        """Ids and score of each text: distinct units are segmented once, many together."""
+        split = [self.units(self.marked(t)) if t else () for t in texts]
+        self.ensure(set().union(*split))
+        memo = self.memo
+        out = []
+        for us in split:
+            hits = [memo[u] for u in us]
+            out.append((np.frombuffer(b"".join([h[0] for h in hits]), dtype="<i4"), sum([h[1] for h in hits])))
+        return out
+
+    def ensure(self, units: set[str]) -> None:
+        """Have all of ``units`` in the memo; a full memo starts anew."""
+        new = [u for u in units if u not in self.memo]
+        if len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
+            new = list(units)
+        self.learn(new)
+
+    def learn(self, units: list[str]) -> None:
+        """Best segmentations of many units at once, into the memo. All places of all pieces
+        come from one pass of a string automaton; places are then settled in order, for all
+        units together. Units that need bytes, and very long ones, go one by one."""
+        plain = [u for u in units if len(u) <= 64 and self.singles.issuperset(u)]
+        if len(plain) < len(units):
+            got = set(plain)
+            for u in units:
+                if u not in got:
+                    x, ids = self.best(u)
+                    self.memo[u] = (np.asarray(ids, dtype="<i4").tobytes(), x)
+        plain.sort(key=len)
+        for i in range(0, len(plain), 16_384):
+            part = plain[i:i + 16_384]
+            self.memo.update(zip(part, self._settle(part)))
+
+    def _settle(self, units: list[str]) -> list[tuple[bytes, int]]:
+        n = np.array([len(u) for u in units])
+        start = np.cumsum(n + 1) - n - 1
+        found = np.array([(e << 24) | v for e, v in self.automaton.iter("\n".join(units))], dtype=np.int64)
+        end, length, piece = found >> 24, (found >> 16) & 255, found & 0xFFFF
+        unit = np.searchsorted(start, end, side="right") - 1
+        j = end + 1 - start[unit]
+        order = np.lexsort((-length, j))                 # by place, longer pieces first
+        j, length, unit, piece = j[order], length[order], unit[order], piece[order]
+        size = int(n.max()) + 1
+        score = np.full((len(units), size), NEVER, dtype=np.int64)
+        score[:, 0] = 0
+        took = np.zeros((len(units), size), dtype=np.int64)       # length and id of the last piece
+        key = j * 256 + length
+        cut = np.flatnonzero(np.diff(key)) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
+            u, at, k = unit[lo:hi], int(j[lo]), int(length[lo])
+            x = score[u, at - k] + self.scores[piece[lo:hi]]
+            win = x >= score[u, at]                       # ties: the shorter last piece
+            score[u[win], at] = x[win]
+            took[u[win], at] = (k << 16) | piece[lo:hi][win]
+        total = score[np.arange(len(units)), n]
+        at, rows, steps = n.copy(), np.arange(len(units)), []
+        while len(rows):
+            t = took[rows, at[rows]]
+            steps.append((rows, t & 0xFFFF))
+            at[rows] -= t >> 16
+            rows = rows[at[rows] > 0]
+        # steps come from the last piece to the first
+        row = np.concatenate([r for r, _ in steps[::-1]])
+        ids = np.concatenate([p for _, p in steps[::-1]]).astype("<i4")
+        ids = ids[np.argsort(row, kind="stable")].tobytes()
+        ends = np.cumsum(np.bincount(row, minlength=len(units))) * 4
+        return [(ids[a:z], x) for a, z, x in zip([0, *ends[:-1].tolist()], ends.tolist(), total.tolist())]
+
+    def whole(self, s: str) -> list[tuple[bytes, int]]:
+        """Ids and score of every unit of marked text that starts and ends at a cut."""
+        us = self.units(s)
+        self.ensure(set(us))
+        return [self.memo[u] for u in us]
 
     def cuts(self, s: str, n: int) -> tuple[int, int] | None:
         """First and last place in 1..n where no piece can straddle (see ``units``)."""
@@ -176,7 +260,7 @@ class Vocabulary:
         if cut:
             lo, hi = cut
             left = [self.best(s, a, lo)[0] if a <= lo else NEVER for a in range(m)]
-            mid = sum(self.unit(u)[1] for u in self.units(s[lo:hi])) if hi > lo else 0
+            mid = sum(x for _, x in self.whole(s[lo:hi])) if hi > lo else 0
             right = self.reach(s, hi, n)
             for a, x in enumerate(left):
                 for b, y in enumerate(right):
@@ -199,8 +283,8 @@ class Vocabulary:
             return self.best(s, a, n + b, limit=n)[1]
         lo, hi = cut
         out = list(self.best(s, a, lo)[1])
-        for u in self.units(s[lo:hi]) if hi > lo else ():
-            out += np.frombuffer(self.unit(u)[0], dtype="<i4").tolist()
+        if hi > lo:
+            out += np.frombuffer(b"".join([x for x, _ in self.whole(s[lo:hi])]), dtype="<i4").tolist()
         return out + self.best(s, hi, n + b, limit=n)[1]
 
     def decode(self, ids) -> str:
@@ -230,12 +314,14 @@ def vocabulary(path: str) -> Vocabulary:
 SCHEMA = "doc_id long, text_key long, ids array<int>, score long, n_chunks int"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("ids", pa.list_(pa.int32())),
                     ("score", pa.int64()), ("n_chunks", pa.int32())])
+_DECODED = _ARROW.append(pa.field("text", pa.string()))
 _CHUNK = "doc_id long, text_key long, chunk int, n int, body string"
 
 
 def encode(docs: DataFrame, vocabulary_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-           chunk: int = CHUNK) -> DataFrame:
-    """Per row ``(doc_id, text_key, ids, score, n_chunks)``; ids are null for a null text."""
+           chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """Per row ``(doc_id, text_key, ids, score, n_chunks)``; ids are null for a null text.
+    With ``decoded`` also the text that the ids decode to (``text``), in the same task."""
     path = vocabulary_path or tokenizer_path("piece_bpe_32k.model")
     rows = narrow(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk
@@ -247,16 +333,22 @@ def encode(docs: DataFrame, vocabulary_path: str | None = None, id_col: str = "d
             for lo in range(0, len(b), 500):
                 part = b.slice(lo, 500)
                 texts = part.column(1).to_pylist()
-                got = [v.encode(t) for t in texts]
+                got = v.encode_many(texts)
                 ends = np.cumsum([0] + [len(x) for x, _ in got])
                 ids = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.concatenate([x for x, _ in got]), pa.int32()),
                     mask=pa.array([t is None for t in texts]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), ids, pa.array([x for _, x in got], pa.int64()),
-                     pa.array([1 if t else 0 for t in texts], pa.int32())], schema=_ARROW)
+                cols = [part.column(0), part.column(2), ids, pa.array([x for _, x in got], pa.int64()),
+                        pa.array([1 if t else 0 for t in texts], pa.int32())]
+                if decoded:
+                    back = [None if t is None else v.decode(x.tolist()) for t, (x, _) in zip(texts, got)]
+                    cols.append(pa.array(back, pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, schema=_DECODED if decoded else _ARROW)
 
-    return rows.where(~giant).mapInArrow(small, SCHEMA).union(_giants(rows.where(giant), path, chunk))
+    giants = _giants(rows.where(giant), path, chunk)
+    if not decoded:
+        return rows.where(~giant).mapInArrow(small, SCHEMA).union(giants)
+    return rows.where(~giant).mapInArrow(small, SCHEMA + ", text string").union(decode(giants, path))
 
 
 def _giants(rows: DataFrame, path: str, chunk: int) -> DataFrame:
@@ -345,7 +437,7 @@ def decode(encoded: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """Adds ``text`` (null for null ids) to what :func:`encode` returns."""
     ship(encoded.sparkSession)
     path = vocabulary_path or tokenizer_path("piece_bpe_32k.model")
-    schema = _ARROW.append(pa.field("text", pa.string()))
+    schema = _DECODED
 
     def back(batches):
         from .pieces import vocabulary
