@@ -56,7 +56,7 @@ def letter_pieces(path: str) -> list[str]:
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased (lower-casing first: it may change a text's length)."""
     out = LETTERS.findall(text.lower())
-    if any(len(w) > LONG for w in out):
+    if max(map(len, out), default=0) > LONG:
         out = [w[i:i + LONG] for w in out for i in range(0, len(w), LONG)]
     return out
 
@@ -66,34 +66,36 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.m = model
+        import ahocorasick
         self.index = {p: i for i, p in enumerate(model.pieces)}
-        self.longest = max(map(len, model.pieces), default=1)
+        self.automaton = ahocorasick.Automaton()
+        for p, i in self.index.items():
+            self.automaton.add_word(p, (len(p) << 16) | i)
+        self.automaton.make_automaton()
+        self.singles = {p for p in model.pieces if len(p) == 1}
         n = len(model.langs)
         self.p = np.vstack([model.prob, np.full((1, n), UNKNOWN)])
         self.rows: dict[str, int] = {}
         self.log = np.zeros((1 << 12, n), dtype=np.float32)
 
     def edges(self, words: list[str]):
-        """Every place of every piece: arrays (end, length, word, piece) sorted by end."""
-        get, top, unk = self.index.get, self.longest, len(self.m.pieces)
-        out = []
-        add = out.append
-        for w, word in enumerate(words):
-            s = MARK + word
-            n = len(s)
-            base = w << 16
-            for i in range(n):
-                single = False
-                for j in range(i + 1, min(n, i + top) + 1):
-                    k = get(s[i:j])
-                    if k is not None:
-                        single |= j == i + 1
-                        add((j << 48) | ((j - i) << 40) | base | k)
-                if not single:
-                    add(((i + 1) << 48) | (1 << 40) | base | unk)
-        e = np.array(out, dtype=np.int64)
-        e.sort()
-        return e >> 48, (e >> 40) & 255, (e >> 16) & 0xFFFFFF, e & 0xFFFF
+        """Every place of every piece: arrays (end, length, word, piece) sorted by end. All
+        pieces of all words come from one pass of a string automaton."""
+        found = [(e << 24) | v for e, v in self.automaton.iter("\n".join([MARK + w for w in words]))] if words else []
+        found = np.array(found, dtype=np.int64)
+        start = np.cumsum([0] + [len(w) + 2 for w in words[:-1]])
+        word = np.searchsorted(start, found >> 24, side="right") - 1
+        end = (found >> 24) + 1 - start[word]
+        length, piece = (found >> 16) & 255, found & 0xFFFF
+        odd = [(w, i + 2) for w, x in enumerate(words) if not self.singles.issuperset(x)
+               for i, c in enumerate(x) if c not in self.singles]
+        if odd:                                  # letters without a piece
+            w, e = np.array(odd).T
+            word, end = np.concatenate((word, w)), np.concatenate((end, e))
+            length = np.concatenate((length, np.ones(len(w), np.int64)))
+            piece = np.concatenate((piece, np.full(len(w), len(self.m.pieces))))
+        order = np.lexsort((length, end))
+        return end[order], length[order], word[order], piece[order]
 
     @staticmethod
     def groups(end, length):
@@ -144,13 +146,14 @@ class Scorer:
     def score(self, texts: list[str | None]):
         """-> (index of the best language or -1, its posterior) for each text."""
         split = [words_of(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in self.rows))
+        seen = set().union(*split)
+        new = [w for w in seen if w not in self.rows]
         if len(self.rows) + len(new) > MEMO:
             self.rows.clear()
-            new = list(dict.fromkeys(w for ws in split for w in ws))
+            new = list(seen)
         if new:
             # letters only: digits of some scripts pass the expression above
-            clean = ["".join(c for c in w if c.isalpha()) for w in new]
+            clean = [w if w.isalpha() else "".join(c for c in w if c.isalpha()) for w in new]
             k = len(self.rows) + 1
             while k + len(new) > len(self.log):
                 self.log = np.concatenate([self.log, np.zeros_like(self.log)])
@@ -160,7 +163,7 @@ class Scorer:
         prior = np.log(self.m.prior)
         rows = self.rows
         for i, ws in enumerate(split):
-            at = np.fromiter((rows[w] for w in ws), dtype=np.int64, count=len(ws))
+            at = np.array([rows[w] for w in ws], dtype=np.int64)
             at = at[at > 0]
             if not len(at) or not len(prior):
                 continue
