@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,10 +24,10 @@ def op1_token_counts(spark: SparkSession, d: str) -> DataFrame:
     """Suffix sums of the exact token-length histogram, over all documents and by language."""
     from . import token_counts as t
     docs = table(spark, d, "documents")
-    hist = t.length_histogram(t.encoded_lengths(docs, stratum_col="lang"))
+    # a row per language and length: written, as several aggregates read it
+    hist = written(t.length_histogram(t.encoded_lengths(docs, stratum_col="lang")), "length-histogram")
     both = hist.select(F.concat(F.lit("lang:"), F.coalesce("stratum", F.lit("null"))).alias("stratum"),
-                       "n_tokens", "n_docs",
-                       ).union(hist.select(F.lit("all").alias("stratum"), "n_tokens", "n_docs"))
+                       "n_tokens", "n_docs").union(hist.select(F.lit("all").alias("stratum"), "n_tokens", "n_docs"))
     return t.suffix_sums(both.groupBy("stratum", "n_tokens").agg(F.sum("n_docs").alias("n_docs")))
 
 
@@ -73,7 +73,7 @@ def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     """Every document encoded and decoded: sizes, score, digests and the round trip."""
     from . import pieces as t
     from .common import text_key
-    x = t.decode(t.encode(table(spark, d, "documents")))
+    x = t.encode(table(spark, d, "documents"), decoded=True)
     return x.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", "n_chunks",
                     F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"),
                     (text_key(F.col("text")) == F.col("text_key")).alias("round_trip"))

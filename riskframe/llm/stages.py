@@ -72,6 +72,6 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as piece ids, with their score and whether they decode to their text."""
     from . import pieces as t
-    x = t.decode(t.encode(docs))
+    x = t.encode(docs, decoded=True)
     return x.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "score",
                     (text_key(F.col("text")) == F.col("text_key")).alias("round_trip"))
