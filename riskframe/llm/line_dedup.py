@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, narrow, packed, text_key, written
+from .common import SPACE, discard, narrow, packed, text_key, written
 
 WHITE = " \t\n\x0b\x0c\r"
 POS = ("doc_id", "text_key", "line_no")
@@ -77,6 +77,8 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) ->
         F.min(pos).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
         F.any_value("halves", ignoreNulls=True).alias("halves")), "line-classes")
 
+    spark = docs.sparkSession
+    discard(spark)                        # after each step: what it shuffled is not needed again
     # classes that share a half with another class
     halves = classes.where(F.col("halves").isNotNull()).select(*CLASS, "first", F.explode("halves").alias("half"))
     # written (as other grouped sides of joins below): the join then has a plain exchange on
@@ -84,6 +86,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) ->
     shared = written(halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "line-halves")
     near = written(halves.join(shared, "half").groupBy(*CLASS).agg(F.any_value("first").alias("first")), "line-near")
 
+    discard(spark, shared)
     # their words: one line for each class, from the documents that hold the first ones
     homes = near.select(F.col("first.doc_id").alias("home_id"), F.col("first.text_key").alias("home_key")).distinct()
     at_home = docs.join(homes, F.col("doc_id").eqNullSafe(F.col("home_id"))
@@ -94,16 +97,18 @@ def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) ->
                     .where(F.col("at").eqNullSafe(F.col("first"))).dropDuplicates(list(CLASS))
                     .select(*CLASS, "first", "words", "n"), "line-words")
 
-    witness = _witnesses(words)
+    discard(spark, near)
+    witness, used = _witnesses(words)
     gone = written(classes.join(witness, list(CLASS), "left").where("copies > 1 or witness is not null").select(
         *CLASS, F.col("first").alias("cls_first"), F.col("witness").isNotNull().alias("is_near")), "line-gone")
+    discard(spark, classes, words, *used)
     hit = lines.join(gone, list(CLASS)).where(F.col("is_near") | (pos > F.col("cls_first")))
     return hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed"))
 
 
-def _witnesses(words: DataFrame) -> DataFrame:
+def _witnesses(words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """``(k1, k2, witness)``: the earliest verified line one edit away, where it is earlier
-    than the class's first line."""
+    than the class's first line; and the written tables it reads."""
     w = words.select(*CLASS, "first", "n", F.posexplode("words").alias("i", "word"))
     line = Window.partitionBy(*CLASS)
     before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,7 +141,8 @@ def _witnesses(words: DataFrame) -> DataFrame:
     a = words.select(*CLASS, F.col("words").alias("a"))
     b = words.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("words").alias("b"))
     j = best.join(a, list(CLASS)).join(b, (F.col("m.k1") == F.col("b1")) & (F.col("m.k2") == F.col("b2")))
-    return j.where(one_edit(F.col("a"), F.col("b"))).select(*CLASS, F.col("m.first").alias("witness"))
+    return (j.where(one_edit(F.col("a"), F.col("b"))).select(*CLASS, F.col("m.first").alias("witness")),
+            [variants, least])
 
 
 def one_edit(a: Column, b: Column) -> Column:
