@@ -101,3 +101,10 @@ def test_plan_is_native(spark, make_docs):
 
 def test_oracle(spark):
     same_as_oracle(spark, "op2_line_dedup")
+
+
+def test_short_lines_without_a_floor(spark, make_docs):
+    docs = [(1, "Les.\nAll rights reserved.\na b\nx"), (2, "Les.\nAll  rights reserved.\na c\ny"),
+            (3, "Les.\nAll rights kept\na\nb c d e f"), (4, "b c d e g\nx")]
+    want = check(spark, docs, make_docs(docs), 1, 2)
+    assert want == {1: [], 2: [0, 1, 2], 3: [0, 1], 4: [0, 1]}
