@@ -103,22 +103,24 @@ class Scorer:
         cut = np.flatnonzero(np.diff(key)) + 1
         return zip([0, *cut.tolist()], [*cut.tolist(), len(key)]) if len(key) else ()
 
-    def forward(self, words: list[str]):
-        """alpha[word, place, language] and the edges."""
+    def forward(self, words: list[str], langs: slice = slice(None)):
+        """alpha[word, place, language] for some languages (all of them) and the edges."""
         end, length, word, piece = self.edges(words)
         size = max(map(len, words)) + 2
-        a = np.zeros((len(words), size, len(self.m.langs)))
+        p = self.p[:, langs]
+        a = np.zeros((len(words), size, p.shape[1]))
         a[:, 0] = 1.0
         for lo, hi in self.groups(end, length):
             w, j, n = word[lo:hi], int(end[lo]), int(length[lo])
-            a[w, j] += a[w, j - n] * self.p[piece[lo:hi]]
+            a[w, j] += a[w, j - n] * p[piece[lo:hi]]
         return a, (end, length, word, piece)
 
     def log_words(self, words: list[str]) -> np.ndarray:
         out = np.empty((len(words), len(self.m.langs)), dtype=np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for i in range(0, len(order), 8192):
-            part = order[i:i + 8192]
+        step = self.share(8192)
+        for i in range(0, len(order), step):
+            part = order[i:i + step]
             ws = [words[k] for k in part]
             a, _ = self.forward(ws)
             out[part] = np.log(a[np.arange(len(ws)), [len(w) + 1 for w in ws]] + 1e-300)
@@ -129,8 +131,8 @@ class Scorer:
         total = np.zeros(len(self.m.pieces) + 1)
         for i in range(0, len(words), 8192):
             ws, wt = words[i:i + 8192], weights[i:i + 8192]
-            a, (end, length, word, piece) = self.forward(ws)
-            a = a[:, :, lang]
+            a, (end, length, word, piece) = self.forward(ws, slice(lang, lang + 1))
+            a = a[:, :, 0]
             n = np.array([len(w) + 1 for w in ws])
             b = np.zeros_like(a)
             b[np.arange(len(ws)), n] = 1.0
@@ -143,12 +145,17 @@ class Scorer:
             total += np.bincount(piece, weights=share, minlength=len(total))
         return total[:-1]
 
+    def share(self, n: int) -> int:
+        """``n`` for up to 16 languages, less for more: tables of words x languages keep
+        their size."""
+        return max(1, n * 16 // max(16, len(self.m.langs)))
+
     def score(self, texts: list[str | None]):
         """-> (index of the best language or -1, its posterior) for each text."""
         split = [words_of(t) if t else [] for t in texts]
         seen = set().union(*split)
         new = [w for w in seen if w not in self.rows]
-        if len(self.rows) + len(new) > MEMO:
+        if len(self.rows) + len(new) > self.share(MEMO):
             self.rows.clear()
             new = list(seen)
         if new:
@@ -175,26 +182,29 @@ class Scorer:
 
 def fit(labelled: DataFrame, vocabulary: str | None = None, text_col: str = "text",
         lang_col: str = "lang", key_col: str = "doc_id", docs_per_language: int = 200,
-        max_languages: int = 256, rounds: int = 2, smoothing: float = 0.1) -> Model:
-    """Fit on at most ``docs_per_language`` documents of each of the ``max_languages`` most
-    frequent labels (chosen by a hash of their key). What reaches the driver is bounded by
-    pieces x languages; priors count all labelled rows."""
+        max_languages: int | None = None, rounds: int = 2, smoothing: float = 0.1) -> Model:
+    """Fit on at most ``docs_per_language`` documents of each label (chosen by a hash of
+    their key). Every label that is not null is learnt, or only the ``max_languages`` most
+    frequent ones if that is given. What reaches the driver is pieces x languages; priors
+    count all labelled rows."""
     ship(labelled.sparkSession)
     path = vocabulary or tokenizer_path("piece_bpe_32k.model")
     rows = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"),
                            F.col(f"`{text_col}`").cast("string").alias("text"),
                            F.xxhash64(F.col(f"`{key_col}`").cast("string")).alias("h")).where("lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    sizes = written(rows.groupBy("lang").count(), "langid-sizes")
+    if max_languages is not None:
+        sizes = sizes.orderBy(F.desc("count"), "lang").limit(max_languages)
+    counts = sizes.collect()
     langs = sorted(r["lang"] for r in counts)
     n_of = {r["lang"]: r["count"] for r in counts}
     pieces = letter_pieces(path)
     if not langs:
         return Model([], np.zeros(0), pieces, np.zeros((len(pieces), 0)))
     # a share of each language's rows by hash, then exactly the first ones: no task sorts a language
-    share = F.create_map(*[x for k in langs for x in
-                           (F.lit(k), F.lit(min(1.0, 2.0 * docs_per_language / n_of[k] + 1e-4)))])
-    near = rows.where(F.col("lang").isin(langs) &
-                      (F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)))
+    share = sizes.select("lang", F.least(
+        F.lit(1.0), F.lit(2.0 * docs_per_language) / F.col("count") + F.lit(1e-4)).alias("share"))
+    near = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     first = Window.partitionBy("lang").orderBy("h", "text")
     sample = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs_per_language)
     schema = pa.schema([("lang", pa.string()), ("word", pa.string())])
@@ -275,8 +285,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         sc = scorer(held)
         langs = np.array([*held.value.langs, "und"], dtype=object)
         for b in batches:
-            for lo in range(0, len(b), 500):
-                part = b.slice(lo, 500)
+            step = sc.share(500)
+            for lo in range(0, len(b), step):
+                part = b.slice(lo, step)
                 best, post = sc.score(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2),
                                                   pa.array(langs[best], pa.string()), pa.array(post, pa.float64())],

@@ -81,3 +81,14 @@ def test_edge_cases(spark, make_docs, with_clashes):
     assert langid.predict(make_docs([]), m).count() == 0
     capped = langid.fit(train.unionAll(train), docs_per_language=1, max_languages=2)
     assert len(capped.langs) == 2
+
+
+def test_every_label_is_learnt(spark, make_docs):
+    names = [f"{a}{b}" for a in "abcdefghijklmnopqr" for b in "abcdefghijklmnopq"]      # 306 labels
+    own = {n: " ".join((n[0] * 2 + n[1] * 2, n[1] * 3 + n[0] * 3)) for n in names}
+    train = make_docs([own[n] for n in names for _ in range(2)], [n for n in names for _ in range(2)])
+    m = langid.fit(train)
+    assert m.langs == sorted(names) and abs(m.prior.sum() - 1) < 1e-9 and np.allclose(m.prob.sum(axis=0), 1)
+    rows = langid.predict(make_docs([own[n] for n in names]), m).collect()
+    good = sum(r.lang_pred == names[r.doc_id] for r in rows)
+    assert len(rows) == len(names) and good > 256
