@@ -7,9 +7,11 @@ longest match with any item that ends at each word. A match of ``window`` words,
 whole shorter item, is a hit; hit words form spans, and documents are cut or dropped by
 span length and coverage limits.
 
-The benchmark is taken in blocks of at most ``block_bytes`` of text (items longer than
-that in overlapping pieces), so what is broadcast has a fixed bound however many items
-there are; each block is matched against all documents.
+The benchmark is taken in blocks of at most ``block_bytes`` of text, each counted before
+it is collected, so what is broadcast has a fixed bound however many items there are and
+whatever ids they share; each block is matched against all documents. Items of more than
+``block_bytes / 16`` words are taken in overlapping pieces; a piece of such long words that
+it alone is above the bound is a block of its own.
 
 Defined cases: a null or empty text (document or item) has no word; items without words
 never match; repeated items are items of their own; items that share an id count once;
@@ -172,6 +174,32 @@ def item_pieces(items: DataFrame, id_col: str, text_col: str, window: int, piece
     return rows.mapInArrow(cut, "item_id string, piece int, words binary").where("length(words) > 0")
 
 
+def blocks_of(pieces: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """``pieces`` (distinct rows) in blocks of at most ``block_bytes`` of words, or of one row:
+    dealt to buckets by their hash, finer until each fits, and the buckets packed. Buckets
+    with their sizes are what reaches the driver."""
+    place = F.xxhash64("item_id", "words")
+    size = F.sum(F.length("words"))
+    total = pieces.agg(size).first()[0] or 0
+    if total <= block_bytes:
+        return [pieces]
+    n = 16 * -(-total // block_bytes)
+    while True:
+        bucket = F.pmod(place, F.lit(n).cast("long"))
+        sizes = pieces.groupBy(bucket.alias("k")).agg(size.alias("size"), F.count("*").alias("c")).collect()
+        if n > 1 << 60 or all(r["size"] <= block_bytes or r["c"] == 1 for r in sizes):
+            break
+        n *= 4
+    packs: list[list] = []                # [size, buckets]
+    for r in sorted(sizes, key=lambda r: (-r["size"], r["k"])):
+        fit = next((p for p in packs if p[0] + r["size"] <= block_bytes), None)
+        if fit is None:
+            packs.append(fit := [0, []])
+        fit[0] += r["size"]
+        fit[1].append(r["k"])
+    return [pieces.where(bucket.isin(ks)) for _, ks in packs]
+
+
 def find_hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id",
               text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
               block_bytes: int = 2 << 20) -> DataFrame:
@@ -180,16 +208,16 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str =
     windows occur."""
     spark = docs.sparkSession
     rows = narrow(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
-    pieces = written(item_pieces(items, item_id_col, item_text_col, window, block_bytes // 16), "items")
-    total = pieces.agg(F.sum(F.length("words"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_bytes))
-    pieces = pieces.withColumn("_b", F.pmod(F.xxhash64("item_id", "piece"), F.lit(blocks)))
+    # equal words of one id are found alike: one row of them is enough
+    pieces = written(item_pieces(items, item_id_col, item_text_col, window, block_bytes // 16)
+                     .select("item_id", "words").distinct(), "items")
 
     passes = []
-    for k in range(blocks):
-        block = [(r.item_id, bytes(r.words)) for r in pieces.where(F.col("_b") == k).collect()]
+    for part in blocks_of(pieces, block_bytes):
+        block = [(r.item_id, bytes(r.words)) for r in part.collect()]
         held = spark.sparkContext.broadcast(block)
         passes.append(rows.mapInArrow(_matcher(held, window), HITS))
+    blocks = len(passes)
     if blocks == 1:
         return passes[0]
     every = passes[0]

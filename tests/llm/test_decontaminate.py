@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from riskframe.llm import decontaminate as D
 from riskframe.llm.decontaminate import Automaton, decontaminate, find_hits
 from riskframe.llm.queries import QUERIES
 
@@ -101,3 +102,19 @@ def test_very_long_text(spark, make_docs):
     long = " ".join(f"v{i % 977}" for i in range(200_000))
     r = find_hits(make_docs([long + " " + item + " " + long]), bench(spark, [(1, item)])).first()
     assert r.n_words == 400_012 and [tuple(s) for s in r.spans] == [(200_000, 200_011)]
+
+
+@pytest.mark.parametrize("item", [7, None])
+def test_items_that_share_an_id_are_dealt_to_blocks(spark, make_docs, monkeypatch, item):
+    rng = random.Random(8)
+    items = [(item, " ".join(rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(12))) for _ in range(60)]
+    items += [(9, " ".join("x" * 60 + str(k) for k in range(8)))] + items[:20]
+    docs = [(i, f"z {t} z") for i, (_, t) in enumerate(items[:65])] + [(99, "ab cd")]
+    blocks, matcher = [], D._matcher
+    monkeypatch.setattr(D, "_matcher", lambda held, window: blocks.append(held.value) or matcher(held, window))
+    h = got(find_hits(make_docs(docs), bench(spark, items), window=6, block_bytes=400))
+    want = {d: (n, hit, [x for x in found if x != "None"])
+            for d, (n, hit, found) in brute(docs, items, 6).items()}
+    assert h == want
+    assert len({x for b in blocks for x in b}) == sum(map(len, blocks)) == 61
+    assert all(sum(len(w) for _, w in b) <= 400 or len(b) == 1 for b in blocks)
