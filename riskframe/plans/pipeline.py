@@ -86,8 +86,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
     counts["prepared_rows"] = prepared.count()   # Parquet footers, or the cache being filled
     groups.unpersist()
 
-    # Every report is bounded (features, levels, bins, 16 metrics) and is
-    # materialised once. Independent reports and the model fit are submitted
+    # Every report but the exact ROC is bounded (features, levels, bins, 16 metrics)
+    # and is materialised once. Independent reports and the model fit are submitted
     # as concurrent Spark jobs from driver threads, so small jobs overlap
     # instead of queueing behind each other.
     def small(df):
@@ -134,11 +134,13 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         base = output_dir.rstrip("/")
         for name, df in (("descriptive_statistics", descriptive), ("severity_distribution", severity),
                          ("label_distribution", labels), ("confusion_matrix", confusion),
-                         ("model_evaluation", metrics), ("roc_points", roc),
+                         ("model_evaluation", metrics), ("roc_points", roc if roc_bins else None),
                          ("feature_importance", importance), ("histograms", hist),
                          ("boxplot", box)):
             if df is not None:
                 outputs[name] = reports.write_report(df, f"{base}/reports/{name}")
+        if not roc_bins:                 # a row per distinct score: part files from every task
+            outputs["roc_points"] = files.write_table(roc, f"{base}/reports/roc_points", fmt="csv")
         outputs["model"] = save_model(fitted, feats, f"{base}/model")
 
     return PipelineResult(prepared, counts, descriptive, severity, labels, hist, box, fitted,

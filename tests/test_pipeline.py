@@ -51,6 +51,19 @@ def test_run_pipeline_accident_layout(spark, tmp_dir):
     assert back.count() == 16
 
 
+def test_exact_roc_is_not_written_by_one_task(spark, tmp_dir, monkeypatch):
+    from riskframe.sources import reports
+    written, write = [], reports.write_report
+    monkeypatch.setattr(reports, "write_report", lambda df, path: written.append(os.path.basename(path)) or write(df, path))
+    raw = spark.createDataFrame(_accident_rows(300), accident_schema())
+    for bins in (None, 20):
+        written.clear()
+        res = run_pipeline(spark, ACCIDENTS, raw, output_dir=os.path.join(tmp_dir, f"roc{bins}"), roc_bins=bins)
+        assert ("roc_points" in written) == bool(bins) and "model_evaluation" in written
+        back = reports.read_report(spark, res.outputs["roc_points"], "threshold double, fpr double, tpr double")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, res.roc.collect()))
+
+
 def test_run_pipeline_on_tables(spark):
     res = run_pipeline(spark, INCIDENT_SPEC, incidents(spark, SF_SMALL))
     assert res.metrics.count() == 16
