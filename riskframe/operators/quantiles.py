@@ -88,6 +88,16 @@ def _bracket_df(spark: SparkSession, rows, group_fields, k: int) -> DataFrame:
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
+def few_summary(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
+                group_cols: Sequence[str], accuracy: int = SKETCH_ACCURACY) -> list | None:
+    """Pass 1's rows, or None if they are more than one broadcast should hold: never more
+    of them than that reach the driver."""
+    most = max(1, MAX_TARGETS // (2 * len(probs)))
+    rows = stack_long(df, value_cols, group_cols).groupBy(*[F.col(g) for g in group_cols], "feature").agg(
+        *summary_aggs("x", probs, accuracy)).limit(most + 1).collect()
+    return rows if len(rows) <= most else None
+
+
 def _merge(brackets):
     """Sort brackets [lo, hi, est] and merge overlapping ones (disjoint result)."""
     out = []
@@ -261,7 +271,7 @@ def grouped_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[
         match = F.lit(True)
         for g in group_cols:
             match = match & F.col(g).eqNullSafe(F.col(f"_big_{g}"))
-        large = exact_quantiles(df.join(big, match, "left_semi"), value_cols, probs, group_cols)
+        large = _narrowed_quantiles(df.join(big, match, "left_semi"), value_cols, probs, group_cols)
         long = stack_long(df.join(big, match, "left_anti"), value_cols, group_cols)
     ranked = long.select(*keys, "x", (F.row_number().over(whole.orderBy("x")) - 1).alias("_i"),
                          F.count(F.lit(1)).over(whole).alias("_n"))
@@ -302,7 +312,18 @@ def exact_quantile_values(df: DataFrame, value_cols: Sequence[str], probs: Seque
 
 def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), **kw) -> DataFrame:
-    """Long table (group..., feature, prob, value) of exact interpolated quantiles."""
+    """Long table (group..., feature, prob, value) of exact interpolated quantiles. With
+    more groups than one broadcast should hold nothing of them comes to the driver
+    (``grouped_quantiles``)."""
+    if group_cols and kw.get("summary") is None:
+        kw["summary"] = few_summary(df, value_cols, probs, group_cols, kw.get("accuracy", SKETCH_ACCURACY))
+        if kw["summary"] is None:
+            return grouped_quantiles(df, value_cols, probs, group_cols)
+    return _narrowed_quantiles(df, value_cols, probs, group_cols, **kw)
+
+
+def _narrowed_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
+                        group_cols: Sequence[str] = (), **kw) -> DataFrame:
     vals = exact_quantile_values(df, value_cols, probs, group_cols, **kw)
     schema = T.StructType(
         [df.schema[g] for g in group_cols]

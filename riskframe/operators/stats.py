@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import all_present, col, numeric_columns
 from ..session import delete_path, scratch_dir
-from .quantiles import exact_quantile_values, stack_long, summary_aggs
+from .quantiles import exact_quantile_values, few_summary, grouped_quantiles, stack_long, summary_aggs
 
 STAT_COLUMNS = ("Feature", "Count", "Mean", "Median", "Std", "Min", "Max", "Q1", "Q3",
                 "Skewness", "Kurtosis")
@@ -251,28 +251,43 @@ def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float =
     (most extreme values within 1.5 IQR of the box) and outlier counts.
 
     Pass 1: exact quartiles per group (distributed selection). Pass 2: the
-    per-group fences (one row per group, bounded) are broadcast-joined back
-    and whiskers / outliers come out of one conditional aggregate.
+    per-group fences are joined back and whiskers / outliers come out of one
+    conditional aggregate. The fences of few groups (counted) are broadcast;
+    those of many are a written table and never come to the driver.
     """
     base = df.select(col(by).alias(by), col(feature).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v") & F.col(by).isNotNull())
     if cache:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return spark_local(boxplot_stats(base, "_v", by, whis, cache=False))
+            out = boxplot_stats(base, "_v", by, whis, cache=False)
+            path = scratch_dir(df.sparkSession, "boxplot")
+            out.write.parquet(path)
+            return df.sparkSession.read.schema(out.schema).parquet(path)
         finally:
             base.unpersist()
-    qv = exact_quantile_values(base, ["_v"], (0.25, 0.5, 0.75), [by])
-    groups = sorted({k[0][0] for k in qv})
-    rows = []
-    for g in groups:
-        q1, med, q3 = qv[((g,), "_v", 0.25)], qv[((g,), "_v", 0.5)], qv[((g,), "_v", 0.75)]
-        iqr = q3 - q1
-        rows.append((g, q1, med, q3, iqr, q1 - whis * iqr, q3 + whis * iqr))
-    schema = T.StructType([df.schema[by]] + [T.StructField(n, T.DoubleType()) for n in
-                                              ("q1", "median", "q3", "iqr", "_lof", "_hif")])
-    fences = df.sparkSession.createDataFrame(rows, schema)
-    j = base.join(F.broadcast(fences), by)
+    probs = (0.25, 0.5, 0.75)
+    few = few_summary(base, ["_v"], probs, [by])
+    if few is None:
+        q = grouped_quantiles(base, ["_v"], probs, [by]).groupBy(by).agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+            for p, n in zip(probs, ("q1", "median", "q3"))])
+        q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+        q = q.withColumn("_lof", F.col("q1") - whis * F.col("iqr")).withColumn("_hif", F.col("q3") + whis * F.col("iqr"))
+        path = scratch_dir(df.sparkSession, "fences")
+        q.write.parquet(path)
+        j = base.join(df.sparkSession.read.schema(q.schema).parquet(path), by)
+    else:
+        qv = exact_quantile_values(base, ["_v"], probs, [by], summary=few)
+        groups = sorted({k[0][0] for k in qv})
+        rows = []
+        for g in groups:
+            q1, med, q3 = qv[((g,), "_v", 0.25)], qv[((g,), "_v", 0.5)], qv[((g,), "_v", 0.75)]
+            iqr = q3 - q1
+            rows.append((g, q1, med, q3, iqr, q1 - whis * iqr, q3 + whis * iqr))
+        schema = T.StructType([df.schema[by]] + [T.StructField(n, T.DoubleType()) for n in
+                                                  ("q1", "median", "q3", "iqr", "_lof", "_hif")])
+        j = base.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), by)
     inside = (F.col("_v") >= F.col("_lof")) & (F.col("_v") <= F.col("_hif"))
     agg = j.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"),

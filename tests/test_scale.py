@@ -141,3 +141,25 @@ def test_quantile_value_budget_still_exact(spark, monkeypatch):
         xs = [v for k, v in rows if k == g]
         for p in (0.25, 0.5, 0.75):
             assert got[((g,), "v", p)] == pytest.approx(np.percentile(xs, p * 100), abs=1e-9)
+
+
+def test_many_groups_stay_off_the_driver(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows = [(rnd.choice([k, 0]), rnd.gauss(0, 5)) for k in range(40) for _ in range(30)] + [(41, None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "label int, v double").repartition(4)
+    box = lambda **kw: sorted(map(tuple, stats.boxplot_stats(df, "v", **kw).collect()))
+    probs = (0.1, 0.25, 0.5)
+    q = lambda: {(r["label"], r["prob"]): r["value"] for r in
+                 quantiles.exact_quantiles(df, ["v"], probs, ["label"]).collect()}
+    want, want_q = box(), q()
+
+    def not_many(*args, **kw):
+        raise AssertionError("all groups on the driver")
+    monkeypatch.setattr(quantiles, "MAX_TARGETS", 60)
+    monkeypatch.setattr(quantiles, "order_statistics", not_many)
+    for got in (box(), box(cache=True)):
+        assert len(got) == len(want) == 40
+        for a, b in zip(got, want):
+            assert a == pytest.approx(b)
+    got_q = q()
+    assert len(got_q) == len(want_q) == 41 * len(probs) and got_q == pytest.approx(want_q)
