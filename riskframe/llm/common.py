@@ -14,13 +14,40 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_dir
 
-TOKENIZER_DIR = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 SPACE = r"[\x20\x09-\x0D]+"          # the white space that ends a word
 
 
-def tokenizer_path(name: str, folder: str = TOKENIZER_DIR) -> str:
+def tokenizer_path(name: str, folder: str | None = None) -> str:
     """Place of a public vocabulary file (read in place, never copied)."""
-    return os.path.join(folder, name)
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+_KEPT: dict = {}
+
+
+def kept(kind: str, key, make):
+    """What a worker process keeps between tasks (a memo, an automaton): one thing at a
+    time. The next kind, or another key, takes the place of the last, so what the operators
+    of a long job keep does not add up in reused workers."""
+    if (kind, key) not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            gc.collect()
+            _give_back()
+        _KEPT[kind, key] = make()
+    return _KEPT[kind, key]
+
+
+def _give_back() -> None:
+    """Hand freed memory to the system, where the C library can."""
+    import ctypes
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 _SHIPPED: set[str] = set()

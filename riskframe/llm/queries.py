@@ -158,3 +158,11 @@ def op8_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """Components of documents whose five-word shingle sets are at least 0.8 similar."""
     from . import jaccard as t
     return t.jaccard_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """Every usable vector projected on the first four components, at unit variance."""
+    from . import whitening as t
+    vectors = t.gridded(table(spark, d, "embeddings"))
+    return t.whiten(vectors, t.fit_whitening(vectors))
