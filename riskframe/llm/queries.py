@@ -166,3 +166,11 @@ def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
     from . import whitening as t
     vectors = t.gridded(table(spark, d, "embeddings"))
     return t.whiten(vectors, t.fit_whitening(vectors))
+
+
+@query
+def op11_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's ids in sequences of at most 4,096 tokens."""
+    from . import packing as t
+    return t.pack(table(spark, d, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
