@@ -174,3 +174,10 @@ def op11_packing(spark: SparkSession, d: str) -> DataFrame:
     from . import packing as t
     return t.pack(table(spark, d, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of the corpus with its form, its root and its number of near words."""
+    from . import spelling as t
+    return t.spelling_groups(table(spark, d, "documents"))
