@@ -8,7 +8,10 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import Window
+
 from ..functions import col
+from ..session import scratch_dir, shuffle_partitions
 
 
 def fit_string_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx",
@@ -42,6 +45,48 @@ def index_table(spark, model: StringIndexerModel) -> DataFrame:
     return spark.createDataFrame(rows, "column string, value string, idx double")
 
 
+def rank_values(df: DataFrame, column: str) -> DataFrame:
+    """M1 fit for columns of any cardinality: ``(value, n, idx)``, the most frequent value
+    first, ties in value order. No value comes to the driver.
+
+    Values are counted, range-partitioned by (count descending, value) and numbered inside
+    their range; ranges get the sum of the sizes before them (a row per range). The counted
+    values are written to the shared folder once, so numbers do not change if a task is
+    run again.
+    """
+    spark = df.sparkSession
+    parts = shuffle_partitions(spark)
+    counts = (df.where(col(column).isNotNull()).groupBy(col(column).cast("string").alias("value"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    order = [F.desc("n"), F.asc("value")]
+    path = scratch_dir(spark, "value-ranks")
+    (counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+     .select("value", "n", F.spark_partition_id().alias("_part"),
+             (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("_at")).write.parquet(path))
+    ranked = spark.read.parquet(path)
+    # a row per range: a bounded window, and a broadcast of at most as many rows as partitions
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = (ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+             .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first")))
+    return ranked.join(F.broadcast(first), "_part").select(
+        "value", "n", (F.col("_first") + F.col("_at")).cast("double").alias("idx"))
+
+
+def string_index_any(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> DataFrame:
+    """M1 for columns of any cardinality: as :func:`string_index` with ``keep`` (null gets the
+    extra last index), by joins with :func:`rank_values`. A value that many rows hold is one
+    row of the ranks, so its rows split over tasks."""
+    out = df
+    for c in columns:
+        if c not in df.columns:
+            continue
+        ranks = rank_values(df, c).select(F.col("value").alias("_value"), F.col("idx").alias("_idx"))
+        extra = float(ranks.count())
+        out = (out.join(ranks, col(c).cast("string") == F.col("_value"), "left")
+               .withColumn(c + suffix, F.coalesce("_idx", F.lit(extra))).drop("_value", "_idx"))
+    return out
+
+
 def category_lookup(df: DataFrame, column: str, mapping: Mapping[str, float] | DataFrame,
                     out: str | None = None, default: float = 0.0) -> DataFrame:
     """Replace a category by its index from a mapping; unknown -> ``default``.

@@ -7,6 +7,9 @@ every denominator and counts are doubles before any product (no overflow).
 
 from __future__ import annotations
 
+import bisect
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -258,6 +261,69 @@ def auc_binned(pred: DataFrame, label: str = "label", raw: str = "rawPrediction"
     return ev.evaluate(pred.withColumn(label, col(label).cast("double")))
 
 
+def _bounds(segments: list[tuple]) -> tuple[float, float]:
+    """Won pairs at least and at most, of segments (lo, hi, pos, neg) in score order; pairs in a
+    segment of one score are half won, others open."""
+    won = open_ = below = 0.0
+    for lo, hi, pos, neg in segments:
+        won += pos * below
+        if lo == hi:
+            won += 0.5 * pos * neg
+        else:
+            open_ += pos * neg
+        below += neg
+    return won, won + open_
+
+
+def auc_certified(pred: DataFrame, label: str = "label", score: str = "p1", tolerance: float = 1e-6,
+                  bins: int = 1000, refine: int = 200, fan: int = 20, max_passes: int = 60) -> DataFrame:
+    """Bounds of the exact AUC from mergeable (score bin, label) counts, no sort and no
+    shuffle of scores. Pairs inside a bin of several scores are open; each further pass cuts
+    only the bins with the most open pairs, ``fan`` ways between their least and greatest
+    score, until the open share is at most ``tolerance``. One row ``(auc_lower, auc_upper,
+    passes, bins)``; the driver holds the bins, at most ``refine * fan`` more each pass.
+    Bounds are null when only one class is present."""
+    from pyspark.ml.feature import Bucketizer
+    rows = pred.select(col(score).cast("double").alias("s"), col(label).cast("double").alias("y")).where(
+        F.col("s").isNotNull() & ~F.isnan("s"))
+    span = rows.agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum("y").alias("pos"),
+                    F.sum(F.lit(1.0) - F.col("y")).alias("neg")).first()
+    schema = "auc_lower double, auc_upper double, passes int, bins int"
+    pairs = (span["pos"] or 0.0) * (span["neg"] or 0.0)
+    if not pairs:
+        return pred.sparkSession.createDataFrame([(None, None, 1, 0)], schema)
+    segments = [(span["lo"], span["hi"], span["pos"], span["neg"])]
+    passes, ways = 1, bins
+    while True:
+        lower, upper = _bounds(segments)
+        if upper - lower <= tolerance * pairs or passes >= max_passes:
+            break
+        wide = sorted((x for x in segments if x[0] < x[1]), key=lambda x: -x[2] * x[3])
+        chosen, left = [], upper - lower
+        for x in wide[:refine]:
+            if left <= 0.5 * tolerance * pairs:
+                break
+            chosen.append(x)
+            left -= x[2] * x[3]
+        cuts = set()
+        for lo, hi, _, _ in chosen:
+            step = (hi - lo) / ways
+            cuts |= {lo, math.nextafter(hi, math.inf), *(lo + i * step for i in range(1, ways)), hi}
+        splits = [-math.inf, *sorted(cuts), math.inf]
+        near = rows.where((F.col("s") >= min(x[0] for x in chosen)) & (F.col("s") <= max(x[1] for x in chosen)))
+        got = (Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(near).groupBy("b")
+               .agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum("y").alias("pos"),
+                    F.sum(F.lit(1.0) - F.col("y")).alias("neg")).collect())
+        ranges = sorted((x[0], x[1]) for x in chosen)
+        starts = [r[0] for r in ranges]
+        inside = [(r["lo"], r["hi"], r["pos"], r["neg"]) for r in got
+                  if (i := bisect.bisect_right(starts, r["lo"]) - 1) >= 0 and r["hi"] <= ranges[i][1]]
+        done = set(chosen)
+        segments = sorted([x for x in segments if x not in done] + inside)
+        passes, ways = passes + 1, fan
+    return pred.sparkSession.createDataFrame([(lower / pairs, upper / pairs, passes, len(segments))], schema)
+
+
 # --------------------------------------------------------------- report ---
 
 def evaluation_summary(pred: DataFrame, label: str = "label", prediction: str = "prediction",

@@ -245,6 +245,46 @@ def spark_local(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
+def _with_fences(base: DataFrame, by: str, whis: float) -> DataFrame:
+    """Rows (``by``, ``_v`` and any others) with their group's q1, median, q3, iqr and fences
+    ``_lof`` / ``_hif``. The fences of few groups (counted) are broadcast, and rows stay where
+    they are; those of many are a written table and never come to the driver."""
+    spark, probs = base.sparkSession, (0.25, 0.5, 0.75)
+    values = base.select(by, "_v")
+    few = few_summary(values, ["_v"], probs, [by])
+    if few is None:
+        q = grouped_quantiles(values, ["_v"], probs, [by]).groupBy(by).agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+            for p, n in zip(probs, ("q1", "median", "q3"))])
+        q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+        q = q.withColumn("_lof", F.col("q1") - whis * F.col("iqr")).withColumn("_hif", F.col("q3") + whis * F.col("iqr"))
+        path = scratch_dir(spark, "fences")
+        q.write.parquet(path)
+        return base.join(spark.read.schema(q.schema).parquet(path), by)
+    qv = exact_quantile_values(values, ["_v"], probs, [by], summary=few)
+    rows = []
+    for g in sorted({k[0][0] for k in qv}):
+        q1, med, q3 = qv[((g,), "_v", 0.25)], qv[((g,), "_v", 0.5)], qv[((g,), "_v", 0.75)]
+        iqr = q3 - q1
+        rows.append((g, q1, med, q3, iqr, q1 - whis * iqr, q3 + whis * iqr))
+    schema = T.StructType([base.schema[by]] + [T.StructField(n, T.DoubleType()) for n in
+                                               ("q1", "median", "q3", "iqr", "_lof", "_hif")])
+    return base.join(F.broadcast(spark.createDataFrame(rows, schema)), by)
+
+
+def boxplot_outliers(df: DataFrame, feature: str, by: str = "label", keys: Sequence[str] = (),
+                     whis: float = 1.5) -> DataFrame:
+    """A10: the points beyond the whiskers themselves, ``(by, keys..., value, side)`` with side
+    ``low`` or ``high``, for any number of groups; every outlying row once. A group that holds
+    most rows is not gathered: its rows meet its fences where they are."""
+    base = df.select(col(by).alias(by), *[col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+                     col(feature).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v") & F.col(by).isNotNull())
+    side = F.when(F.col("_v") < F.col("_lof"), F.lit("low")).when(F.col("_v") > F.col("_hif"), F.lit("high"))
+    j = _with_fences(base, by, whis).withColumn("side", side).where(F.col("side").isNotNull())
+    return j.select(by, *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], F.col("_v").alias("value"), "side")
+
+
 def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float = 1.5,
                   cache: bool = False) -> DataFrame:
     """A10: box-plot summary per group: n, mean, q1, median, q3, iqr, whiskers
@@ -266,28 +306,7 @@ def boxplot_stats(df: DataFrame, feature: str, by: str = "label", whis: float =
             return df.sparkSession.read.schema(out.schema).parquet(path)
         finally:
             base.unpersist()
-    probs = (0.25, 0.5, 0.75)
-    few = few_summary(base, ["_v"], probs, [by])
-    if few is None:
-        q = grouped_quantiles(base, ["_v"], probs, [by]).groupBy(by).agg(*[
-            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-            for p, n in zip(probs, ("q1", "median", "q3"))])
-        q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-        q = q.withColumn("_lof", F.col("q1") - whis * F.col("iqr")).withColumn("_hif", F.col("q3") + whis * F.col("iqr"))
-        path = scratch_dir(df.sparkSession, "fences")
-        q.write.parquet(path)
-        j = base.join(df.sparkSession.read.schema(q.schema).parquet(path), by)
-    else:
-        qv = exact_quantile_values(base, ["_v"], probs, [by], summary=few)
-        groups = sorted({k[0][0] for k in qv})
-        rows = []
-        for g in groups:
-            q1, med, q3 = qv[((g,), "_v", 0.25)], qv[((g,), "_v", 0.5)], qv[((g,), "_v", 0.75)]
-            iqr = q3 - q1
-            rows.append((g, q1, med, q3, iqr, q1 - whis * iqr, q3 + whis * iqr))
-        schema = T.StructType([df.schema[by]] + [T.StructField(n, T.DoubleType()) for n in
-                                                  ("q1", "median", "q3", "iqr", "_lof", "_hif")])
-        j = base.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), by)
+    j = _with_fences(base, by, whis)
     inside = (F.col("_v") >= F.col("_lof")) & (F.col("_v") <= F.col("_hif"))
     agg = j.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"),
