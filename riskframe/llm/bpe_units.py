@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import row_slices
+from .common import kept, row_slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 HEAD = "\n"          # no word that follows a space starts with white space
@@ -27,14 +27,9 @@ IRREGULAR = (r"[\x09-\x0D\x1C-\x20]{2}|\A[\x09-\x0D\x1C-\x20]|[\x09-\x0D\x1C-\x2
              r"\x{2060}\x{3000}\x{FEFF}]")
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}
-
-
 def encoder(path: str) -> UnitEncoder:
     """One encoder for each vocabulary and worker process, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = UnitEncoder(path)
-    return _ENCODERS[path]
+    return kept("units", path, lambda: UnitEncoder(path))
 
 
 class UnitEncoder:

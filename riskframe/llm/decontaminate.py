@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import narrow, packed, ship, text_key, written
+from .common import kept, narrow, packed, ship, text_key, written
 
 # normalisation: A-Z to a-z; every other ASCII byte that is no digit or letter to a space
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -271,16 +271,10 @@ def _hits_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       schema=pa.schema(types))
 
 
-_AUTOMATA: dict = {}
-
-
 def automaton(held, window: int) -> Automaton:
     """The block's automaton, built once per worker process (one block is kept)."""
-    key = (hash(tuple(held.value)), window)
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
-        _AUTOMATA[key] = Automaton([(i, w.split()) for i, w in held.value], window)
-    return _AUTOMATA[key]
+    return kept("automaton", (hash(tuple(held.value)), window),
+                lambda: Automaton([(i, w.split()) for i, w in held.value], window))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5,

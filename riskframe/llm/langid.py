@@ -11,7 +11,8 @@ without a piece of its own has a small fixed probability in every language.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to
 the first language in string order; without any labelled document every text is
-``und``; null labels are not learnt from; rows are predicted one by one, repeated or not;
+``und``; null labels are not learnt from; rows that share an id, or copies of one row, are
+learnt from like any others; rows are predicted one by one, repeated or not;
 words longer than ``LONG`` letters are cut there. Other columns are ignored, whatever
 their names.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, tokenizer_path, written
+from .common import kept, ship, tokenizer_path, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"                 # the vocabulary's sign for a word start
@@ -184,15 +185,18 @@ def fit(labelled: DataFrame, vocabulary: str | None = None, text_col: str = "tex
         lang_col: str = "lang", key_col: str = "doc_id", docs_per_language: int = 200,
         max_languages: int | None = None, rounds: int = 2, smoothing: float = 0.1) -> Model:
     """Fit on at most ``docs_per_language`` documents of each label (chosen by a hash of
-    their key). Every label that is not null is learnt, or only the ``max_languages`` most
+    their key and text). Every label that is not null is learnt, or only the ``max_languages`` most
     frequent ones if that is given. What reaches the driver is pieces x languages; priors
     count all labelled rows."""
     ship(labelled.sparkSession)
     path = vocabulary or tokenizer_path("piece_bpe_32k.model")
     rows = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"),
                            F.col(f"`{text_col}`").cast("string").alias("text"),
-                           F.xxhash64(F.col(f"`{key_col}`").cast("string")).alias("h")).where("lang is not null")
-    sizes = written(rows.groupBy("lang").count(), "langid-sizes")
+                           F.xxhash64(F.col(f"`{key_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
+                           .alias("h")).where("lang is not null")
+    # rows that share a key differ by text; copies of a row are one hash and pass together
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("own"),
+                                             F.min("h").alias("least")), "langid-sizes")
     if max_languages is not None:
         sizes = sizes.orderBy(F.desc("count"), "lang").limit(max_languages)
     counts = sizes.collect()
@@ -202,9 +206,10 @@ def fit(labelled: DataFrame, vocabulary: str | None = None, text_col: str = "tex
     if not langs:
         return Model([], np.zeros(0), pieces, np.zeros((len(pieces), 0)))
     # a share of each language's rows by hash, then exactly the first ones: no task sorts a language
-    share = sizes.select("lang", F.least(
-        F.lit(1.0), F.lit(2.0 * docs_per_language) / F.col("count") + F.lit(1e-4)).alias("share"))
-    near = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    share = sizes.select("lang", "least", F.least(
+        F.lit(1.0), F.lit(2.0 * docs_per_language) / F.col("own") + F.lit(1e-4)).alias("share"))
+    near = rows.join(share, "lang").where((F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+                                          | (F.col("h") == F.col("least")))
     first = Window.partitionBy("lang").orderBy("h", "text")
     sample = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs_per_language)
     schema = pa.schema([("lang", pa.string()), ("word", pa.string())])
@@ -259,17 +264,11 @@ def _maximise(words: DataFrame, model: Model, smoothing: float) -> np.ndarray:
     return count / count.sum(axis=0)
 
 
-_SCORERS: dict = {}
-
-
 def scorer(held) -> Scorer:
     """One scorer with its memo per worker process, as long as the model is the same."""
     m = held.value
     key = (tuple(m.langs), hash(m.prob.tobytes()), hash(m.prior.tobytes()))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(m)
-    return _SCORERS[key]
+    return kept("scorer", key, lambda: Scorer(m))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

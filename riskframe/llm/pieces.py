@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, ship, text_key, tokenizer_path, written
+from .common import kept, narrow, ship, text_key, tokenizer_path, written
 
 MARK = "▁"
 SCALE = 1000                    # fixed point: a score of 1 is a thousandth of a nat
@@ -301,14 +301,9 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_VOCABULARIES: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary and memo per worker process."""
-    if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = Vocabulary(path)
-    return _VOCABULARIES[path]
+    return kept("pieces", path, lambda: Vocabulary(path))
 
 
 SCHEMA = "doc_id long, text_key long, ids array<int>, score long, n_chunks int"

@@ -14,34 +14,42 @@ shard. Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cumulative import running_totals
 from .common import narrow, shared_folder, tokenizer_path, written
 
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
 
-def open_url(url: str, mode: str):
-    """A file of the shared store: plain paths and file: by the local mount, others by
-    pyarrow's file systems."""
-    if url.startswith("file:") or "://" not in url:
-        path = url[5:] if url.startswith("file:") else url
-        return open("/" + path.lstrip("/") if url.startswith("file:") else path, mode)
+#: Hadoop's names of a store whose files pyarrow reads under another name
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def store_of(url: str):
+    """(file system, path) of a shared folder's file for a task without a JVM."""
     from pyarrow import fs
-    store, path = fs.FileSystem.from_uri(url)
+    kind, _, rest = url.partition(":")
+    if not rest or "/" in kind:
+        return fs.LocalFileSystem(), url
+    if kind == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(kind, kind)}:{rest}")
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"token shards cannot be written below {url}: tasks reach local (mounted) folders, "
+                         f"hdfs, s3 and gs stores; name one in spark.checkpoint.dir or pass a folder") from e
+
+
+def open_url(url: str, mode: str):
+    store, path = store_of(url)
     return store.open_output_stream(path) if "w" in mode else store.open_input_file(path)
 
 
 def move_url(src: str, dst: str) -> None:
-    if src.startswith("file:") or "://" not in src:
-        import os
-        plain = lambda u: "/" + u[5:].lstrip("/") if u.startswith("file:") else u
-        os.replace(plain(src), plain(dst))
-        return
-    from pyarrow import fs
-    store, a = fs.FileSystem.from_uri(src)
-    store.move(a, fs.FileSystem.from_uri(dst)[1])
+    store, a = store_of(src)
+    store.move(a, store_of(dst)[1])
 
 
 def make_folder(spark: SparkSession, url: str) -> None:
@@ -58,6 +66,7 @@ def write_shards(docs: DataFrame, folder: str | None = None, vocabulary: str | N
     spark = docs.sparkSession
     path = vocabulary or tokenizer_path("byte_bpe_50k.json")
     out = folder or shared_folder(spark, "token-shards")
+    store_of(out)                                # fails here, before any work, for an unknown store
     make_folder(spark, out)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = narrow(docs, id_col, text_col)
@@ -108,10 +117,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     ``start`` counts the ids of all documents before it. A reader holds one segment and,
     of a document that spans segments, a running checksum."""
     spark = manifest.sparkSession
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)   # a row per shard
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    m = manifest.select("shard", "path", "n_ids",
-                        F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+    m = running_totals(manifest.select("shard", "path", "n_ids"), "shard", ["n_ids"], prefix="to_")
+    m = m.select("shard", "path", "n_ids", (F.col("to_n_ids") - F.col("n_ids")).alias("first"))
     m = m.repartition(tasks, "shard")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids_crc32", pa.int64()), ("shard", pa.int32())])

@@ -92,3 +92,13 @@ def test_every_label_is_learnt(spark, make_docs):
     rows = langid.predict(make_docs([own[n] for n in names]), m).collect()
     good = sum(r.lang_pred == names[r.doc_id] for r in rows)
     assert len(rows) == len(names) and good > 256
+
+
+def test_labels_under_one_id_are_learnt(spark, make_docs):
+    """All rows of a language under one id, some of them copies of one row."""
+    de = [(77, f"der Hund und die Katze laufen {w} durch den Wald") for w in ("heute", "schnell", "wieder")] * 700
+    en = [(i, f"the dog and the cat are running through the forest {i}") for i in range(900)]
+    for same in (de, [(77, de[0][1])] * 2100):
+        m = langid.fit(make_docs(same + en, ["de"] * len(same) + ["en"] * len(en)))
+        got = langid.predict(make_docs(["die Katze und der Hund", "the cat and the dog"]), m).orderBy("doc_id").collect()
+        assert [r["lang_pred"] for r in got] == ["de", "en"]
