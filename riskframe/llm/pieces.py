@@ -10,8 +10,11 @@ pieces. The segmentation with the highest score wins; ties take the shorter last
 Giant documents are split into chunks. A state at a chunk's start says how many of its
 characters the piece that straddles the boundary has already taken; a chunk's transfer
 matrix holds the best score from every state at its start to every state at its end.
-Matrices combine associatively under (max, +); once each chunk knows the state it is
-entered in and left in, it is traced back alone.
+Matrices combine associatively under (max, +), in rounds over pairs of neighbours, which
+gives every chunk the best scores of its entry states. From those each chunk tells, for every
+state it may be left in, the state it is entered in; these maps compose the same way from
+the end backwards. Then each chunk is traced back alone. Ties are settled by the same rule
+in both steps, so a text has the same ids in chunks of any size.
 
 Defined cases: null encodes to null pieces and decodes to null; an empty text to no
 piece; repeated rows are encoded each by itself; empty tables give empty results. Lone
@@ -274,18 +277,60 @@ class Vocabulary:
                 out[a, a - n] = 0                # the straddling piece takes the whole chunk
         return out
 
-    def trace(self, s: str, n: int, a: int, b: int) -> list[int]:
-        """Ids of the best path of a chunk from state ``a`` to state ``b``."""
-        if a >= n:
-            return []
+    def entered(self, s: str, n: int, front: np.ndarray):
+        """Scores and last pieces of the places of a chunk, from the best scores ``front`` of its
+        entry states. A place whose last piece is None is an entry: the piece that ends there
+        began before the chunk (at equal scores a piece of the chunk, being shorter, wins)."""
+        score = {a: int(x) for a, x in enumerate(front) if x > NEVER}
+        back: dict = dict.fromkeys(score)
+        for i in range(n):
+            base = score.get(i)
+            if base is None:
+                continue
+            for j, x, ids in self.options(s, i, len(s)):
+                if j not in score or base + x >= score[j]:
+                    score[j] = base + x
+                    back[j] = (i, ids)
+        return score, back
+
+    @staticmethod
+    def walk(back: dict, at: int) -> tuple[int, list]:
+        """(entry place, ids of the chunk's pieces) of the best path to a place."""
+        out = []
+        while back[at] is not None:
+            at, ids = back[at]
+            out.append(ids)
+        return at, [k for ids in reversed(out) for k in ids]
+
+    def entries(self, s: str, n: int, front: np.ndarray) -> np.ndarray:
+        """For every state that the chunk can be left in, the state it was entered in by the best
+        path (-1 where there is none)."""
+        m = self.longest
+        cut = self.cuts(s, n)
+        if cut:
+            lo, hi = cut
+            _, back = self.entered(s[:lo], lo, front[:lo + 1])
+            entry = self.walk(back, lo)[0]
+            return np.array([entry if x > NEVER else -1 for x in self.reach(s, hi, n)], dtype=np.int64)
+        _, back = self.entered(s, n, front)
+        return np.array([self.walk(back, n + b)[0] if n + b in back else -1 for b in range(m)], dtype=np.int64)
+
+    def trace(self, s: str, n: int, front: np.ndarray, b: int) -> tuple[list[int], int]:
+        """Ids of the chunk's pieces on the best path that leaves it in state ``b``, and the
+        path's score up to there."""
         cut = self.cuts(s, n)
         if not cut:
-            return self.best(s, a, n + b, limit=n)[1]
+            score, back = self.entered(s, n, front)
+            return self.walk(back, n + b)[1], score[n + b]
         lo, hi = cut
-        out = list(self.best(s, a, lo)[1])
+        score, back = self.entered(s[:lo], lo, front[:lo + 1])
+        out, total = self.walk(back, lo)[1], score[lo]
         if hi > lo:
-            out += np.frombuffer(b"".join([x for x, _ in self.whole(s[lo:hi])]), dtype="<i4").tolist()
-        return out + self.best(s, hi, n + b, limit=n)[1]
+            for ids, x in self.whole(s[lo:hi]):
+                out += np.frombuffer(ids, dtype="<i4").tolist()
+                total += x
+        x, ids = self.best(s, hi, n + b, limit=n)
+        return out + ids, total + x
 
     def decode(self, ids) -> str:
         raw = b"".join([self.bytes_of[k] for k in ids])
@@ -364,70 +409,156 @@ def _giants(rows: DataFrame, path: str, chunk: int) -> DataFrame:
                      pa.array(range(len(at)), pa.int32()), pa.array([min(chunk, len(s) - i) for i in at], pa.int32()),
                      pa.array([s[i:i + chunk + v.longest] for i in at], pa.string())], schema=arrow)
 
-    chunks = written(rows.mapInArrow(split, _CHUNK).dropDuplicates(["doc_id", "text_key", "chunk"]), "pieces-chunks")
+    chunks = rows.mapInArrow(split, _CHUNK).dropDuplicates(["doc_id", "text_key", "chunk"])
+    # one key without nulls for a document's chunks
+    doc = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_key").alias("doc")
+    chunks = written(chunks.select(doc, "*"), "pieces-chunks")
 
     def matrices(batches):
         from .pieces import vocabulary
         v = vocabulary(path)
         for b in batches:
             got = [v.transfer(r["body"], r["n"]).tobytes() for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(got, pa.binary())],
-                                             names=["doc_id", "text_key", "chunk", "matrix"])
-
-    moves = chunks.mapInArrow(matrices, "doc_id long, text_key long, chunk int, matrix binary")
-
-    def states(pdf):
-        """One document's matrices: forward scan, then the states backwards."""
-        import pandas as pd
-
-        from .pieces import NEVER, combine
-        pdf = pdf.sort_values("chunk")
-        m = int(round((len(pdf["matrix"].iloc[0]) // 8) ** 0.5))
-        ms = [np.frombuffer(x, dtype=np.int64).reshape(m, m) for x in pdf["matrix"]]
-        front = np.full((1, m), NEVER, dtype=np.int64)
-        front[0, 0] = 0
-        fronts = []
-        for x in ms:
-            fronts.append(front)
-            front = combine(front, x)
-        total, b, pairs = int(front[0, 0]), 0, []
-        for f, x in zip(reversed(fronts), reversed(ms)):
-            both = np.where((f[0] > NEVER) & (x[:, b] > NEVER), f[0] + x[:, b], NEVER)
-            a = int(np.argmax(both))             # ties: fewest characters taken
-            pairs.append((a, b))
-            b = a
-        pairs.reverse()
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "text_key": pdf["text_key"], "chunk": pdf["chunk"],
-                             "a": [p[0] for p in pairs], "b": [p[1] for p in pairs], "total": total})
-
-    keys = ["doc_id", "text_key", "chunk"]
-    path_of = moves.groupBy("doc_id", "text_key").applyInPandas(
-        states, "doc_id long, text_key long, chunk int, a int, b int, total long")
-    s = path_of.select(*[F.col(k).alias(f"s_{k}") for k in keys], "a", "b", "total")
-    j = chunks.join(s, F.col("doc_id").eqNullSafe(F.col("s_doc_id")) & (F.col("text_key") == F.col("s_text_key"))
-                    & (F.col("chunk") == F.col("s_chunk")))
+            yield _nodes(b.column(0), b.column(1), got)
 
-    def trace(batches):
+    here = lambda *more: chunks.select("doc", F.col("chunk").alias("at"), "n", "body", *more)
+    moves = written(here().select("doc", "at", "n", "body").mapInArrow(matrices, NODE), "pieces-moves")
+    # best scores of every chunk's entry states: products of the matrices before it
+    fronts = _push_down(_tree(moves, _product), _front_root, _front_below)
+    fronts = written(fronts.withColumnRenamed("value", "front"), "pieces-fronts")
+
+    def entry_maps(batches):
         from .pieces import vocabulary
         v = vocabulary(path)
         for b in batches:
-            got = [v.trace(r["body"], r["n"], r["a"], r["b"]) for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), b.column(7),
-                                              pa.array(got, pa.list_(pa.int32()))],
-                                             names=["doc_id", "text_key", "chunk", "total", "ids"])
+            got = [v.entries(r["body"], r["n"], np.frombuffer(r["front"], np.int64)).tobytes() for r in b.to_pylist()]
+            yield _nodes(b.column(0), b.column(1), got)
+
+    placed = here().join(fronts, ["doc", "at"]).select("doc", "at", "n", "body", "front")
+    steps = written(placed.mapInArrow(entry_maps, NODE), "pieces-entries")
+    # the state every chunk is left in: the entry maps of the chunks after it, applied to the end
+    exits = _push_down(_tree(steps, _composed), _exit_root, _exit_below)
+    exits = written(exits.withColumnRenamed("value", "exit"), "pieces-exits")
 
-    parts = j.select(*keys, "n", "body", "a", "b", "total").mapInArrow(
-        trace, "doc_id long, text_key long, chunk int, total long, ids array<int>")
+    def trace(batches):
+        from .pieces import vocabulary
+        v = vocabulary(path)
+        for b in batches:
+            got = [v.trace(r["body"], r["n"], np.frombuffer(r["front"], np.int64),
+                           int(np.frombuffer(r["exit"], np.int64)[0])) for r in b.to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in range(3)), pa.array([x for _, x in got], pa.int64()),
+                 pa.array([ids for ids, _ in got], pa.list_(pa.int32()))],
+                names=["doc_id", "text_key", "chunk", "total", "ids"])
+
+    j = (chunks.withColumnRenamed("chunk", "at").join(fronts, ["doc", "at"]).join(exits, ["doc", "at"])
+         .select("doc_id", "text_key", F.col("at").alias("chunk"), "n", "body", "front", "exit"))
+    parts = j.mapInArrow(trace, "doc_id long, text_key long, chunk int, total long, ids array<int>")
     # a document's ids are one value of the result, so its chunks meet again here
     whole = parts.groupBy("doc_id", "text_key").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"),
-        F.first("total").alias("score"), F.count("*").cast("int").alias("n_chunks"))
+        F.max_by("total", "chunk").alias("score"), F.count("*").cast("int").alias("n_chunks"))
     c = copies.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "count")
     whole = whole.join(c, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")))
     return (whole.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
             .select("doc_id", "text_key", "ids", "score", "n_chunks"))
 
 
+NODE = "doc string, at int, value binary"
+
+
+def _nodes(doc, at, values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([doc, at, pa.array(values, pa.binary())], names=["doc", "at", "value"])
+
+
+def _siblings(level: DataFrame) -> DataFrame:
+    """``(doc, at, a, b)``: the two nodes below each node of the next level; b may be null."""
+    half = F.floor(F.col("at") / 2).cast("int").alias("at")
+    left = level.where("at % 2 = 0").select("doc", half, F.col("value").alias("a"))
+    right = level.where("at % 2 = 1").select("doc", half, F.col("value").alias("b"))
+    return left.join(right, ["doc", "at"], "left").select("doc", "at", "a", "b")
+
+
+def _tree(leaves: DataFrame, merge) -> list[DataFrame]:
+    """Levels of an associative scan over each document's nodes: neighbours are merged pair by
+    pair, as many rounds as the longest document's chunks halve. A row is one pair, so a
+    document's chunks are never gathered."""
+    def up(batches):
+        for b in batches:
+            yield _nodes(b.column(0), b.column(1), [x if y is None else merge(x, y) for x, y in zip(
+                b.column(2).to_pylist(), b.column(3).to_pylist())])
+
+    levels, top = [leaves], leaves.agg(F.max("at")).first()[0] or 0
+    while top:
+        levels.append(written(_siblings(levels[-1]).mapInArrow(up, NODE), "pieces-level"))
+        top //= 2
+    return levels
+
+
+def _push_down(levels: list[DataFrame], root, below) -> DataFrame:
+    """States handed down the tree: ``root(value)`` at the top, ``below(state, a, b)`` gives the
+    states of a node's two children."""
+    def start(batches):
+        for b in batches:
+            yield _nodes(b.column(0), b.column(1), [root(x) for x in b.column(2).to_pylist()])
+
+    def down(batches):
+        for b in batches:
+            docs, at, out = [], [], []
+            for doc, k, a, z, state in zip(*(b.column(i).to_pylist() for i in range(5))):
+                for side, x in enumerate(below(state, a, z)):
+                    docs.append(doc), at.append(2 * k + side), out.append(x)
+            yield _nodes(pa.array(docs, pa.string()), pa.array(at, pa.int32()), out)
+
+    states = written(levels[-1].mapInArrow(start, NODE), "pieces-states")
+    for level in reversed(levels[:-1]):
+        j = _siblings(level).join(states.withColumnRenamed("value", "state"), ["doc", "at"])
+        states = written(j.select("doc", "at", "a", "b", "state").mapInArrow(down, NODE), "pieces-states")
+    return states
+
+
+def _matrix(raw: bytes) -> np.ndarray:
+    x = np.frombuffer(raw, dtype=np.int64)
+    return x.reshape(math.isqrt(len(x)), -1)
+
+
+def _product(a: bytes, b: bytes) -> bytes:
+    return combine(_matrix(a), _matrix(b)).tobytes()
+
+
+def _front_root(matrix: bytes) -> bytes:
+    """A document is entered with nothing taken."""
+    front = np.full(len(_matrix(matrix)), NEVER, dtype=np.int64)
+    front[0] = 0
+    return front.tobytes()
+
+
+def _front_below(front: bytes, a: bytes, b: bytes | None):
+    yield front
+    if b is not None:
+        yield combine(np.frombuffer(front, np.int64)[None, :], _matrix(a)).tobytes()
+
+
+def _composed(a: bytes, b: bytes) -> bytes:
+    """Entry maps of two neighbours as one: from the second's exit to the first's entry."""
+    x, y = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+    return np.where(y >= 0, x[np.maximum(y, 0)], -1).tobytes()
+
+
+def _exit_root(_) -> bytes:
+    """A document is left with nothing taken beyond its end."""
+    return np.zeros(1, dtype=np.int64).tobytes()
+
+
+def _exit_below(state: bytes, a: bytes, b: bytes | None):
+    """The left child is left in the state that the right one is entered in."""
+    if b is None:
+        yield state
+        return
+    yield np.frombuffer(b, np.int64)[np.frombuffer(state, np.int64)].tobytes()
+    yield state
+
+
 def decode(encoded: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """Adds ``text`` (null for null ids) to what :func:`encode` returns."""
     ship(encoded.sparkSession)
