@@ -295,6 +295,31 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "doc_id long, text_key long, lang_pred string, score double")
 
 
+def with_prediction(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row, lang_pred, score)``: whole input rows with their prediction, in the task that
+    reads them; no row moves."""
+    from .common import arrow_schema, packed
+    rows = packed(docs, id_col, text_col).select("row", "text")
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    out = rows.select("row").withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double")})
+    schema = arrow_schema(out.schema)
+
+    def run(batches):
+        from .langid import scorer
+        sc = scorer(held)
+        langs = np.array([*held.value.langs, "und"], dtype=object)
+        for b in batches:
+            step = sc.share(500)
+            for lo in range(0, len(b), step):
+                part = b.slice(lo, step)
+                best, post = sc.score(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(schema.field(0).type),
+                                                  pa.array(langs[best], pa.string()), pa.array(post, pa.float64())],
+                                                 schema=schema)
+
+    return rows.mapInArrow(run, out.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """The fold that is never learnt from: crc32 of the id as text leaves 2 modulo 4."""
     rest = F.crc32(F.col(f"`{id_col}`").cast("string")) % 4

@@ -1,8 +1,8 @@
 """Line dedup by a deletion-neighbourhood join. DataFrame and SQL functions only.
 
-A line is its words (runs of non-space). Lines of ``min_words`` or more are duplicates
-of an earlier line with the same words; lines of ``near_words`` or more also of an
-earlier line within one word edit (a word put in, left out or replaced). The neighbourhood
+A line is its words (runs of non-space). A line with a word (``min_words`` or more) is a
+duplicate of an earlier line with the same words; lines of ``near_words`` or more also of
+an earlier line within one word edit (a word put in, left out or replaced). The neighbourhood
 of a line is the line with any one of its words deleted. Two lines are one edit apart if
 and only if both give the same variant by deleting at the same place, or a variant of one
 is the other. Variants are emitted as hashed keys; equal keys meet in aggregations that
@@ -32,33 +32,40 @@ from .common import SPACE, discard, narrow, packed, text_key, written
 WHITE = " \t\n\x0b\x0c\r"
 POS = ("doc_id", "text_key", "line_no")
 CLASS = ("k1", "k2")
+OWN = ("c_id", "c_key", "c_line")          # a class by the place of its first line
 
 
-def line_words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(WHITE)), SPACE)
+def spaced(line: Column) -> Column:
+    """The words of a line with one space between them. Most lines are so already."""
+    t = F.btrim(line, F.lit(WHITE))
+    odd = F.contains(t, F.lit("  "))
+    for c in WHITE[1:]:
+        odd = odd | F.contains(t, F.lit(c))
+    return F.when(odd, F.regexp_replace(t, SPACE, " ")).otherwise(t)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_key, line_no, words, n)`` of the lines that have words."""
+    """``(doc_id, text_key, line_no, line, n)`` of the lines that have words, spaced."""
     d = docs.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    d = d.where(F.btrim("line", F.lit(WHITE)) != "").select(*POS, line_words(F.col("line")).alias("words"))
-    return d.withColumn("n", F.size("words"))
+    d = d.select(*POS, spaced(F.col("line")).alias("line")).where("line <> ''")
+    return d.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
 
 
-def _keys(words: str = "words") -> list[Column]:
-    return [F.xxhash64(words).alias("k1"), F.xxhash64(F.lit("second"), words).alias("k2")]
+def _keys(line: str = "line") -> list[Column]:
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit("second"), line).alias("k2")]
 
 
 def _half_keys() -> Column:
-    """First and last half of a line, cut as for itself and as the longer of a pair."""
-    n, w = F.col("n"), F.col("words")
+    """First and last half of a line, cut as for itself (and lines as long) and as the longer
+    of a pair."""
+    n, line = F.col("n"), F.col("line")
 
     def pair(h):
-        return F.array(F.xxhash64(F.lit("first"), h, F.slice(w, F.lit(1), h)),
-                       F.xxhash64(F.lit("last"), h, F.slice(w, n - h + 1, h)))
+        part = lambda k: F.call_function("substring_index", line, F.lit(" "), k)
+        return F.array(F.xxhash64(F.lit("first"), h, part(h)), F.xxhash64(F.lit("last"), h, part(-h)))
 
     own, longer = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    return F.when(own == longer, pair(own)).otherwise(F.concat(pair(own), pair(longer)))
+    return F.when((own == longer) | (longer == 0), pair(own)).otherwise(F.concat(pair(own), pair(longer)))
 
 
 def _place_hash(word: str, place: Column, seed: str) -> Column:
@@ -66,51 +73,62 @@ def _place_hash(word: str, place: Column, seed: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), word, place.cast("int")), 20)
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8) -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) -> DataFrame:
     """``(doc_id, text_key, removed)``: numbers of the lines to remove, documents without
     any left out. ``docs`` has doc_id, text and text_key."""
+    if near_words < 2:
+        raise ValueError("a line of one word is one edit from every other: near_words is at least 2")
+    spark = docs.sparkSession
     pos = F.struct(*POS)
-    first_scan = _lines(docs).where(F.col("n") >= min_words)
-    lines = written(first_scan.select(
-        *POS, "n", *_keys(), F.when(F.col("n") >= near_words, _half_keys()).alias("halves")), "lines")
+    first = [F.col(f"first.{p}").alias(o) for p, o in zip(POS, OWN)]
+    found = _lines(docs).where(F.col("n") >= min_words)
+    lines = written(found.select(
+        *POS, *_keys(), F.when(F.col("n") >= near_words, _half_keys()).alias("halves")), "lines")
     classes = written(lines.groupBy(*CLASS).agg(
-        F.min(pos).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
-        F.any_value("halves", ignoreNulls=True).alias("halves")), "line-classes")
-
-    spark = docs.sparkSession
+        F.min(pos).alias("first"), F.count("*").alias("copies"),
+        F.any_value("halves", ignoreNulls=True).alias("halves")).select(*CLASS, *first, "copies", "halves"),
+        "line-classes")
     discard(spark)                        # after each step: what it shuffled is not needed again
+
     # classes that share a half with another class
-    halves = classes.where(F.col("halves").isNotNull()).select(*CLASS, "first", F.explode("halves").alias("half"))
+    halves = classes.where(F.col("halves").isNotNull()).select(*OWN, F.explode("halves").alias("half"))
     # written (as other grouped sides of joins below): the join then has a plain exchange on
     # both sides, so that hot keys split
     shared = written(halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "line-halves")
-    near = written(halves.join(shared, "half").groupBy(*CLASS).agg(F.any_value("first").alias("first")), "line-near")
-
+    near = written(halves.join(shared, "half").select(*OWN).distinct(), "line-near")
     discard(spark, shared)
-    # their words: one line for each class, from the documents that hold the first ones
-    homes = near.select(F.col("first.doc_id").alias("home_id"), F.col("first.text_key").alias("home_key")).distinct()
+
+    # their words, from the documents that hold their first lines
+    homes = written(near.select(F.col("c_id").alias("home_id"), F.col("c_key").alias("home_key")).distinct(), "line-homes")
     at_home = docs.join(homes, F.col("doc_id").eqNullSafe(F.col("home_id"))
                         & (F.col("text_key") == F.col("home_key")), "left_semi")
-    own = _lines(at_home).where(F.col("n") >= near_words).select(
-        *_keys(), pos.alias("at"), "words", "n").withColumnsRenamed({"k1": "w1", "k2": "w2"})
-    words = written(own.join(near, (F.col("w1") == F.col("k1")) & (F.col("w2") == F.col("k2")))
-                    .where(F.col("at").eqNullSafe(F.col("first"))).dropDuplicates(list(CLASS))
-                    .select(*CLASS, "first", "words", "n"), "line-words")
-
-    discard(spark, near)
-    witness, used = _witnesses(words)
-    gone = written(classes.join(witness, list(CLASS), "left").where("copies > 1 or witness is not null").select(
-        *CLASS, F.col("first").alias("cls_first"), F.col("witness").isNotNull().alias("is_near")), "line-gone")
-    discard(spark, classes, words, *used)
-    hit = lines.join(gone, list(CLASS)).where(F.col("is_near") | (pos > F.col("cls_first")))
-    return hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed"))
-
-
-def _witnesses(words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """``(k1, k2, witness)``: the earliest verified line one edit away, where it is earlier
-    than the class's first line; and the written tables it reads."""
-    w = words.select(*CLASS, "first", "n", F.posexplode("words").alias("i", "word"))
-    line = Window.partitionBy(*CLASS)
+    own = _lines(at_home.dropDuplicates(["doc_id", "text_key"])).where(F.col("n") >= near_words)
+    words = written(own.join(near, _same(POS, OWN)).select(*OWN, F.split("line", " ").alias("words"), "n"), "line-words")
+    discard(spark, near, homes)
+
+    witness = written(_witnesses(words), "line-witnesses")
+    discard(spark, words)
+    w = witness.select(*[F.col(o).alias(f"w_{o}") for o in OWN], F.lit(True).alias("is_near"))
+    gone = written(classes.drop("halves").join(w, _same(OWN, [f"w_{o}" for o in OWN]), "left")
+                   .where("copies > 1 or is_near").select(*CLASS, *OWN, "is_near"), "line-gone")
+    discard(spark, classes, witness)
+    later = pos > F.struct(*[F.col(o).alias(p) for p, o in zip(POS, OWN)])
+    hit = lines.drop("halves").join(gone, list(CLASS)).where(F.col("is_near") | later)
+    out = written(hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")), "line-removed")
+    discard(spark, lines, gone)
+    return out
+
+
+def _same(a, b) -> Column:
+    """Places are equal; document ids may be null."""
+    return (F.col(a[1]) == F.col(b[1])) & (F.col(a[2]) == F.col(b[2])) & F.col(a[0]).eqNullSafe(F.col(b[0]))
+
+
+def _witnesses(words: DataFrame) -> DataFrame:
+    """Classes with a verified line one edit away that is earlier than their first."""
+    spark = words.sparkSession
+    w = words.select(*OWN, "n", F.posexplode("words").alias("i", "word"))
+    line = Window.partitionBy(*OWN)
     before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     after = line.orderBy("i").rowsBetween(1, Window.unboundedFollowing)
     zero = F.lit(0).cast("long")
@@ -118,31 +136,36 @@ def _witnesses(words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     for s in ("x", "y"):
         w = w.withColumn(f"h{s}", _place_hash("word", here, s)).withColumn(f"l{s}", _place_hash("word", left, s))
     # what follows a deleted word moves a place to the left
-    d = w.select(*CLASS, "first", "n", "i", *[
+    d = w.select(*OWN, "n", "i", *[
         (F.coalesce(F.sum(f"h{s}").over(before), zero) + F.coalesce(F.sum(f"l{s}").over(after), zero)).alias(f"v{s}")
         for s in ("x", "y")])
     variants = written(d, "line-variants")
-    whole = w.groupBy(*CLASS, "first", "n").agg(F.sum("hx").alias("vx"), F.sum("hy").alias("vy"))
+    whole = written(w.groupBy(*OWN, "n").agg(F.sum("hx").alias("vx"), F.sum("hy").alias("vy")), "line-wholes")
+    discard(spark)
 
     v = ["vx", "vy"]
-    who = F.struct("first", *CLASS)
+    who = F.struct(*OWN)
     # lines that became equal by deleting at the same place: one replaced word
     least = written(variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
-    replaced = variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
+    replaced = written(variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
+                       .where(F.col("m") < who).select(*OWN, "m"), "line-found")
+    discard(spark)
     # a variant of the longer line is the shorter one: one word more or less
     short = whole.select(*v, (F.col("n") + 1).alias("n"), who.alias("m"))
-    longer = variants.join(short, [*v, "n"])
-    shorter = whole.withColumn("n", F.col("n") + 1).join(
-        least.groupBy(*v, "n").agg(F.min("m").alias("m")), [*v, "n"])
-    found = [x.where(F.col("m.first") < F.col("first")).select(*CLASS, "m") for x in (replaced, longer, shorter)]
-    best = (found[0].union(found[1]).union(found[2]).groupBy(*CLASS).agg(F.min("m").alias("m")))
+    longer = written(variants.join(short, [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
+    discard(spark, variants)
+    shorter = written(whole.withColumn("n", F.col("n") + 1).join(
+        least.groupBy(*v, "n").agg(F.min("m").alias("m")), [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
+    discard(spark, least, whole)
+    best = written(replaced.union(longer).union(shorter).groupBy(*OWN).agg(F.min("m").alias("m")), "line-best")
+    discard(spark, replaced, longer, shorter)
 
     # verify: the words of both, by their common start and end
-    a = words.select(*CLASS, F.col("words").alias("a"))
-    b = words.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("words").alias("b"))
-    j = best.join(a, list(CLASS)).join(b, (F.col("m.k1") == F.col("b1")) & (F.col("m.k2") == F.col("b2")))
-    return (j.where(one_edit(F.col("a"), F.col("b"))).select(*CLASS, F.col("m.first").alias("witness")),
-            [variants, least])
+    a = words.select(*[F.col(o).alias(f"a_{o}") for o in OWN], F.col("words").alias("a"))
+    b = words.select(*[F.col(o).alias(f"b_{o}") for o in OWN], F.col("words").alias("b"))
+    j = best.join(a, _same(OWN, [f"a_{o}" for o in OWN])).select(*OWN, *[F.col(f"m.{o}").alias(f"m_{o}") for o in OWN], "a")
+    j = j.join(b, _same([f"m_{o}" for o in OWN], [f"b_{o}" for o in OWN]))
+    return j.where(one_edit(F.col("a"), F.col("b"))).select(*OWN)
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -158,16 +181,18 @@ def one_edit(a: Column, b: Column) -> Column:
         | ((nb == na + 1) & (rest(a, na, 0) == rest(b, nb, 1)))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 8, id_col: str = "doc_id",
+def dedup_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``row`` (the input row), ``text`` (without its duplicate lines), ``n_lines`` (0 for
     null) and ``n_removed`` for every row of ``docs``."""
     thin = narrow(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
     gone = duplicate_lines(thin.where("text is not null"), min_words, near_words).select(
         F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "removed")
-    rows = packed(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
+    # the text moves once, inside its row
+    rows = packed(docs, id_col, text_col).select("row", "doc_id", text_key(F.col("text")).alias("text_key"))
     j = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id"))
                   & (F.col("text_key") == F.col("gone_key")), "left")
+    j = j.withColumn("text", F.col(f"row.`{text_col}`").cast("string"))
     parts = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
     kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(

@@ -94,16 +94,16 @@ WITH lines AS MATERIALIZED (
                unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
         FROM documents WHERE text IS NOT NULL)),
 long AS (SELECT doc_id, line_no, w, len(w) AS n, row_number() OVER (ORDER BY doc_id, line_no) AS pos
-         FROM lines WHERE len(w) >= 5),
+         FROM lines WHERE len(w) >= 1),
 cls AS MATERIALIZED (SELECT array_to_string(w, ' ') AS k, any_value(w) AS w, any_value(n) AS n, min(pos) AS pos
                      FROM long GROUP BY 1),
 variants AS MATERIALIZED (
   SELECT k, n, pos, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v
-  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM cls WHERE n >= 8)),
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM cls WHERE n >= 2)),
 near AS (
   SELECT k FROM variants JOIN (SELECT v, i, n, min(pos) AS m FROM variants GROUP BY v, i, n) USING (v, i, n) WHERE m < pos
-  UNION SELECT x.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 8 WHERE s.pos < x.pos
-  UNION SELECT s.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 8 WHERE x.pos < s.pos),
+  UNION SELECT x.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 2 WHERE s.pos < x.pos
+  UNION SELECT s.k FROM variants x JOIN cls s ON x.v = s.k AND s.n >= 2 WHERE x.pos < s.pos),
 gone AS (
   SELECT doc_id, line_no FROM long JOIN cls ON array_to_string(long.w, ' ') = cls.k
   WHERE long.pos > cls.pos OR cls.k IN (SELECT k FROM near)),

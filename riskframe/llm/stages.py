@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, table, text_key, written
+from .common import discard, packed, table, text_key, written
 
 MIN_SCORE = 0.5                 # a language is accepted if it is likelier than all others together
 
@@ -29,18 +29,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     likely than the others together."""
     from . import langid as t
     model = t.fit(docs.where(~t.held_out()))
-    good = t.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
-    good = written(good.select(F.col("doc_id").alias("good_id"), F.col("text_key").alias("good_key")).distinct(),
-                   "language-ok")
-    j = packed(docs).join(good, F.col("doc_id").eqNullSafe(F.col("good_id"))
-                          & (text_key(F.col("text")) == F.col("good_key")), "left_semi")
-    return _rows(j, docs.columns, dict(docs.dtypes))
+    good = t.with_prediction(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    return _rows(good, docs.columns, dict(docs.dtypes))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that an earlier document has (or the same one, earlier); a document that
     loses every line that had words goes."""
     from . import line_dedup as t
+    discard(spark)                        # shuffle files of the stage before
     x = t.dedup_lines(docs)
     x = x.where((F.col("n_removed") == 0) | (F.btrim("text", F.lit(t.WHITE)) != ""))
     return _rows(x, docs.columns, dict(docs.dtypes), F.col("text"))
@@ -50,6 +47,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keeps one document of each component: the one with the smallest id (rows that share
     that id are one document)."""
     from . import jaccard as t
+    discard(spark)
     c = t.jaccard_components(docs)
     keep = c.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key"))
@@ -62,6 +60,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out; drops documents that are mostly benchmark text."""
     from . import decontaminate as t
+    discard(spark)
     out = t.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     if "n_chars" not in docs.columns:
         return out
@@ -72,6 +71,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as piece ids, with their score and whether they decode to their text."""
     from . import pieces as t
+    discard(spark)
     x = t.encode(docs, decoded=True)
     return x.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "score",
                     (text_key(F.col("text")) == F.col("text_key")).alias("round_trip"))

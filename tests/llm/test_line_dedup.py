@@ -79,7 +79,7 @@ def test_template_lines_and_long_lines(spark, make_docs):
 
 def test_repeated_rows_nulls_and_empty(spark, make_docs):
     t = "one two three four five six seven eight\nother words stand here"
-    rows = L.dedup_lines(make_docs([(4, t), (4, t), (None, t), (9, t)])).collect()
+    rows = L.dedup_lines(make_docs([(4, t), (4, t), (None, t), (9, t)]), 5, 8).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in rows) == [
         (False, 4, 1), (False, 4, 1), (False, 9, 1), (True, 0, 0)]
     assert L.dedup_lines(make_docs([])).count() == 0
