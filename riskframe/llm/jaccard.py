@@ -20,9 +20,10 @@ documents share makes no candidates.
 
 Links are looked for along the lists in rounds: each list's most shared class is compared
 with the list's other classes, exactly, on the whole sets; components grow; lists inside
-one component are done. What still crosses components after ``rounds`` is compared pair
-by pair, so no link between components is lost and groups of copies are never expanded
-into pairs.
+one component are done. What still crosses components after ``rounds`` is compared pair by
+pair inside the join, by size and by parity bits (a lossless bound on the difference of two
+sets); only pairs that may link become rows, so no link between components is lost and
+groups of copies are never expanded into pairs.
 
 Defined cases: null or wordless texts have an empty set and link with nothing; rows with
 equal sets are linked; rows that share an id are nodes of their own with the same id; a
@@ -43,6 +44,7 @@ from .common import connected_components, discard, narrow, row_slices, text_key,
 
 PERCENT = 80
 LISTED = 30                     # a set lists its least LISTED - (100 - percent) percent above the plain prefix
+BITS = 8                        # 64-bit words of a set's parity bits
 MOST_SUBSETS = 128              # light sets never have more subsets than this
 SETS = "doc_id long, text_key long, n int, cls long, listed array<long>, subsets array<struct<key:long,k:int>>"
 
@@ -168,18 +170,17 @@ def subset_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return j.where(ok).select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct()
 
 
-def _shared(m: DataFrame, enough, rounds: int = 2) -> DataFrame:
-    """Of ``(token, cls, n)`` the tokens that two classes or more have, with their list's
-    length ``df``, and only classes that have at least ``enough(n)`` of them (``have``).
-    A class that goes shortens other lists, so this is done twice."""
+def _shared(m: DataFrame, sizes: DataFrame, enough, rounds: int = 2) -> DataFrame:
+    """Of ``(token, cls)`` the tokens that two classes or more have, with their list's
+    length ``df``, and only classes that have at least ``enough(n)`` of them (``have``); ``n``
+    from ``sizes``. A class that goes shortens other lists, so this is done twice."""
     spark = m.sparkSession
-    cols = ["token", "cls", "n"]
     for k in range(rounds):
         # written, so that the join below has a plain exchange on both sides and hot lists split
-        df = written(m.select(cols).groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
-        held = m.select(cols).join(df, "token")
-        keep = held.groupBy("cls").agg(F.count("*").alias("have"), F.max("n").alias("size")).where(
-            F.col("have") >= enough(F.col("size"))).select("cls", "have")
+        df = written(m.select("token").groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
+        held = m.select("token", "cls").join(df, "token")
+        keep = held.groupBy("cls").agg(F.count("*").alias("have")).join(sizes, "cls").where(
+            F.col("have") >= enough(F.col("n"))).select("cls", "have")
         new = written(held.join(keep, "cls"), "lists")
         discard(spark, m, df)
         m = new
@@ -189,14 +190,15 @@ def _shared(m: DataFrame, enough, rounds: int = 2) -> DataFrame:
 def candidates(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``cls`` of the classes whose listed shingles can be part of a link."""
     spark = sets.sparkSession
-    post = sets.select("cls", "n", F.explode("listed").alias("token"))
+    sizes = written(sets.select("cls", "n").dropDuplicates(["cls"]), "class-sizes")
+    post = sets.select("cls", F.explode("listed").alias("token"))
     twice = written(post.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "tokens")
     discard(spark)
     m = written(post.join(twice, "token").dropDuplicates(["token", "cls"]), "lists")
     discard(spark, twice)
-    m = _shared(m, lambda n: _formula(n, percent)[1])
+    m = _shared(m, sizes, lambda n: _formula(n, percent)[1])
     out = written(m.select("cls").distinct(), "candidates")
-    discard(spark, m)
+    discard(spark, m, sizes)
     return out
 
 
@@ -205,11 +207,13 @@ def inverted_lists(whole: DataFrame, percent: int = PERCENT) -> DataFrame:
     as many shared shingles as its least overlap; of those it keeps the rarest, as many as
     a link must hit at least once. ``share``: part of the set that other candidates have."""
     spark = whole.sparkSession
-    m = written(whole.select("cls", F.size("tokens").alias("n"), F.explode("tokens").alias("token")), "lists")
+    sizes = whole.select("cls", F.size("tokens").alias("n"))
+    m = written(whole.select("cls", F.explode("tokens").alias("token")), "lists")
     need = lambda n: F.ceil(percent * n / 100).cast("int")
-    m = _shared(m, need)
+    m = _shared(m, sizes, need)
     rare = Window.partitionBy("cls").orderBy("df", "token")          # as many rows as a set has
-    kept = m.withColumn("r", F.row_number().over(rare)).where(F.col("r") <= F.col("have") - need(F.col("n")) + 1)
+    kept = m.withColumn("r", F.row_number().over(rare)).join(sizes, "cls").where(
+        F.col("r") <= F.col("have") - need(F.col("n")) + 1)
     out = written(kept.select("token", "cls", "n", (F.col("have") / F.col("n")).alias("share")), "inverted-lists")
     discard(spark, m)
     return out
@@ -225,15 +229,37 @@ def _whole_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) ->
     def find(batches):
         import numpy as np
 
-        from .jaccard import _slices, shingles
+        from .jaccard import BITS, _slices, parity_bits, shingles
         for b, data, offsets in _slices(batches):
             at, value = shingles(data, offsets, n)
+            bits = pa.array(parity_bits(at, value).ravel())
             yield pa.RecordBatch.from_arrays(
-                [b.column(3), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64)))],
-                names=["cls", "tokens"])
+                [b.column(3), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(at)) * BITS, pa.int32()), bits)],
+                names=["cls", "tokens", "bits"])
+
+    return (j.select("doc_id", "text", "text_key", "cls").mapInArrow(
+        find, "cls long, tokens array<long>, bits array<long>").dropDuplicates(["cls"]))
+
+
+def parity_bits(at, value):
+    """``BITS`` words for each set, in which every shingle flips one bit. Two sets' words differ in
+    at most as many bits as the sets in shingles (the bitmap filter for exact set joins)."""
+    import numpy as np
+
+    from .fingerprints import U, mix
+    size = np.diff(at)
+    place = (mix(value + U(0x51ED2701)) >> U(32)) % U(64 * BITS)
+    row = np.repeat(np.arange(len(size)), size)
+    odd = np.bincount(row * (64 * BITS) + place.astype(np.int64), minlength=len(size) * 64 * BITS) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(size), BITS)
+
 
-    return (j.select("doc_id", "text", "text_key", "cls").mapInArrow(find, "cls long, tokens array<long>")
-            .dropDuplicates(["cls"]))
+def near_enough(a: str, b: str, na: Column, nb: Column, percent: int = PERCENT) -> Column:
+    """Whether two sets' words allow a link: sets that link differ in at most
+    (100 - percent) / (100 + percent) of the sum of their sizes."""
+    apart = sum((F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(BITS)), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (na + nb)
 
 
 def verified(pairs: DataFrame, whole: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -285,10 +311,16 @@ def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT,
             pairs = j.where(fits(F.col("n"), F.col("m.n"))).select(
                 F.least("cls", "m.cls").alias("a"), F.greatest("cls", "m.cls").alias("b"))
         else:                                # whatever still crosses components
-            x = open_.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = open_.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                             & fits(F.col("na"), F.col("nb"))).select("a", "b")
+            own = whole.select(F.col("cls").alias("own"), *[F.get("bits", F.lit(i)).alias(f"bit{i}") for i in range(BITS)])
+            rest = written(open_.join(own, F.col("cls") == F.col("own")).drop("own"), "rest-lists")
+            side = lambda z: rest.select("token", *[F.col(c).alias(f"{z}_{c}") for c in (
+                "cls", "n", "comp", *(f"bit{i}" for i in range(BITS)))])
+            # the condition is part of the join: a pair that cannot link is no row
+            pairs = side("x").join(side("y"), "token").where(
+                (F.col("x_cls") < F.col("y_cls")) & (F.col("x_comp") != F.col("y_comp"))
+                & fits(F.col("x_n"), F.col("y_n"))
+                & near_enough("x_bit", "y_bit", F.col("x_n"), F.col("y_n"), percent)).select(
+                F.col("x_cls").alias("a"), F.col("y_cls").alias("b"))
         new = written(verified(pairs.distinct(), whole, percent), "links")
         discard(spark)
         links.append(new)

@@ -102,3 +102,36 @@ def test_whole_table_matches_brute_force(spark):
     want = brute(docs)
     assert got(QUERIES["op8_ngram_jaccard"](spark, d)) == want
     assert any(c != i for i, _, c in want)
+
+
+def test_parity_bits_bound_the_difference():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(900) < keep], rng.integers(0, 1 << 63, more, dtype=np.uint64)]))
+            for keep in (0, 0.02, 0.5, 0.95, 1) for more in (0, 1, 40)]
+    at = np.cumsum([0] + [len(x) for x in sets])
+    bits = J.parity_bits(at, np.concatenate(sets))
+    assert bits.shape == (len(sets), J.BITS)
+    for x, a in zip(sets, bits):
+        for y, b in zip(sets, bits):
+            apart = sum(bin(int(v) & (2 ** 64 - 1)).count("1") for v in a ^ b)
+            assert apart <= len(np.setxor1d(x, y))
+            if len(np.setxor1d(x, y)) == 1:
+                assert apart == 1
+
+
+def test_last_round_alone_finds_every_link(spark, make_docs, monkeypatch):
+    """No leader rounds: all links come from the filtered pairs."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    docs = []
+    for i in range(120):
+        x = list(base)
+        for _ in range(rng.randrange(5)):
+            x[rng.randrange(60)] = f"v{rng.randrange(30)}"
+        docs.append((i, " ".join(x)))
+    links = J.list_links
+    monkeypatch.setattr(J, "list_links", lambda rows, sets, n, percent: links(rows, sets, n, percent, rounds=0))
+    out = got(J.jaccard_components(make_docs(docs)))
+    assert out == brute(docs) and len({c for _, _, c in out}) > 3
