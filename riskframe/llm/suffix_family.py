@@ -307,8 +307,11 @@ def repeated_spans(rows: DataFrame, window: int = 400, context: int = 160, batch
         found = family.add(every.where(F.col("batch") == b))
         shared = found if shared is None else shared.union(found)
     discard(spark, *family.levels.values())
-    common = written(every.drop("batch", "s1", "s2").join(shared.distinct(), "key"), "shared-suffixes")
-    discard(spark, every)
+    # the grouped side is written: the join then has a plain exchange on both sides, and a key
+    # that holds a large part of the rows is split
+    keys = written(shared.distinct(), "shared-keys")
+    common = written(every.drop("batch", "s1", "s2").join(keys, "key"), "shared-suffixes")
+    discard(spark, every, keys)
     rep = F.struct("doc_id", "text_key", "lo", "hi", "left")
     classes = written(common.groupBy("key", "region").agg(F.count("*").alias("n"), F.min(rep).alias("rep")),
                       "region-classes")
