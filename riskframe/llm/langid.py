@@ -12,9 +12,9 @@ without a piece of its own has a small fixed probability in every language.
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to
 the first language in string order; without any labelled document every text is
 ``und``; null labels are not learnt from; rows that share an id, or copies of one row, are
-learnt from like any others; rows are predicted one by one, repeated or not;
-words longer than ``LONG`` letters are cut there. Other columns are ignored, whatever
-their names.
+learnt from like any others; rows are predicted one by one, repeated or not; words of any
+length are scored whole (the fit counts pieces of very long ones in parts). Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from .common import kept, ship, tokenizer_path, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"                 # the vocabulary's sign for a word start
-LONG = 60                       # letters per word; longer ones are cut
+LONG = 60                       # letters of a word in the tables of many words at once
 UNKNOWN = 1e-7                  # probability of a letter without a piece
 MEMO = 400_000                  # words remembered per worker
 
@@ -56,10 +56,7 @@ def letter_pieces(path: str) -> list[str]:
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased (lower-casing first: it may change a text's length)."""
-    out = LETTERS.findall(text.lower())
-    if max(map(len, out), default=0) > LONG:
-        out = [w[i:i + LONG] for w in out for i in range(0, len(w), LONG)]
-    return out
+    return LETTERS.findall(text.lower())
 
 
 class Scorer:
@@ -77,6 +74,7 @@ class Scorer:
         n = len(model.langs)
         self.p = np.vstack([model.prob, np.full((1, n), UNKNOWN)])
         self.rows: dict[str, int] = {}
+        self.used = 0
         self.log = np.zeros((1 << 12, n), dtype=np.float32)
 
     def edges(self, words: list[str]):
@@ -118,7 +116,10 @@ class Scorer:
 
     def log_words(self, words: list[str]) -> np.ndarray:
         out = np.empty((len(words), len(self.m.langs)), dtype=np.float32)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        order = sorted((i for i in range(len(words)) if len(words[i]) <= LONG), key=lambda i: len(words[i]))
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                out[i] = self.log_long(w)
         step = self.share(8192)
         for i in range(0, len(order), step):
             part = order[i:i + step]
@@ -127,6 +128,24 @@ class Scorer:
             out[part] = np.log(a[np.arange(len(ws)), [len(w) + 1 for w in ws]] + 1e-300)
         return out
 
+    def log_long(self, word: str) -> np.ndarray:
+        """The same sum for one word of any length, scaled as it goes (it would underflow)."""
+        end, length, _, piece = self.edges([word])
+        reach, n = int(length.max()), len(word) + 1
+        a = np.zeros((n + 1, self.p.shape[1]))
+        a[0] = 1.0
+        scale = np.zeros(self.p.shape[1])
+        cut = np.flatnonzero(np.diff(end)) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(end)]):
+            j = int(end[lo])
+            a[j] = (a[j - length[lo:hi]] * self.p[piece[lo:hi]]).sum(axis=0)
+            if j % 8 == 0:
+                first = max(0, j - reach)
+                top = a[first:j + 1].max(axis=0)
+                a[first:j + 1] /= top
+                scale += np.log(top)
+        return scale + np.log(a[n])
+
     def expected(self, words: list[str], weights: np.ndarray, lang: int) -> np.ndarray:
         """Expected piece counts of one language (forward-backward)."""
         total = np.zeros(len(self.m.pieces) + 1)
@@ -156,13 +175,14 @@ class Scorer:
         split = [words_of(t) if t else [] for t in texts]
         seen = set().union(*split)
         new = [w for w in seen if w not in self.rows]
-        if len(self.rows) + len(new) > self.share(MEMO):
+        if self.used + len(new) > self.share(MEMO):
             self.rows.clear()
-            new = list(seen)
+            self.used, new = 0, list(seen)
         if new:
             # letters only: digits of some scripts pass the expression above
             clean = [w if w.isalpha() else "".join(c for c in w if c.isalpha()) for w in new]
-            k = len(self.rows) + 1
+            k = self.used + 1
+            self.used += len(new)
             while k + len(new) > len(self.log):
                 self.log = np.concatenate([self.log, np.zeros_like(self.log)])
             self.log[k:k + len(new)] = self.log_words(clean)
@@ -178,6 +198,9 @@ class Scorer:
             x = self.log[at].sum(axis=0, dtype=np.float64) + prior
             best[i] = int(np.argmax(x))
             post[i] = 1.0 / np.exp(x - x.max()).sum()
+        for w in new:
+            if len(w) > LONG:                    # not remembered: their number is bounded, not their length
+                del rows[w]
         return best, post
 
 
@@ -219,7 +242,8 @@ def fit(labelled: DataFrame, vocabulary: str | None = None, text_col: str = "tex
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ws = ["".join(c for c in w if c.isalpha()) for w in words_of(text)] if text else []
-                ws = [w for w in ws if w]
+                # counts are taken from parts of very long words
+                ws = [w[i:i + LONG] for w in ws for i in range(0, len(w), LONG)]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ws), pa.string()),
                                                   pa.array(ws, pa.string())], schema=schema)
 

@@ -102,3 +102,18 @@ def test_labels_under_one_id_are_learnt(spark, make_docs):
         m = langid.fit(make_docs(same + en, ["de"] * len(same) + ["en"] * len(en)))
         got = langid.predict(make_docs(["die Katze und der Hund", "the cat and the dog"]), m).orderBy("doc_id").collect()
         assert [r["lang_pred"] for r in got] == ["de", "en"]
+
+
+def test_long_words_are_scored_whole():
+    rng = np.random.default_rng(2)
+    pieces = sorted([langid.MARK, "a", "b", "ab", "ba", "aba", langid.MARK + "a", "bbb"])
+    p = rng.random((len(pieces), 2))
+    sc = langid.Scorer(langid.Model(["x", "y"], np.array([.5, .5]), pieces, p / p.sum(axis=0)))
+    for n in (5, 40, 59):
+        w = "".join(rng.choice(list("abc"), n))
+        assert np.allclose(sc.log_long(w), sc.log_words([w])[0], rtol=1e-5)
+    w = "ab" * 5000                                       # far below the least double
+    half = sc.log_long("ab" * 2500)
+    assert np.isfinite(sc.log_long(w)).all() and np.allclose(sc.log_long(w) / half, 2, rtol=1e-2)
+    one, two = sc.score([w, "ab " + w]), sc.score([w])
+    assert one[0][0] == two[0][0] and w not in sc.rows and "ab" in sc.rows
