@@ -36,18 +36,25 @@ OWN = ("c_id", "c_key", "c_line")          # a class by the place of its first l
 
 
 def spaced(line: Column) -> Column:
-    """The words of a line with one space between them. Most lines are so already."""
-    t = F.btrim(line, F.lit(WHITE))
-    odd = F.contains(t, F.lit("  "))
-    for c in WHITE[1:]:
-        odd = odd | F.contains(t, F.lit(c))
-    return F.when(odd, F.regexp_replace(t, SPACE, " ")).otherwise(t)
+    """The words of a line with one space between them."""
+    return F.regexp_replace(F.btrim(line, F.lit(WHITE)), SPACE, " ")
+
+
+def odd_spacing(text: Column) -> Column:
+    """Whether any line of a text is not spaced so already (most texts' lines are)."""
+    odd = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for c in ("  ", " \n", "\n ", *WHITE[1:]):
+        odd = odd | F.contains(text, F.lit(c))
+    return odd
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_key, line_no, line, n)`` of the lines that have words, spaced."""
-    d = docs.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    d = d.select(*POS, spaced(F.col("line")).alias("line")).where("line <> ''")
+    d = docs.select("doc_id", "text_key", odd_spacing(F.col("text")).alias("odd"),
+                    F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    # judged on the raw line: a filter on the spaced one would compute that twice
+    d = d.where(F.when(F.col("odd"), F.btrim("raw", F.lit(WHITE))).otherwise(F.col("raw")) != "")
+    d = d.select(*POS, F.when(F.col("odd"), spaced(F.col("raw"))).otherwise(F.col("raw")).alias("line"))
     return d.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
 
 
@@ -102,8 +109,9 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) ->
     homes = written(near.select(F.col("c_id").alias("home_id"), F.col("c_key").alias("home_key")).distinct(), "line-homes")
     at_home = docs.join(homes, F.col("doc_id").eqNullSafe(F.col("home_id"))
                         & (F.col("text_key") == F.col("home_key")), "left_semi")
-    own = _lines(at_home.dropDuplicates(["doc_id", "text_key"])).where(F.col("n") >= near_words)
-    words = written(own.join(near, _same(POS, OWN)).select(*OWN, F.split("line", " ").alias("words"), "n"), "line-words")
+    own = _lines(at_home).where(F.col("n") >= near_words)
+    words = written(own.join(near, _same(POS, OWN)).select(*OWN, F.split("line", " ").alias("words"), "n")
+                    .dropDuplicates(list(OWN)), "line-words")          # rows may be repeated
     discard(spark, near, homes)
 
     witness = written(_witnesses(words), "line-witnesses")
@@ -141,7 +149,6 @@ def _witnesses(words: DataFrame) -> DataFrame:
         for s in ("x", "y")])
     variants = written(d, "line-variants")
     whole = written(w.groupBy(*OWN, "n").agg(F.sum("hx").alias("vx"), F.sum("hy").alias("vy")), "line-wholes")
-    discard(spark)
 
     v = ["vx", "vy"]
     who = F.struct(*OWN)
@@ -149,16 +156,14 @@ def _witnesses(words: DataFrame) -> DataFrame:
     least = written(variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
     replaced = written(variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
                        .where(F.col("m") < who).select(*OWN, "m"), "line-found")
-    discard(spark)
     # a variant of the longer line is the shorter one: one word more or less
     short = whole.select(*v, (F.col("n") + 1).alias("n"), who.alias("m"))
     longer = written(variants.join(short, [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
     discard(spark, variants)
     shorter = written(whole.withColumn("n", F.col("n") + 1).join(
         least.groupBy(*v, "n").agg(F.min("m").alias("m")), [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
-    discard(spark, least, whole)
     best = written(replaced.union(longer).union(shorter).groupBy(*OWN).agg(F.min("m").alias("m")), "line-best")
-    discard(spark, replaced, longer, shorter)
+    discard(spark, least, whole, replaced, longer, shorter)
 
     # verify: the words of both, by their common start and end
     a = words.select(*[F.col(o).alias(f"a_{o}") for o in OWN], F.col("words").alias("a"))
