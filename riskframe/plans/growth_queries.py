@@ -48,7 +48,7 @@ def q_history_dedupe(spark, d):
                            T.StructField("Start_Time", T.StringType()), T.StructField("o_totalprice", T.DoubleType())])
     spec = PipelineSpec(keep_columns=("o_orderkey", "Severity", "Start_Time", "o_totalprice"))
     stream = incident_stream(spark, landing, schema, spec, max_files_per_trigger=1, dedupe_within=None)
-    job = IncrementalJob(spark, scratch_dir(spark, "history"), ["o_totalprice"])
+    job = IncrementalJob(spark, scratch_dir(spark, "history"), ["o_totalprice"], publish_each=False)
     run = job.start(stream, scratch_dir(spark, "history-ckpt"))
     run.awaitTermination()
     if run.exception() is not None:
@@ -71,11 +71,12 @@ def q_incremental_column_stats(spark, d):
     batch reads its own rows, the ledger and one state."""
     from ..streaming.incremental import IncrementalJob
     li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *MEASURES)
-    job = IncrementalJob(spark, scratch_dir(spark, "growing"), MEASURES)
+    job = IncrementalJob(spark, scratch_dir(spark, "growing"), MEASURES, publish_each=False)
     fifth = F.pmod("l_orderkey", F.lit(5))
     for k in range(5):
         job.apply(li.where((fifth == k) | (fifth == F.lit((k + 3) % 5))), k)
-    out = job.reports()["column_statistics"].drop("Q1", "Median", "Q3")
+    job.publish()
+    out = job.published().read("column_statistics").drop("Q1", "Median", "Q3")
     return unit_round(out, ("Skewness", "Kurtosis"))
 
 

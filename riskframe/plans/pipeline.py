@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import numeric_columns
 from ..operators import clean, evaluate, features, model, stats
-from ..sources import files, reports
+from ..sources import files, publish, reports
 from ..sources.models import save_model
 from ..spec import QUANTILE_RELATIVE_ERROR, STATS_EXCLUDED, PipelineSpec
 
@@ -64,7 +64,12 @@ def prepare(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | str,
-                 output_dir: str | None = None, schema=None, roc_bins: int | None = None) -> PipelineResult:
+                 output_dir: str | None = None, schema=None, roc_bins: int | None = None,
+                 publish_dir: str | None = None) -> PipelineResult:
+    """The whole job. ``output_dir`` gets plain folders, each overwritten by itself;
+    ``publish_dir`` gets everything as one published set (``sources.publish``): readers see
+    the set of the run before until this one is complete."""
+    run = publish.Run(spark, publish_dir) if publish_dir else None
     raw = files.read_csv(spark, source, schema) if isinstance(source, str) else source
     clean.require_columns(raw, [spec.target])
     # one pass over the source: distinct kept rows with multiplicities give the
@@ -77,9 +82,14 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
     prepared = enrich(groups.where("_ok").drop("_n", "_ok"), spec)
 
     outputs: dict[str, str] = {}
+    kept_on_disk = bool(output_dir or run)
+    if run:
+        outputs["prepared"] = run.table(prepared, "prepared")
+        prepared = files.read_table(spark, outputs["prepared"])
     if output_dir:
         base = output_dir.rstrip("/")
         outputs["prepared"] = files.write_table(prepared, f"{base}/prepared")
+    if kept_on_disk:
         prepared = files.read_table(spark, outputs["prepared"])
     else:
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
@@ -127,18 +137,25 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | st
         metrics, confusion, roc = f_metrics.result(), f_conf.result(), f_roc.result()
     if roc_bins:
         predictions.unpersist()
-    if not output_dir:
+    if not kept_on_disk:
         prepared.unpersist()
 
+    bounded = {name: df for name, df in (
+        ("descriptive_statistics", descriptive), ("severity_distribution", severity),
+        ("label_distribution", labels), ("confusion_matrix", confusion), ("model_evaluation", metrics),
+        ("roc_points", roc if roc_bins else None), ("feature_importance", importance), ("histograms", hist),
+        ("boxplot", box)) if df is not None}
+    if run:
+        for name, df in bounded.items():
+            outputs[name] = run.report(df, name)
+        if not roc_bins:
+            outputs["roc_points"] = run.table(roc, "roc_points", fmt="csv")
+        outputs["model"] = run.model(fitted, feats)
+        run.commit()
     if output_dir:
         base = output_dir.rstrip("/")
-        for name, df in (("descriptive_statistics", descriptive), ("severity_distribution", severity),
-                         ("label_distribution", labels), ("confusion_matrix", confusion),
-                         ("model_evaluation", metrics), ("roc_points", roc if roc_bins else None),
-                         ("feature_importance", importance), ("histograms", hist),
-                         ("boxplot", box)):
-            if df is not None:
-                outputs[name] = reports.write_report(df, f"{base}/reports/{name}")
+        for name, df in bounded.items():
+            outputs[name] = reports.write_report(df, f"{base}/reports/{name}")
         if not roc_bins:                 # a row per distinct score: part files from every task
             outputs["roc_points"] = files.write_table(roc, f"{base}/reports/roc_points", fmt="csv")
         outputs["model"] = save_model(fitted, feats, f"{base}/model")

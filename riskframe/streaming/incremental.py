@@ -26,14 +26,15 @@ from .ledger import KEYS, Ledger
 
 class IncrementalJob:
     """``features`` get statistics, ``levels`` distributions, ``histograms`` cells; ``score``
-    (rows -> rows with ``label``, ``prediction`` and ``p1``) gives the evaluation."""
+    (rows -> rows with ``label``, ``prediction`` and ``p1``) gives the evaluation. Reports are
+    published after every batch, or when ``publish`` is called if ``publish_each`` is off."""
 
     def __init__(self, spark: SparkSession, base: str, features: Sequence[str], levels: Sequence[str] = (),
                  histograms: Sequence[str] = (), bins: int = 30, score: Callable[[DataFrame], DataFrame] | None = None,
-                 score_bins: int = 1000, buckets: int | None = None):
+                 score_bins: int = 1000, buckets: int | None = None, publish_each: bool = True):
         self.spark, self.base = spark, base.rstrip("/")
         self.features, self.levels, self.histograms = list(features), list(levels), list(histograms)
-        self.bins, self.score, self.score_bins = bins, score, score_bins
+        self.bins, self.score, self.score_bins, self.publish_each = bins, score, score_bins, publish_each
         self.ledger = Ledger(spark, f"{self.base}/ledger", buckets)
 
     # ---- tables ----
@@ -70,7 +71,8 @@ class IncrementalJob:
         after = self._partial(new.drop(*KEYS), before)
         after.coalesce(1).write.mode("overwrite").parquet(self._state_path(batch_id))
         self.ledger.compact()
-        self.publish()
+        if self.publish_each:
+            self.publish()
 
     def _partial(self, rows: DataFrame, before: DataFrame | None) -> DataFrame:
         moments = partials.moments_state(rows, self.features)

@@ -95,12 +95,13 @@ def start_severity_counts(stream: DataFrame, target: str, report_dir: str,
     return w.start()
 
 
-def start_pipeline_on_arrival(stream: DataFrame, spec: PipelineSpec, table_dir: str, output_dir: str,
+def start_pipeline_on_arrival(stream: DataFrame, spec: PipelineSpec, table_dir: str, output_dir: str | None,
                               checkpoint_dir: str | None = None, available_now: bool = True,
-                              interval: str = "1 minute", name: str = "pipeline-on-arrival"
-                              ) -> StreamingQuery:
+                              interval: str = "1 minute", name: str = "pipeline-on-arrival",
+                              publish_dir: str | None = None) -> StreamingQuery:
     """Every micro-batch of new files is appended to the prepared table, then the
-    whole job (describe, train, evaluate, reports, model) re-runs on that table."""
+    whole job (describe, train, evaluate, reports, model) re-runs on that table. With
+    ``publish_dir`` its results are published as one set."""
     from ..plans.pipeline import run_pipeline
     checkpoint_dir = _stream_checkpoint(stream, name, checkpoint_dir)
 
@@ -109,7 +110,7 @@ def start_pipeline_on_arrival(stream: DataFrame, spec: PipelineSpec, table_dir:
         batch.write.mode("overwrite").parquet(f"{table_dir}/batch={batch_id}")
         table = batch.sparkSession.read.schema(batch.schema).parquet(f"{table_dir}/batch=*")
         if not table.isEmpty():
-            run_pipeline(batch.sparkSession, spec, table, output_dir)
+            run_pipeline(batch.sparkSession, spec, table, output_dir, publish_dir=publish_dir)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

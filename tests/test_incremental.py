@@ -175,3 +175,30 @@ def test_publication_is_all_or_nothing(spark, tmp_dir):
     assert held.verify() == ["t"]
     assert set(publish.prune(spark, base, keep=1)) == {held.id, second.id}
     assert publish.Published(spark, base).id == third.id
+
+
+def test_pipeline_stopped_between_two_reports_leaves_the_earlier_set(spark, tmp_dir, monkeypatch):
+    from riskframe.plans.incidents import INCIDENT_SPEC, incidents
+    from riskframe.plans.pipeline import run_pipeline
+
+    from .conftest import SF_SMALL
+    base = os.path.join(tmp_dir, "pub")
+    rows = incidents(spark, SF_SMALL)
+    first = run_pipeline(spark, INCIDENT_SPEC, rows, publish_dir=base, roc_bins=50)
+    before = publish.Published(spark, base)
+    assert before.verify() == [] and before.read("model_evaluation").count() == 16
+    assert before.model().transform(before.read("prepared").withColumn("label", F.col("label").cast("double"))).count() \
+        == first.stage_counts["prepared_rows"]
+    report, done = publish.Run.report, []
+
+    def stop_at_third(self, df, name):
+        if len(done) == 2:
+            raise RuntimeError("driver lost")
+        done.append(name)
+        return report(self, df, name)
+    monkeypatch.setattr(publish.Run, "report", stop_at_third)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_pipeline(spark, INCIDENT_SPEC, rows.where("l_orderkey % 2 = 0"), publish_dir=base, roc_bins=50)
+    now = publish.Published(spark, base)
+    assert now.id == before.id and now.verify() == []
+    assert now.read("prepared").count() == first.stage_counts["prepared_rows"]
