@@ -27,34 +27,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, narrow, packed, text_key, written
+from .common import discard, narrow, packed, text_key, written
 
-WHITE = " \t\n\x0b\x0c\r"
+WHITE = " \t\x0b\x0c\r\n"
 POS = ("doc_id", "text_key", "line_no")
 CLASS = ("k1", "k2")
 OWN = ("c_id", "c_key", "c_line")          # a class by the place of its first line
 
 
-def spaced(line: Column) -> Column:
-    """The words of a line with one space between them."""
-    return F.regexp_replace(F.btrim(line, F.lit(WHITE)), SPACE, " ")
-
-
-def odd_spacing(text: Column) -> Column:
-    """Whether any line of a text is not spaced so already (most texts' lines are)."""
+def tidy(text: Column) -> Column:
+    """A text with one space between the words of each line and none around a line. Most
+    texts are so already; the others are mended whole, once, before they are cut."""
     odd = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
-    for c in ("  ", " \n", "\n ", *WHITE[1:]):
+    for c in ("  ", " \n", "\n ", "\t", "\x0b", "\x0c", "\r"):
         odd = odd | F.contains(text, F.lit(c))
-    return odd
+    flat = F.regexp_replace(text, r"[ \t\x0B\x0C\r]+", " ")
+    return F.when(odd, F.btrim(F.regexp_replace(flat, " ?\n ?", "\n"), F.lit(" "))).otherwise(text)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_key, line_no, line, n)`` of the lines that have words, spaced."""
-    d = docs.select("doc_id", "text_key", odd_spacing(F.col("text")).alias("odd"),
-                    F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    # judged on the raw line: a filter on the spaced one would compute that twice
-    d = d.where(F.when(F.col("odd"), F.btrim("raw", F.lit(WHITE))).otherwise(F.col("raw")) != "")
-    d = d.select(*POS, F.when(F.col("odd"), spaced(F.col("raw"))).otherwise(F.col("raw")).alias("line"))
+    """``(doc_id, text_key, line_no, line, n)`` of the lines that have words, tidy."""
+    d = docs.select("doc_id", "text_key", F.posexplode(F.split(tidy(F.col("text")), "\n")).alias("line_no", "line"))
+    d = d.where("line <> ''")
     return d.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
 
 
