@@ -215,7 +215,7 @@ def _repack(rows: DataFrame, window: int, group: int) -> DataFrame:
             yield from flush()
 
     dealt = rows.select(F.pmod(F.xxhash64("sequence_id"), F.lit(groups)).alias("g"), *NAMES[:-1])
-    tasks = min(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(2, min(groups, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return (dealt.repartition(tasks, "g").sortWithinPartitions("g", "sequence_id", "offset")
             .mapInArrow(second, PLACED))
 
