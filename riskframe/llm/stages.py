@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, packed, table, text_key, written
 
+NEAR_WORDS = 8                  # in shorter lines one word's edit is another line, not a copy
 MIN_SCORE = 0.5                 # a language is accepted if it is likelier than all others together
 
 
@@ -34,11 +35,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that an earlier document has (or the same one, earlier); a document that
-    loses every line that had words goes."""
+    """Cuts lines that an earlier document has (or the same one, earlier), lines of at least
+    ``NEAR_WORDS`` words also if they are one edit from one; a document that loses every line
+    that had words goes."""
     from . import line_dedup as t
     discard(spark)                        # shuffle files of the stage before
-    x = t.dedup_lines(docs)
+    x = t.dedup_lines(docs, near_words=NEAR_WORDS)
     x = x.where((F.col("n_removed") == 0) | (F.btrim("text", F.lit(t.WHITE)) != ""))
     return _rows(x, docs.columns, dict(docs.dtypes), F.col("text"))
 

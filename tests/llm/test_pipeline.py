@@ -42,7 +42,7 @@ def test_language_keeps_documents_with_words(steps):
 
 def test_line_dedup_takes_effect(steps):
     before, after = texts(steps["language_id"]), texts(steps["line_dedup"])
-    gone = duplicate_lines(list(before.items()), 1, 2)
+    gone = duplicate_lines(list(before.items()), 1, 8)
     for k, t in before.items():
         kept = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[k])
         assert after.get(k, "") == (kept if kept.strip(" \t\n\x0b\x0c\r") or not gone[k] else "")
