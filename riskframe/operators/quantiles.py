@@ -161,7 +161,6 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
                 else:
                     pending.setdefault((gkey, r["feature"]), {})[rank] = [r["_qmn"], r["_qmx"], n]
 
-    gcols = [F.col(g) for g in group_cols]
     while pending:
         merged_by_key = {key: _merge([tuple(v) for v in {tuple(b) for b in ranks.values()}])
                          for key, ranks in pending.items()}
@@ -189,30 +188,7 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
                     flat += [math.nan, math.nan, 0]
             rows.append((*gkey, f, *flat))
         t = _bracket_df(spark, rows, group_fields, k)
-        cond = long["feature"] == t["_feature"]
-        for g in group_cols:
-            cond = cond & long[g].eqNullSafe(t[f"_g_{g}"])
-        # one row per (group, feature), bounded by MAX_TARGETS: broadcast, no data shuffle
-        j = long.join(F.broadcast(t), cond, "inner")
-        x = F.col("x")
-        n_lo = sum((x >= F.col(f"_lo{i}")).cast("int") for i in range(k))   # brackets started
-        n_hi = sum((x > F.col(f"_hi{i}")).cast("int") for i in range(k))    # brackets passed
-        j = j.select(*gcols, "feature", "x", n_lo.alias("_l"), n_hi.alias("_h"),
-                     *[F.col(f"_{c}{i}") for i in range(k) for c in ("lo", "hi", "nb")])
-        inside = F.col("_l") > F.col("_h")
-        slot = F.when(inside, F.col("_l") * 2 - 1).otherwise(F.col("_l") * 2)
-
-        def pick(c):
-            e = F.lit(None)
-            for i in reversed(range(k)):
-                e = F.when(F.col("_l") == i + 1, F.col(f"_{c}{i}")).otherwise(e)
-            return e
-        nb, lo, hi = pick("nb"), pick("lo"), pick("hi")
-        bucket = F.when(~inside | (nb == 0), F.lit(0)).otherwise(_bucket(x, lo, hi, nb))
-        val = F.when(inside & (nb == 0), x)
-        hist = (j.groupBy(*gcols, "feature", slot.alias("_s"), bucket.alias("_b"), val.alias("_v"))
-                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                 .collect())
+        hist = (_gaps(long, t, group_cols, k).union(_inside(long, t, group_cols, k))).collect()
         cells: dict = {}
         for r in hist:
             cells.setdefault((tuple(r[g] for g in group_cols), r["feature"]), []).append(r)
@@ -236,6 +212,45 @@ def order_statistics(df: DataFrame, value_cols: Sequence[str], probs: Sequence[f
     return sizes, values
 
 
+def _with_brackets(long: DataFrame, t: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Values beside the brackets of their (group, feature)."""
+    cond = long["feature"] == t["_feature"]
+    for g in group_cols:
+        cond = cond & long[g].eqNullSafe(t[f"_g_{g}"])
+    # one row per (group, feature), bounded by MAX_TARGETS: broadcast, no data shuffle
+    return long.join(F.broadcast(t), cond, "inner")
+
+
+def _gaps(long: DataFrame, t: DataFrame, group_cols: Sequence[str], k: int) -> DataFrame:
+    """Values between brackets, counted per gap. Apart from ``_inside``: both in one
+    aggregate are more code than the JVM compiles, and then every value is interpreted."""
+    x = F.col("x")
+    n_lo = sum((x >= F.col(f"_lo{i}")).cast("int") for i in range(k))   # brackets started
+    n_hi = sum((x > F.col(f"_hi{i}")).cast("int") for i in range(k))    # brackets passed
+    keys = [*[F.col(g) for g in group_cols], F.col("feature")]
+    j = _with_brackets(long, t, group_cols).select(*keys, "x", n_lo.alias("_l"), n_hi.alias("_h"))
+    return (j.where("_l <= _h").groupBy(*keys, (F.col("_l") * 2).alias("_s"))
+             .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+             .select(*keys, "_s", F.lit(0).alias("_b"), F.lit(None).cast("double").alias("_v"), "c", "mn", "mx"))
+
+
+def _inside(long: DataFrame, t: DataFrame, group_cols: Sequence[str], k: int) -> DataFrame:
+    """Values within a bracket, counted per bucket, or per value once the bracket is small."""
+    each = t.select(*[f"_g_{g}" for g in group_cols], "_feature", F.explode(F.array(*[
+        F.struct(F.lit(2 * i + 1).alias("_s"), F.col(f"_lo{i}").alias("_lo"), F.col(f"_hi{i}").alias("_hi"),
+                 F.col(f"_nb{i}").alias("_nb")) for i in range(k)])).alias("_r")).select("*", "_r.*").drop("_r").where("not isnan(_lo)")
+    x, nb = F.col("x"), F.col("_nb")
+    cond = (long["feature"] == each["_feature"]) & (x >= F.col("_lo")) & (x <= F.col("_hi"))   # disjoint: one at most
+    for g in group_cols:
+        cond = cond & long[g].eqNullSafe(each[f"_g_{g}"])
+    keys = [*[F.col(g) for g in group_cols], F.col("feature")]
+    j = long.join(F.broadcast(each), cond, "inner")
+    bucket = F.when(nb == 0, F.lit(0)).otherwise(_bucket(x, F.col("_lo"), F.col("_hi"), nb))
+    return (j.groupBy(*keys, "_s", bucket.alias("_b"), F.when(nb == 0, x).alias("_v"))
+             .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+             .select(*keys, "_s", "_b", "_v", "c", "mn", "mx"))
+
+
 def _bucket(x, lo, hi, nb):
     """Bucket 0..nb-1 of ``x`` in ``lo``..``hi``; monotone for any doubles. Infinite ends are
     pulled to the largest finite double and halves are taken where a difference could
