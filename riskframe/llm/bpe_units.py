@@ -77,15 +77,14 @@ class UnitEncoder:
     def _learn(self, units: list[str]) -> None:
         """Encode new units, many in one call: joined, they are cut again where they meet.
         The splitter also cuts between a letter and a final stop or comma."""
-        tails = [u for u in units if u[-1:] in (".", ",") and u[-2:-1].isalpha() and u[0] != HEAD]
-        bases = dict.fromkeys(u[:-1] for u in tails)
-        tailed = set(tails)
-        plain, heads = [], []
-        for u in (*(u for u in units if u not in tailed), *bases):
-            if u not in self.memo:
-                ok = u and u[0] != HEAD and not u[0].isspace() and not u[-1].isspace()
-                (plain if ok else heads).append(u)
-        plain = list(dict.fromkeys(plain))
+        tails = [u for u in units if u.endswith((".", ",")) and u[-2:-1].isalpha() and u[0] != HEAD]
+        if tails:
+            tailed = set(tails)
+            units = [u for u in units if u not in tailed]
+            units += [u for u in dict.fromkeys(u[:-1] for u in tails) if u not in self.memo]
+        units = dict.fromkeys(units)
+        plain = [u for u in units if u and u.strip() == u]      # HEAD is white space as well
+        heads = [u for u in units if not u or u.strip() != u] if len(plain) < len(units) else []
         for i in range(0, len(plain), 4_000):
             part = plain[i:i + 4_000]
             joined = " " + " ".join(part)
@@ -94,28 +93,37 @@ class UnitEncoder:
             ends = np.cumsum(np.fromiter(width, dtype=np.int64, count=len(part)) + 1)
             cuts = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends) + 1
             self._store(part, ids, np.diff(cuts, prepend=0))
-        for u in dict.fromkeys(heads):
-            ids = self._encode(u[1:] if u[:1] == HEAD else " " + u)
-            self._store([u], ids, np.array([len(ids)]))
+        for i in range(0, len(heads), 1_000):
+            part = heads[i:i + 1_000]
+            got = [e.ids for e in self.tok.encode_batch_fast(
+                [u[1:] if u[:1] == HEAD else " " + u for u in part], add_special_tokens=False)]
+            self._store(part, np.array([k for ids in got for k in ids], dtype=np.uint32), np.array([len(x) for x in got]))
         if tails:
-            ends = {c: self._encode(c) for c in (".", ",")}
-            at = [self.memo[u[:-1]] for u in tails]
-            parts = [x for u, k in zip(tails, at)
-                     for x in (self.ids[self.start[k]:self.start[k] + self.count[k]], ends[u[-1]])]
-            self._store(tails, np.concatenate(parts),
-                        self.count[at] + [len(ends[u[-1]]) for u in tails])
+            at = np.array([self.memo[u[:-1]] for u in tails])
+            last = np.array([u[-1] for u in tails])
+            n = self.count[at]
+            stops = {c: self._encode(c) for c in (".", ",")}
+            lens = n + np.where(last == ".", len(stops["."]), len(stops[","]))
+            ends = np.cumsum(lens)
+            ids = np.empty(int(lens.sum()), dtype=np.uint32)
+            ids[np.arange(int(n.sum())) + np.repeat(ends - lens - np.cumsum(n) + n, n)] = self._gather(at)
+            for c, x in stops.items():
+                ids[ends[last == c][:, None] + np.arange(-len(x), 0)] = x
+            self._store(tails, ids, lens)
 
     def _slots(self, units: list[str]) -> np.ndarray:
         """Slot of each unit: a word that follows a space, or HEAD + a text's first word."""
-        get = self.memo.get
-        found = [get(u, -1) for u in units]
-        if -1 in found:
-            new = list(dict.fromkeys(u for u, s in zip(units, found) if s < 0))
+        found = list(map(self.memo.get, units))
+        if None in found:
+            missing = [i for i, s in enumerate(found) if s is None]
+            new = list(dict.fromkeys([units[i] for i in missing]))
             if len(self.memo) + 2 * len(new) > self.max_units:
                 self._forget()
-                new = list(dict.fromkeys(units))
+                new, missing = list(dict.fromkeys(units)), range(len(units))
             self._learn(new)
-            found = [self.memo[u] for u in units]
+            memo = self.memo
+            for i in missing:
+                found[i] = memo[units[i]]
         return np.asarray(found, dtype=np.int64)
 
     def _gather(self, slots: np.ndarray) -> np.ndarray:
