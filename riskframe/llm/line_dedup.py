@@ -96,12 +96,14 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) ->
     # written (as other grouped sides of joins below): the join then has a plain exchange on
     # both sides, so that hot keys split
     shared = written(halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "line-halves")
+    discard(spark)
     near = written(halves.join(shared, "half").select(*OWN).distinct(), "line-near")
     discard(spark, shared)
 
     # their words, from the documents that hold their first lines
     homes = written(near.select(F.col("c_id").alias("home_id"), F.col("c_key").alias("home_key")).distinct(), "line-homes")
-    at_home = docs.join(homes, F.col("doc_id").eqNullSafe(F.col("home_id"))
+    # homes grow with the corpus, as what is removed does: merged at every size, never broadcast
+    at_home = docs.join(homes.hint("merge"), F.col("doc_id").eqNullSafe(F.col("home_id"))
                         & (F.col("text_key") == F.col("home_key")), "left_semi")
     own = _lines(at_home).where(F.col("n") >= near_words)
     words = written(own.join(near, _same(POS, OWN)).select(*OWN, F.split("line", " ").alias("words"), "n")
@@ -142,14 +144,18 @@ def _witnesses(words: DataFrame) -> DataFrame:
         (F.coalesce(F.sum(f"h{s}").over(before), zero) + F.coalesce(F.sum(f"l{s}").over(after), zero)).alias(f"v{s}")
         for s in ("x", "y")])
     variants = written(d, "line-variants")
+    discard(spark)                        # the shuffled words of every line, for one
     whole = written(w.groupBy(*OWN, "n").agg(F.sum("hx").alias("vx"), F.sum("hy").alias("vy")), "line-wholes")
+    discard(spark)
 
     v = ["vx", "vy"]
     who = F.struct(*OWN)
     # lines that became equal by deleting at the same place: one replaced word
     least = written(variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
+    discard(spark)
     replaced = written(variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
                        .where(F.col("m") < who).select(*OWN, "m"), "line-found")
+    discard(spark)
     # a variant of the longer line is the shorter one: one word more or less
     short = whole.select(*v, (F.col("n") + 1).alias("n"), who.alias("m"))
     longer = written(variants.join(short, [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
@@ -189,7 +195,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2, id_col
         F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "removed")
     # the text moves once, inside its row
     rows = packed(docs, id_col, text_col).select("row", "doc_id", text_key(F.col("text")).alias("text_key"))
-    j = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    j = rows.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("gone_id"))
                   & (F.col("text_key") == F.col("gone_key")), "left")
     j = j.withColumn("text", F.col(f"row.`{text_col}`").cast("string"))
     parts = F.split("text", "\n")

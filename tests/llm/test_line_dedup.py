@@ -108,3 +108,16 @@ def test_short_lines_without_a_floor(spark, make_docs):
             (3, "Les.\nAll rights kept\na\nb c d e f"), (4, "b c d e g\nx")]
     want = check(spark, docs, make_docs(docs), 1, 2)
     assert want == {1: [], 2: [0, 1, 2], 3: [0, 1], 4: [0, 1]}
+
+
+def test_documents_are_never_joined_by_a_broadcast(spark, make_docs, monkeypatch):
+    """op2's disk: what is joined to the documents grows with them, so small inputs take the same
+    plan, and every step of the witnesses gives its shuffle files back."""
+    from riskframe.llm import line_dedup as t
+    freed = []
+    monkeypatch.setattr(t, "discard", lambda s, *tables, f=t.discard: freed.append(len(tables)) or f(s, *tables))
+    out = t.dedup_lines(make_docs([(1, "a b c d\nsame line here"), (2, "a b x d\nsame line here\nother"), (3, None)]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 2, 3: 0}
+    assert freed.count(0) >= 6
