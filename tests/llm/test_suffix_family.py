@@ -2,8 +2,12 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from riskframe.llm import fingerprints
+from riskframe.llm import suffix_family as t
+from riskframe.llm.common import narrow
 from riskframe.llm.queries import QUERIES
 from riskframe.llm.suffix_family import dedup_bytes
 
@@ -69,3 +73,26 @@ def test_whole_table_matches_brute_force(spark):
     rows = QUERIES["op10_suffix_dedup"](spark, d).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
     assert len(rows) == len(docs) and any(v[1] for v in want.values())
+
+
+def test_a_worker_keeps_little_of_much_text(monkeypatch):
+    """Slices are small, and so are the tables of powers that a worker keeps after them."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdef ", k=2000)) for _ in range(1500)]
+    monkeypatch.setattr(fingerprints, "POWERS", (fingerprints.Powers(0), fingerprints.Powers(1)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    slices = list(t._each([batch]))
+    assert sum(len(d) for _, d, _ in slices) == 3_000_000 and sum(len(b) for b, _, _ in slices) == len(texts)
+    for _, data, offsets in slices:
+        t.sampled(data, offsets, 400, 160)
+    assert max(len(p.up) for p in fingerprints.POWERS) <= 1 << 19
+
+
+def test_batches_to_workers_are_small(spark, make_docs):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([len(b)])], names=["size", "n"])
+
+    docs = narrow(make_docs([c * 1_000_000 for c in "abcdefghijklmnopqrst"]).coalesce(1))
+    got = docs.mapInArrow(sizes, "size long, n long").collect()
+    assert sum(r.n for r in got) == 20 and max(r.size for r in got) < 8_000_000
