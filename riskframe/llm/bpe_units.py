@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,21 +33,10 @@ def encoder(path: str) -> UnitEncoder:
     return kept("units", path, lambda: UnitEncoder(path))
 
 
-class UnitEncoder:
-    """Arrow string arrays -> token ids and their number per row."""
+class UnitMemo:
+    """Token ids of units met before, as slots of flat arrays; ``_learn`` stores new units."""
 
-    def __init__(self, path: str, max_units: int = 1_000_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-        self.tok = Tokenizer.from_file(path)
-        self.special = "|".join(re.escape(t.content)
-                                for t in self.tok.get_added_tokens_decoder().values())
-        # bytes that each id stands for: a byte-level piece has a character for each byte
-        self.id_bytes = np.zeros(self.tok.get_vocab_size() + 1, dtype=np.int64)
-        byte_chars = set(ByteLevel.alphabet())
-        for piece, i in self.tok.get_vocab().items():
-            self.id_bytes[i] = len(piece) if set(piece) <= byte_chars else len(piece.encode())
+    def __init__(self, max_units: int):
         self.max_units = max_units
         self._forget()
 
@@ -70,6 +60,61 @@ class UnitEncoder:
         self.n_ids += len(ids)
         self.memo.update(zip(units, range(k, k + n)))
 
+    def slots(self, units: list[str]) -> np.ndarray:
+        """Slot of each unit: a word that follows a space, or HEAD + a text's first word."""
+        found = np.fromiter(map(self.memo.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys([units[i] for i in missing]))
+            if len(self.memo) + 2 * len(new) > self.max_units:
+                self._forget()
+                new, missing = list(dict.fromkeys(units)), range(len(units))
+            self._learn(new)
+            memo = self.memo
+            found[missing] = [memo[units[i]] for i in missing]
+        return found
+
+    def gather(self, slots: np.ndarray) -> np.ndarray:
+        lens = self.count[slots]
+        if not len(lens):
+            return np.zeros(0, dtype=np.uint32)
+        first = np.cumsum(lens) - lens
+        at = np.arange(int(lens.sum()), dtype=np.int64) + np.repeat(self.start[slots] - first, lens)
+        return self.ids[at]
+
+    def _store_tailed(self, tails: list[str], stops: dict[str, np.ndarray]) -> None:
+        """Store units that are another unit, known already, and a final stop."""
+        at = np.array([self.memo[u[:-1]] for u in tails])
+        last = np.array([u[-1] for u in tails])
+        n = self.count[at]
+        lens = n.copy()
+        for c, x in stops.items():
+            lens[last == c] += len(x)
+        ends = np.cumsum(lens)
+        ids = np.empty(int(lens.sum()), dtype=np.uint32)
+        ids[np.arange(int(n.sum())) + np.repeat(ends - lens - np.cumsum(n) + n, n)] = self.gather(at)
+        for c, x in stops.items():
+            ids[ends[last == c][:, None] + np.arange(-len(x), 0)] = x
+        self._store(tails, ids, lens)
+
+
+class UnitEncoder(UnitMemo):
+    """Arrow string arrays -> token ids and their number per row."""
+
+    def __init__(self, path: str, max_units: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+        self.tok = Tokenizer.from_file(path)
+        self.special = "|".join(re.escape(t.content)
+                                for t in self.tok.get_added_tokens_decoder().values())
+        # bytes that each id stands for: a byte-level piece has a character for each byte
+        self.id_bytes = np.zeros(self.tok.get_vocab_size() + 1, dtype=np.int64)
+        byte_chars = set(ByteLevel.alphabet())
+        for piece, i in self.tok.get_vocab().items():
+            self.id_bytes[i] = len(piece) if set(piece) <= byte_chars else len(piece.encode())
+        UnitMemo.__init__(self, max_units)
+
     def _encode(self, text: str) -> np.ndarray:
         return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids,
                           dtype=np.uint32)
@@ -99,40 +144,7 @@ class UnitEncoder:
                 [u[1:] if u[:1] == HEAD else " " + u for u in part], add_special_tokens=False)]
             self._store(part, np.array([k for ids in got for k in ids], dtype=np.uint32), np.array([len(x) for x in got]))
         if tails:
-            at = np.array([self.memo[u[:-1]] for u in tails])
-            last = np.array([u[-1] for u in tails])
-            n = self.count[at]
-            stops = {c: self._encode(c) for c in (".", ",")}
-            lens = n + np.where(last == ".", len(stops["."]), len(stops[","]))
-            ends = np.cumsum(lens)
-            ids = np.empty(int(lens.sum()), dtype=np.uint32)
-            ids[np.arange(int(n.sum())) + np.repeat(ends - lens - np.cumsum(n) + n, n)] = self._gather(at)
-            for c, x in stops.items():
-                ids[ends[last == c][:, None] + np.arange(-len(x), 0)] = x
-            self._store(tails, ids, lens)
-
-    def _slots(self, units: list[str]) -> np.ndarray:
-        """Slot of each unit: a word that follows a space, or HEAD + a text's first word."""
-        found = list(map(self.memo.get, units))
-        if None in found:
-            missing = [i for i, s in enumerate(found) if s is None]
-            new = list(dict.fromkeys([units[i] for i in missing]))
-            if len(self.memo) + 2 * len(new) > self.max_units:
-                self._forget()
-                new, missing = list(dict.fromkeys(units)), range(len(units))
-            self._learn(new)
-            memo = self.memo
-            for i in missing:
-                found[i] = memo[units[i]]
-        return np.asarray(found, dtype=np.int64)
-
-    def _gather(self, slots: np.ndarray) -> np.ndarray:
-        lens = self.count[slots]
-        if not len(lens):
-            return np.zeros(0, dtype=np.uint32)
-        first = np.cumsum(lens) - lens
-        at = np.arange(int(lens.sum()), dtype=np.int64) + np.repeat(self.start[slots] - first, lens)
-        return self.ids[at]
+            self._store_tailed(tails, {c: self._encode(c) for c in (".", ",")})
 
     def encode(self, texts: pa.Array, ids: bool = True):
         """Yield ``(lo, hi, lengths, ids or None)`` for runs of rows; a null row is empty."""
@@ -157,21 +169,21 @@ class UnitEncoder:
         codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         heads = offs[:-1]                                   # the first word has no space
         head_words, head_codes = np.unique(codes[heads], return_inverse=True)
-        slots_of = self._slots(values + [HEAD + values[i] for i in head_words])
+        slots_of = self.slots(values + [HEAD + values[i] for i in head_words])
         slots = slots_of[:len(values)][codes] if len(values) else codes
         slots[heads] = slots_of[len(values):][head_codes]
         lens = np.add.reduceat(self.count[slots], heads) if len(slots) else np.zeros(0, np.int64)
         odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if not len(odd_at):
-            return lens, self._gather(slots) if want_ids else None
+            return lens, self.gather(slots) if want_ids else None
         # the other rows: the same cut by expression, whole texts where special strings occur
-        out = np.split(self._gather(slots), np.cumsum(lens)[:-1])
+        out = np.split(self.gather(slots), np.cumsum(lens)[:-1])
         for i in odd_at:
             t = rows[int(i)].as_py()
             if self.special and re.search(self.special, t):
                 got = self._encode(t)
             else:
                 u = CUT.split(t)
-                got = self._gather(self._slots([HEAD + u[0]] + u[1:]))
+                got = self.gather(self.slots([HEAD + u[0]] + u[1:]))
             out[i], lens[i] = got, len(got)
         return lens, np.concatenate(out) if want_ids else None

@@ -5,11 +5,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from riskframe.llm import packing as t
+from riskframe.llm.word_units import WordEncoder
 
 TOK = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -110,3 +112,17 @@ def test_one_end_id_for_empty_tables_of_empty_texts(spark, make_docs):
     got = t.pack(make_docs(["", None, ""])).orderBy("offset").collect()
     assert sum(r["length"] for r in got) == 3 and all(r["ids"] == b"\2\0\0\0" or r["length"] > 1 for r in got)
     assert {r["doc_tokens"] for r in got} == {1}
+
+
+def test_capitals_and_stops_are_encoded_once_and_as_by_the_library():
+    enc = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = []
+    plain = enc._encode
+    enc._encode = lambda text: encoded.append(text) or plain(text)
+    texts = ["Apple apple, APPLE. aPPle! apple; apple? Apple:", "It's I'LL. x's. 'S. 's.", "H\u0331a. H\u0331 h\u0331",
+             "\u0130. a\u0130. A\u030aA.", "\u00dfA. \u1e9e. \u00c9t\u00c9. \u00e9t\u00e9", "\u03a3\u03a3. a\u2019S.", "A.B. A. b.", "7. 7.a .", None, ""]
+    for lo, hi, lens, ids in enc.encode(pa.array(texts)):
+        got = [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])]
+        assert got == [ids_of(x)[:-1] for x in texts[lo:hi]]
+    words = [w for x in encoded for w in x.split(" ")]
+    assert words.count("apple") == 1 and not [w for w in words if w != "apple" and w.lower().startswith("apple")]
