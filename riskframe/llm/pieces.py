@@ -28,9 +28,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe_units import UnitMemo
 from .common import kept, narrow, ship, text_key, tokenizer_path, written
 
 MARK = "▁"
@@ -38,8 +40,70 @@ SCALE = 1000                    # fixed point: a score of 1 is a thousandth of a
 BYTE_PENALTY = 20 * SCALE       # below any piece: bytes are the last resort
 CHUNK = 1 << 15                 # characters per chunk of a giant document
 NEVER = -(1 << 60)
-MEMO = 400_000                  # units remembered per worker
+MEMO = 400_000                  # words remembered per worker
 CUT = re.compile(f"[^{MARK}](?={MARK})")
+# marks or private characters, and spaces that do not stand between two words
+IRREGULAR = f"[{MARK}\ue000]|  | \n|\\A[ \n]| \\z"
+
+
+class Trie:
+    """Pieces by their characters. All places of a text walk down together, one character a
+    step; the steps ``(node, character) -> node`` are a hash table in flat arrays."""
+
+    ODD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: dict[str, int]):
+        codes = {c: k for k, c in enumerate(sorted(set("".join(pieces))), 1)}
+        if len(codes) >= 1 << 16:
+            raise ValueError("too many different characters")
+        self.code = np.zeros(max(map(ord, codes)) + 2, dtype=np.int64)    # 0: in no piece
+        self.code[[ord(c) for c in codes]] = list(codes.values())
+        step, piece = {}, [-1]
+        for p, i in pieces.items():
+            node = 0
+            for c in p:
+                node = step.setdefault(node << 16 | codes[c], len(piece))
+                if node == len(piece):
+                    piece.append(-1)
+            piece[node] = i
+        self.piece, self.longest = np.array(piece), max(map(len, pieces))
+        bits = (8 * len(step)).bit_length()
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.nodes = np.zeros(1 << bits, dtype=np.int32)
+        keys = np.array(list(step))
+        for k, node, at in zip(keys.tolist(), step.values(), self._slot(keys).tolist()):
+            while self.keys[at] >= 0:
+                at = (at + 1) & self.last
+            self.keys[at], self.nodes[at] = k, node
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self.ODD) >> self.shift).astype(np.int64)
+
+    def places(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first character, length, id) of every occurrence of a piece, shorter ones first."""
+        raw = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        code = np.zeros(len(raw) + self.longest, dtype=np.int64)
+        code[:len(raw)] = self.code[np.minimum(raw, len(self.code) - 1)]
+        at = np.flatnonzero(code)
+        node = np.zeros(len(at), dtype=np.int64)
+        out = []
+        for k in range(self.longest):
+            key = node << 16 | code[at + k]
+            slot = self._slot(key)
+            got = self.keys[slot]
+            other = np.flatnonzero((got != key) & (got >= 0))
+            while len(other):
+                slot[other] = (slot[other] + 1) & self.last
+                got[other] = self.keys[slot[other]]
+                other = other[(got[other] != key[other]) & (got[other] >= 0)]
+            on = np.flatnonzero(got == key)
+            at, node = at[on], self.nodes[slot[on]].astype(np.int64)
+            piece = self.piece[node]
+            ends = np.flatnonzero(piece >= 0)
+            out.append((at[ends], np.full(len(ends), k + 1), piece[ends]))
+        first, length, piece = (np.concatenate(x) for x in zip(*out))
+        return first, length, piece
 
 
 class Vocabulary:
@@ -61,18 +125,17 @@ class Vocabulary:
         self.bytes_of = [bytes([byte_of[i]]) if i in byte_of else p.replace(MARK, " ").encode("utf-8")
                          for i, p in enumerate(self.piece)]
         self.memo: dict[str, tuple[bytes, int]] = {}
-        # all pieces of a string at once: (end, length and id)
-        import ahocorasick
-        self.automaton = ahocorasick.Automaton()
+        self.trie = Trie({p: i for p, (i, _) in self.ids.items()})
         self.scores = np.zeros(len(self.piece), dtype=np.int64)
-        for p, (i, x) in self.ids.items():
-            self.automaton.add_word(p, (len(p) << 16) | i)
+        for i, x in self.ids.values():
             self.scores[i] = x
-        self.automaton.make_automaton()
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("units need pieces without line ends and with word marks in front only")
         self.tails = {c for c in ".,;:!?" if not any(a.isalpha() and b == c for p in self.ids for a, b in zip(p, p[1:]))}
         self.singles = {p for p in self.ids if len(p) == 1 and p != self.LITERAL}
+        self.worth = self.scores.copy()                  # of every id, bytes too
+        self.worth[list(byte_of)] = -BYTE_PENALTY
+        self.words = Words(self)
 
     # private character of the marked text: before "1" a word mark, before "0" itself
     LITERAL = "\ue000"
@@ -156,10 +219,37 @@ class Vocabulary:
 
     def encode(self, text: str) -> tuple[np.ndarray, int]:
         """Ids and score of a text of ordinary size."""
-        return self.encode_many([text])[0]
+        ids, _, score = self.encode_rows(pa.array([text], pa.large_string()))
+        return ids, int(score[0])
+
+    def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many texts laid end to end, their number and score by text (null: none).
+        Distinct words are segmented once; irregular texts are cut by :meth:`units`."""
+        rows = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(rows, IRREGULAR)
+        plain = pc.if_else(odd, pa.scalar("", pa.large_string()), rows)
+        # a word keeps the line end before it, which stands for its space
+        parts = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        offs = parts.offsets.to_numpy()
+        words = parts.flatten().dictionary_encode()
+        slots = self.words.slots(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        slots = slots[words.indices.to_numpy(zero_copy_only=False)]
+        ids = self.words.gather(slots).astype(np.int32)
+        lens = np.add.reduceat(self.words.count[slots], offs[:-1] - offs[0]) if len(slots) else np.zeros(0, np.int64)
+        total = np.concatenate(([0], np.cumsum(self.worth[ids])))
+        ends = np.cumsum(lens)
+        score = total[ends] - total[ends - lens]
+        odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        if odd_at:
+            out = np.split(ids, ends[:-1])
+            for i, (got, x) in zip(odd_at, self.encode_many([rows[i].as_py() for i in odd_at])):
+                out[i], lens[i], score[i] = got, len(got), x
+            ids = np.concatenate(out)
+        return ids, lens, score
 
     def encode_many(self, texts: list[str | None]) -> list[tuple[np.ndarray, int]]:
-        """Ids and score of each text: distinct units are segmented once, many together."""
+        """Ids and score of each text, whatever its spaces: distinct units are segmented once,
+        many together."""
         split = [self.units(self.marked(t)) if t else () for t in texts]
         self.ensure(set().union(*split))
         memo = self.memo
@@ -178,61 +268,80 @@ class Vocabulary:
         self.learn(new)
 
     def learn(self, units: list[str]) -> None:
-        """Best segmentations of many units at once, into the memo. All places of all pieces
-        come from one pass of a string automaton; places are then settled in order, for all
-        units together. Units that need bytes, and very long ones, go one by one."""
-        plain = [u for u in units if len(u) <= 64 and self.singles.issuperset(u)]
-        if len(plain) < len(units):
-            got = set(plain)
-            for u in units:
-                if u not in got:
-                    x, ids = self.best(u)
-                    self.memo[u] = (np.asarray(ids, dtype="<i4").tobytes(), x)
-        plain.sort(key=len)
-        for i in range(0, len(plain), 16_384):
-            part = plain[i:i + 16_384]
-            self.memo.update(zip(part, self._settle(part)))
-
-    def _settle(self, units: list[str]) -> list[tuple[bytes, int]]:
+        """Best segmentations of many units at once, into the memo."""
+        order, ids, lens = self.segment(units)
+        raw, worth = ids.tobytes(), np.concatenate(([0], np.cumsum(self.worth[ids])))
+        ends = np.cumsum(lens)
+        for i, a, z in zip(order, (ends - lens).tolist(), ends.tolist()):
+            u = units[i]
+            # what stands for a private character has a score of its own
+            x = self.best(u)[0] if self.LITERAL in u else int(worth[z] - worth[a])
+            self.memo[u] = (raw[4 * a:4 * z], x)
+
+    def segment(self, units: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Best segmentations of many units at once: (units in the order of the result, ids
+        laid end to end, their number by unit). All places of all pieces come from one walk
+        down the trie; places are then settled in order, for all units together. Units that
+        need bytes, and very long ones, go one by one."""
+        singles = self.singles
+        order = [i for i, u in enumerate(units) if 0 < len(u) <= 64 and singles.issuperset(u)]
+        plain = set(order) if len(order) < len(units) else ()
+        order.sort(key=lambda i: len(units[i]))
+        ids, lens = [np.zeros(0, "<i4")], [np.zeros(0, np.int64)]
+        for lo in range(0, len(order), 16_384):
+            got, n = self._settle([units[i] for i in order[lo:lo + 16_384]])
+            ids.append(got)
+            lens.append(n)
+        rest = [i for i in range(len(units)) if i not in plain] if plain or not order else []
+        for i in rest:
+            got = self.best(units[i])[1]
+            ids.append(np.asarray(got, dtype="<i4"))
+            lens.append(np.array([len(got)]))
+        return order + rest, np.concatenate(ids), np.concatenate(lens)
+
+    def _settle(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units laid end to end, and their number by unit."""
         n = np.array([len(u) for u in units])
         start = np.cumsum(n + 1) - n - 1
-        found = np.array([(e << 24) | v for e, v in self.automaton.iter("\n".join(units))], dtype=np.int64)
-        end, length, piece = found >> 24, (found >> 16) & 255, found & 0xFFFF
-        unit = np.searchsorted(start, end, side="right") - 1
-        j = end + 1 - start[unit]
-        order = np.lexsort((-length, j))                 # by place, longer pieces first
-        j, length, unit, piece = j[order], length[order], unit[order], piece[order]
+        first, length, piece = self.trie.places("\n".join(units))
+        unit = np.searchsorted(start, first, side="right") - 1
+        j = first + length - start[unit]
+        key = j * 256 + 255 - length                     # by place, longer pieces first
+        order = np.argsort(key.astype(np.uint16), kind="stable")
+        key, j, length, unit, piece = (x[order] for x in (key, j, length, unit, piece))
         size = int(n.max()) + 1
-        score = np.full((len(units), size), NEVER, dtype=np.int64)
-        score[:, 0] = 0
-        took = np.zeros((len(units), size), dtype=np.int64)       # length and id of the last piece
-        key = j * 256 + length
+        score = np.full((size, len(units)), NEVER, dtype=np.int64)
+        score[0] = 0
+        took = np.zeros((size, len(units)), dtype=np.int64)       # length and id of the last piece
+        worth, taken = self.scores[piece], (length << 16) | piece
         cut = np.flatnonzero(np.diff(key)) + 1
         for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
-            u, at, k = unit[lo:hi], int(j[lo]), int(length[lo])
-            x = score[u, at - k] + self.scores[piece[lo:hi]]
-            win = x >= score[u, at]                       # ties: the shorter last piece
-            score[u[win], at] = x[win]
-            took[u[win], at] = (k << 16) | piece[lo:hi][win]
-        total = score[np.arange(len(units)), n]
+            u, at = unit[lo:hi], int(j[lo])
+            best = score[at]
+            x = score[at - int(length[lo])][u] + worth[lo:hi]
+            win = x >= best[u]                            # ties: the shorter last piece
+            u = u[win]
+            best[u] = x[win]
+            took[at][u] = taken[lo:hi][win]
         at, rows, steps = n.copy(), np.arange(len(units)), []
         while len(rows):
-            t = took[rows, at[rows]]
+            t = took[at[rows], rows]
             steps.append((rows, t & 0xFFFF))
             at[rows] -= t >> 16
             rows = rows[at[rows] > 0]
         # steps come from the last piece to the first
         row = np.concatenate([r for r, _ in steps[::-1]])
         ids = np.concatenate([p for _, p in steps[::-1]]).astype("<i4")
-        ids = ids[np.argsort(row, kind="stable")].tobytes()
-        ends = np.cumsum(np.bincount(row, minlength=len(units))) * 4
-        return [(ids[a:z], x) for a, z, x in zip([0, *ends[:-1].tolist()], ends.tolist(), total.tolist())]
+        return ids[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(units))
 
-    def whole(self, s: str) -> list[tuple[bytes, int]]:
-        """Ids and score of every unit of marked text that starts and ends at a cut."""
+    def whole(self, s: str) -> tuple[np.ndarray, int]:
+        """Ids and score of marked text that starts and ends at a cut."""
+        if s[0] == MARK and self.LITERAL not in s:
+            return self.encode(s[1:].replace(MARK, " "))
         us = self.units(s)
         self.ensure(set(us))
-        return [self.memo[u] for u in us]
+        hits = [self.memo[u] for u in us]
+        return np.frombuffer(b"".join([h[0] for h in hits]), dtype="<i4"), sum([h[1] for h in hits])
 
     def cuts(self, s: str, n: int) -> tuple[int, int] | None:
         """First and last place in 1..n where no piece can straddle (see ``units``)."""
@@ -263,7 +372,7 @@ class Vocabulary:
         if cut:
             lo, hi = cut
             left = [self.best(s, a, lo)[0] if a <= lo else NEVER for a in range(m)]
-            mid = sum(x for _, x in self.whole(s[lo:hi])) if hi > lo else 0
+            mid = self.whole(s[lo:hi])[1] if hi > lo else 0
             right = self.reach(s, hi, n)
             for a, x in enumerate(left):
                 for b, y in enumerate(right):
@@ -326,9 +435,9 @@ class Vocabulary:
         score, back = self.entered(s[:lo], lo, front[:lo + 1])
         out, total = self.walk(back, lo)[1], score[lo]
         if hi > lo:
-            for ids, x in self.whole(s[lo:hi]):
-                out += np.frombuffer(ids, dtype="<i4").tolist()
-                total += x
+            ids, x = self.whole(s[lo:hi])
+            out += ids.tolist()
+            total += x
         x, ids = self.best(s, hi, n + b, limit=n)
         return out + ids, total + x
 
@@ -337,6 +446,35 @@ class Vocabulary:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8")
 
 
+class Words(UnitMemo):
+    """Ids of the words between spaces. A word starts with the mark that its space becomes,
+    or, after a line end, with that line end alone; the empty word has none."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        super().__init__(MEMO)
+        one = lambda c: np.asarray(vocabulary.best(c)[1], dtype=np.uint32)
+        self.line_end, self.stops = one("\n"), {c: one(c) for c in sorted(vocabulary.tails)}
+
+    def _learn(self, units: list[str]) -> None:
+        tails = [w for w in units if w[-1:] in self.stops and w[-2:-1].isalpha()]
+        if tails:
+            tailed = set(tails)
+            units = [w for w in units if w not in tailed]
+            units += [w[:-1] for w in tails]
+        new = [w for w in dict.fromkeys(units) if w not in self.memo]
+        order, ids, lens = self.vocabulary.segment([w and (w[1:] if w[0] == "\n" else MARK + w) for w in new])
+        new = [new[i] for i in order]
+        after = np.array([w[:1] == "\n" for w in new], dtype=bool)
+        if after.any():
+            k = len(self.line_end)
+            ids = np.insert(ids, np.repeat((np.cumsum(lens) - lens)[after], k), np.tile(self.line_end, after.sum()))
+            lens = lens + k * after
+        self._store(new, ids, lens)
+        if tails:
+            self._store_tailed(tails, self.stops)
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus product of transfer matrices (associative)."""
     out = np.full((a.shape[0], b.shape[1]), NEVER, dtype=np.int64)
@@ -372,16 +510,16 @@ def encode(docs: DataFrame, vocabulary_path: str | None = None, id_col: str = "d
         for b in batches:
             for lo in range(0, len(b), 500):
                 part = b.slice(lo, 500)
-                texts = part.column(1).to_pylist()
-                got = v.encode_many(texts)
-                ends = np.cumsum([0] + [len(x) for x, _ in got])
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate([x for x, _ in got]), pa.int32()),
-                    mask=pa.array([t is None for t in texts]))
-                cols = [part.column(0), part.column(2), ids, pa.array([x for _, x in got], pa.int64()),
-                        pa.array([1 if t else 0 for t in texts], pa.int32())]
+                texts = part.column(1)
+                flat, lens, score = v.encode_rows(texts)
+                ends = np.concatenate(([0], np.cumsum(lens)))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()), mask=texts.is_null())
+                some = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).cast(pa.int32())
+                cols = [part.column(0), part.column(2), ids, pa.array(score, pa.int64()), some]
                 if decoded:
-                    back = [None if t is None else v.decode(x.tolist()) for t, (x, _) in zip(texts, got)]
+                    flat, ends = flat.tolist(), ends.tolist()
+                    back = [v.decode(flat[a:z]) if there else None for a, z, there in zip(
+                        ends, ends[1:], texts.is_valid().to_pylist())]
                     cols.append(pa.array(back, pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, schema=_DECODED if decoded else _ARROW)
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import pieces
@@ -113,3 +114,30 @@ def test_whole_table_round_trip(spark):
     for x in docs[::40]:
         ids, score = V.encode(x.text)
         assert (rows[x.doc_id].n_pieces, rows[x.doc_id].score) == (len(ids), score)
+
+
+def test_rows_are_cut_into_words_that_are_segmented_once(monkeypatch):
+    rows = [*texts(300, 8), *(" ".join(x.split()) for x in texts(300, 9)), "", "\n", "\n\na.\n b,\nc. d", " a", "a ",
+            "a \nb", "the the. the\nthe, the", "\ue0001 the"]
+    seen = []
+    segment = V.segment
+    monkeypatch.setattr(V, "segment", lambda units: seen.extend(units) or segment(units))
+    V.words._forget()
+    V.memo.clear()
+    flat, lens, score = V.encode_rows(pa.array([*rows, None]))
+    ends = np.cumsum(lens)
+    for x, n, z, worth in zip(rows, lens, ends, score):
+        assert (int(worth), flat[z - n:z].tolist()) == (V.best(V.marked(x)) if x else (0, []))
+    assert lens[-1] == score[-1] == 0
+    seen.clear()
+    V.words._forget()
+    V.encode_rows(pa.array(["the ring. the ring, ring! the", "the\nring the ring."]))
+    assert sorted(seen) == sorted(["\u2581the", "\u2581ring", "ring"])
+
+
+def test_trie_finds_every_piece():
+    pieces_ = {"a": 1, "ab": 2, "abc": 3, "bc": 4, "c": 5, "é": 6, "éa": 7, "bcbc": 8}
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcé\n中") for _ in range(500))
+    got = sorted(zip(*(x.tolist() for x in pieces.Trie(pieces_).places(text))))
+    assert got == sorted((i, len(p), k) for p, k in pieces_.items() for i in range(len(text)) if text.startswith(p, i))
