@@ -44,6 +44,7 @@ from .common import connected_components, discard, narrow, row_slices, text_key,
 
 PERCENT = 80
 LISTED = 30                     # a set lists its least LISTED - (100 - percent) percent above the plain prefix
+SLICE = 1 << 20                 # bytes of text worked on at once
 BITS = 8                        # 64-bit words of a set's parity bits
 MOST_SUBSETS = 128              # light sets never have more subsets than this
 SETS = "doc_id long, text_key long, n int, cls long, listed array<long>, subsets array<struct<key:long,k:int>>"
@@ -105,7 +106,7 @@ def _slices(batches):
     from .fingerprints import text_bytes
     for b in batches:
         col = b.column(1).cast(pa.large_string()).fill_null("")
-        for lo, hi in row_slices(text_bytes(col, 0, len(col))[1]):
+        for lo, hi in row_slices(text_bytes(col, 0, len(col))[1], SLICE):
             yield (b.slice(lo, hi - lo), *text_bytes(col, lo, hi))
 
 
@@ -120,7 +121,9 @@ def shingle_sets(rows: DataFrame, n: int = 5, percent: int = PERCENT, light: int
         import numpy as np
 
         from .fingerprints import U, mix
+        from .common import release
         from .jaccard import _slices, least_overlap, prefix, shingles
+        release()
         for b, data, offsets in _slices(batches):
             at, value = shingles(data, offsets, n)
             size = np.diff(at)

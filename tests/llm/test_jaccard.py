@@ -1,8 +1,10 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
+from riskframe.llm import common, fingerprints
 from riskframe.llm import jaccard as J
 from riskframe.llm.queries import QUERIES
 
@@ -135,3 +137,22 @@ def test_last_round_alone_finds_every_link(spark, make_docs, monkeypatch):
     monkeypatch.setattr(J, "list_links", lambda rows, sets, n, percent: links(rows, sets, n, percent, rounds=0))
     out = got(J.jaccard_components(make_docs(docs)))
     assert out == brute(docs) and len({c for _, _, c in out}) > 3
+
+
+def test_a_worker_keeps_little_of_much_text(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdef", k=5)) for _ in range(400)) for _ in range(1500)]
+    monkeypatch.setattr(fingerprints, "POWERS", (fingerprints.Powers(0), fingerprints.Powers(1)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    at = 0
+    for b, data, offsets in J._slices([batch]):
+        ends, values = J.shingles(data, offsets, 5)
+        assert [int(x) for x in ends[1:] - ends[:-1]] == [len(shingle_set(x)) for x in texts[at:at + len(b)]]
+        at += len(b)
+    assert at == len(texts) and max(len(p.up) for p in fingerprints.POWERS) <= 1 << 18
+
+
+def test_what_other_operators_keep_is_let_go():
+    common.kept("anything", 1, lambda: [1])
+    common.release()
+    assert not common._KEPT
