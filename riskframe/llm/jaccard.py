@@ -181,12 +181,13 @@ def _shared(m: DataFrame, sizes: DataFrame, enough, rounds: int = 2) -> DataFram
     for k in range(rounds):
         # written, so that the join below has a plain exchange on both sides and hot lists split
         df = written(m.select("token").groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
-        held = m.select("token", "cls").join(df, "token")
+        discard(spark)                    # after each step: what it shuffled is not needed again
+        held = written(m.select("token", "cls").join(df, "token"), "lists-held")
+        discard(spark, df, *([m] if hasattr(m, "scratch_path") else []))
         keep = held.groupBy("cls").agg(F.count("*").alias("have")).join(sizes, "cls").where(
             F.col("have") >= enough(F.col("n"))).select("cls", "have")
-        new = written(held.join(keep, "cls"), "lists")
-        discard(spark, m, df)
-        m = new
+        m = written(held.join(keep, "cls"), "lists")
+        discard(spark, held)
     return m
 
 
@@ -211,7 +212,7 @@ def inverted_lists(whole: DataFrame, percent: int = PERCENT) -> DataFrame:
     a link must hit at least once. ``share``: part of the set that other candidates have."""
     spark = whole.sparkSession
     sizes = whole.select("cls", F.size("tokens").alias("n"))
-    m = written(whole.select("cls", F.explode("tokens").alias("token")), "lists")
+    m = whole.select("cls", F.explode("tokens").alias("token"))      # not written: its lists are sets turned over
     need = lambda n: F.ceil(percent * n / 100).cast("int")
     m = _shared(m, sizes, need)
     rare = Window.partitionBy("cls").orderBy("df", "token")          # as many rows as a set has
@@ -222,9 +223,9 @@ def inverted_lists(whole: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out
 
 
-def _whole_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``(cls, tokens)`` of the wanted classes, from the text of one row of each."""
-    rep = (sets.join(wanted, "cls").groupBy("cls")
+def _whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``(cls, tokens)`` of the wanted rows' classes, from the text of one row of each."""
+    rep = (wanted.groupBy("cls")
            .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-1)), "doc_id", "text_key")).alias("r"))
            .select("cls", F.col("r.doc_id").alias("rep_id"), F.col("r.text_key").alias("rep_key")))
     j = rows.join(rep, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
@@ -275,10 +276,15 @@ def verified(pairs: DataFrame, whole: DataFrame, percent: int = PERCENT) -> Data
 
 
 def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT, rounds: int = 3) -> DataFrame:
-    """Links ``(a, b)`` between heavy classes, enough of them to connect every component."""
+    """Links ``(a, b)`` between heavy classes, enough of them to connect every component.
+    ``sets`` (written) goes as soon as the candidates are known: it is mostly listed shingles,
+    which the inverted lists do not need beside them."""
     spark = rows.sparkSession
-    whole = written(_whole_sets(rows, sets, candidates(sets, percent), n), "whole-sets")
-    discard(spark)
+    some = candidates(sets, percent)
+    wanted = written(sets.select("doc_id", "text_key", "cls").join(some, "cls"), "candidate-rows")
+    discard(spark, sets, some)
+    whole = written(_whole_sets(rows, wanted, n), "whole-sets")
+    discard(spark, wanted)
     lists = inverted_lists(whole, percent)
     links, comp, led = [], None, None
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
@@ -340,13 +346,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = PERCENT, id_c
     rows = narrow(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
     light = boundary(percent=percent)
     sets = written(shingle_sets(rows, n, percent, light), "shingle-sets")
-    links = subset_links(sets, percent).union(list_links(rows, sets, n, percent))
+    thin = written(sets.select("doc_id", "text_key", "n", "cls"), "nodes")
+    few = written(subset_links(sets, percent), "subset-links")
+    discard(docs.sparkSession)
+    links = few.union(list_links(rows, sets, n, percent))
     comp = connected_components(links).select(F.col("node").alias("cls"), "component")
-    nodes = sets.select("doc_id", "text_key", "n", "cls").join(comp, "cls", "left")
+    nodes = thin.join(comp, "cls", "left")
     nodes = nodes.withColumn("component", F.coalesce("component", "cls"))
     first = nodes.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("first"))
     out = nodes.where("n > 0").join(first, "component").select(
         "doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), F.col("first").alias("component_id"), "cls")
-    empty = sets.where("n = 0").select("doc_id", "text_key", F.lit(0).cast("long").alias("n_shingles"),
+    empty = thin.where("n = 0").select("doc_id", "text_key", F.lit(0).cast("long").alias("n_shingles"),
                                        F.col("doc_id").alias("component_id"), "cls")
     return out.union(empty)

@@ -156,3 +156,29 @@ def test_what_other_operators_keep_is_let_go():
     common.kept("anything", 1, lambda: [1])
     common.release()
     assert not common._KEPT
+
+
+def test_disk_is_given_back_between_the_steps(spark, make_docs, monkeypatch):
+    """op8's disk: the listed shingles go before the inverted lists are made, and a list table is
+    never beside the next one's shuffles of its own join."""
+    live, seen = set(), {}
+    names = {}
+
+    def write(df, name, f=J.written):
+        out = f(df, name)
+        names[out.scratch_path] = name
+        live.add(out.scratch_path)
+        seen.setdefault(name, []).append({names[p] for p in live})
+        return out
+
+    def drop(s, *tables, f=J.discard):
+        live.difference_update(t.scratch_path for t in tables)
+        f(s, *tables)
+    monkeypatch.setattr(J, "written", write)
+    monkeypatch.setattr(J, "discard", drop)
+    base = [f"w{k}" for k in range(40)]
+    docs = [(i, " ".join([*base[:i % 7], f"v{i % 5}", *base[i % 7:]])) for i in range(30)]
+    assert got(J.jaccard_components(make_docs(docs))) == brute(docs)
+    for name in ("whole-sets", "inverted-lists"):
+        assert all("shingle-sets" not in x for x in seen[name])
+    assert len(seen["lists-held"]) == 4 and all("list-sizes" not in x for x in seen["lists"][1:])
