@@ -82,7 +82,9 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) ->
     spark = docs.sparkSession
     pos = F.struct(*POS)
     first = [F.col(f"first.{p}").alias(o) for p, o in zip(POS, OWN)]
-    found = _lines(docs).where(F.col("n") >= min_words)
+    found = _lines(docs)
+    if min_words > 1:                     # a line that is left has a word
+        found = found.where(F.col("n") >= min_words)
     lines = written(found.select(
         *POS, *_keys(), F.when(F.col("n") >= near_words, _half_keys()).alias("halves")), "lines")
     classes = written(lines.groupBy(*CLASS).agg(
@@ -94,10 +96,10 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) ->
     # classes that share a half with another class
     halves = classes.where(F.col("halves").isNotNull()).select(*OWN, F.explode("halves").alias("half"))
     # written (as other grouped sides of joins below): the join then has a plain exchange on
-    # both sides, so that hot keys split
+    # both sides, so that hot keys split; merged at every size, as they grow with the corpus
     shared = written(halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "line-halves")
     discard(spark)
-    near = written(halves.join(shared, "half").select(*OWN).distinct(), "line-near")
+    near = written(halves.join(shared.hint("merge"), "half").select(*OWN).distinct(), "line-near")
     discard(spark, shared)
 
     # their words, from the documents that hold their first lines
@@ -113,7 +115,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, near_words: int = 2) ->
     witness = written(_witnesses(words), "line-witnesses")
     discard(spark, words)
     w = witness.select(*[F.col(o).alias(f"w_{o}") for o in OWN], F.lit(True).alias("is_near"))
-    gone = written(classes.drop("halves").join(w, _same(OWN, [f"w_{o}" for o in OWN]), "left")
+    gone = written(classes.drop("halves").join(w.hint("merge"), _same(OWN, [f"w_{o}" for o in OWN]), "left")
                    .where("copies > 1 or is_near").select(*CLASS, *OWN, "is_near"), "line-gone")
     discard(spark, classes, witness)
     later = pos > F.struct(*[F.col(o).alias(p) for p, o in zip(POS, OWN)])
@@ -131,37 +133,44 @@ def _same(a, b) -> Column:
 def _witnesses(words: DataFrame) -> DataFrame:
     """Classes with a verified line one edit away that is earlier than their first."""
     spark = words.sparkSession
-    w = words.select(*OWN, "n", F.posexplode("words").alias("i", "word"))
-    line = Window.partitionBy(*OWN)
-    before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    after = line.orderBy("i").rowsBetween(1, Window.unboundedFollowing)
+    v = ["vx", "vy"]
     zero = F.lit(0).cast("long")
-    here, left = F.col("i"), F.col("i") - 1
-    for s in ("x", "y"):
-        w = w.withColumn(f"h{s}", _place_hash("word", here, s)).withColumn(f"l{s}", _place_hash("word", left, s))
-    # what follows a deleted word moves a place to the left
-    d = w.select(*OWN, "n", "i", *[
-        (F.coalesce(F.sum(f"h{s}").over(before), zero) + F.coalesce(F.sum(f"l{s}").over(after), zero)).alias(f"v{s}")
-        for s in ("x", "y")])
-    variants = written(d, "line-variants")
+    total = lambda seed, shift: F.aggregate(
+        F.transform("words", lambda word, i: _place_hash(word, i + shift, seed)), zero, lambda a, h: a + h)
+    whole = written(words.select(*OWN, "n", total("x", 0).alias("vx"), total("y", 0).alias("vy")), "line-wholes")
+    # what follows a deleted word moves a place to the left: all places moved (a total of the
+    # line), but those before it (a running sum) as they are. Every frame only grows: a sum
+    # over what follows would be taken anew for each word
+    w = words.select(*OWN, "n", *[total(s, -1).alias(f"t{s}") for s in ("x", "y")], F.posexplode("words").alias("i", "word"))
+    here = {s: _place_hash("word", F.col("i"), s) for s in ("x", "y")}
+    w = w.select(*OWN, "n", "i", *[c for s, h in here.items() for c in (
+        (h - _place_hash("word", F.col("i") - 1, s)).alias(f"d{s}"), (F.col(f"t{s}") - h).alias(f"t{s}"))])
+    upto = Window.partitionBy(*OWN).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    variants = written(w.select(*OWN, "n", "i", *[
+        (F.sum(f"d{s}").over(upto) + F.col(f"t{s}")).alias(f"v{s}") for s in ("x", "y")]), "line-variants")
     discard(spark)                        # the shuffled words of every line, for one
-    whole = written(w.groupBy(*OWN, "n").agg(F.sum("hx").alias("vx"), F.sum("hy").alias("vy")), "line-wholes")
-    discard(spark)
 
-    v = ["vx", "vy"]
     who = F.struct(*OWN)
+    short = whole.select(*OWN, *v, (F.col("n") + 1).alias("n"))      # as variants of a line with a word more
+    # only sums that stand twice can be neighbours; the other variants, mostly nearly all, go
+    key = [*v, "n"]
+    often = written(variants.select(*key).union(short.select(*key)).groupBy(*key).agg(F.count("*").alias("c"))
+                    .where("c > 1").drop("c"), "line-often")
+    discard(spark)
+    alike = written(variants.join(often.hint("merge"), key), "line-alike")
+    discard(spark, variants, often)
     # lines that became equal by deleting at the same place: one replaced word
-    least = written(variants.groupBy(*v, "n", "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
+    least = written(alike.groupBy(*key, "i").agg(F.min(who).alias("m"), F.count("*").alias("c")), "line-least")
     discard(spark)
-    replaced = written(variants.join(least.where("c > 1").drop("c"), [*v, "n", "i"])
+    replaced = written(alike.join(least.where("c > 1").drop("c"), [*key, "i"])
                        .where(F.col("m") < who).select(*OWN, "m"), "line-found")
     discard(spark)
     # a variant of the longer line is the shorter one: one word more or less
-    short = whole.select(*v, (F.col("n") + 1).alias("n"), who.alias("m"))
-    longer = written(variants.join(short, [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
-    discard(spark, variants)
-    shorter = written(whole.withColumn("n", F.col("n") + 1).join(
-        least.groupBy(*v, "n").agg(F.min("m").alias("m")), [*v, "n"]).where(F.col("m") < who).select(*OWN, "m"), "line-found")
+    longer = written(alike.join(short.select(*key, who.alias("m")), key).where(F.col("m") < who).select(*OWN, "m"),
+                     "line-found")
+    discard(spark, alike)
+    shorter = written(short.join(least.groupBy(*key).agg(F.min("m").alias("m")), key)
+                      .where(F.col("m") < who).select(*OWN, "m"), "line-found")
     best = written(replaced.union(longer).union(shorter).groupBy(*OWN).agg(F.min("m").alias("m")), "line-best")
     discard(spark, least, whole, replaced, longer, shorter)
 

@@ -121,3 +121,23 @@ def test_documents_are_never_joined_by_a_broadcast(spark, make_docs, monkeypatch
     assert "strategy=merge" in plan
     assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 2, 3: 0}
     assert freed.count(0) >= 6
+
+
+def test_no_frame_over_what_follows_and_few_variants_go_on(spark, make_docs, monkeypatch):
+    """op2's CPU: a sum over all later words, taken anew for each word, is quadratic in a line;
+    variants that stand once are not joined again and again."""
+    plans, rows = {}, {}
+
+    def write(df, name, f=L.written):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        out = f(df, name)
+        rows[name] = out.count()
+        return out
+    monkeypatch.setattr(L, "written", write)
+    docs = [(i, " ".join(f"w{k}" for k in range(30)) + f" x{i}" + "".join(f" y{i}z{k}" for k in range(5 * (i % 3))))
+            for i in range(40)]
+    want = brute(docs, 1, 2)
+    got = {r.doc_id: r.n_removed for r in L.dedup_lines(make_docs(docs)).collect()}
+    assert got == {d: len(x) for d, x in want.items()} and sum(got.values()) == 13
+    assert "unboundedfollowing" not in plans["line-variants"]
+    assert rows["line-variants"] > 1000 and rows["line-alike"] < 50
