@@ -141,7 +141,9 @@ def _witnesses(words: DataFrame) -> DataFrame:
     # what follows a deleted word moves a place to the left: all places moved (a total of the
     # line), but those before it (a running sum) as they are. Every frame only grows: a sum
     # over what follows would be taken anew for each word
-    w = words.select(*OWN, "n", *[total(s, -1).alias(f"t{s}") for s in ("x", "y")], F.posexplode("words").alias("i", "word"))
+    # a select of its own: beside the generator the totals would be taken again for each word
+    w = words.select(*OWN, "n", "words", *[total(s, -1).alias(f"t{s}") for s in ("x", "y")])
+    w = w.select(*OWN, "n", "tx", "ty", F.posexplode("words").alias("i", "word"))
     here = {s: _place_hash("word", F.col("i"), s) for s in ("x", "y")}
     w = w.select(*OWN, "n", "i", *[c for s, h in here.items() for c in (
         (h - _place_hash("word", F.col("i") - 1, s)).alias(f"d{s}"), (F.col(f"t{s}") - h).alias(f"t{s}"))])
