@@ -46,6 +46,7 @@ PERCENT = 80
 LISTED = 30                     # a set lists its least LISTED - (100 - percent) percent above the plain prefix
 SLICE = 1 << 20                 # bytes of text worked on at once
 BITS = 8                        # 64-bit words of a set's parity bits
+PARTS = 3                       # listed shingles, and texts, are shuffled in so many parts, one by one
 MOST_SUBSETS = 128              # light sets never have more subsets than this
 SETS = "doc_id long, text_key long, n int, cls long, listed array<long>, subsets array<struct<key:long,k:int>>"
 
@@ -173,20 +174,37 @@ def subset_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return j.where(ok).select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct()
 
 
-def _shared(m: DataFrame, sizes: DataFrame, enough, rounds: int = 2) -> DataFrame:
+def _in_parts(parts, name: str) -> list[DataFrame]:
+    """``parts`` written one after another. What a part shuffles can go before the next begins:
+    the iterator makes each, and gives back what it needed."""
+    tables = []
+    for part in parts:
+        tables.append(written(part, name))
+        del part                          # else its shuffle files would stay through the next
+    return tables
+
+
+def _as_one(tables: list[DataFrame]) -> DataFrame:
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*[t.scratch_path for t in tables])
+
+
+def _shared(m: DataFrame, sizes: DataFrame, enough, given: list[DataFrame] | None = None,
+            rounds: int = 2) -> DataFrame:
     """Of ``(token, cls)`` the tokens that two classes or more have, with their list's
     length ``df``, and only classes that have at least ``enough(n)`` of them (``have``); ``n``
-    from ``sizes``. A class that goes shortens other lists, so this is done twice."""
+    from ``sizes``. A class that goes shortens other lists, so this is done twice. ``given``: the
+    written tables that ``m`` reads, which go."""
     spark = m.sparkSession
     for k in range(rounds):
         # written, so that the join below has a plain exchange on both sides and hot lists split
         df = written(m.select("token").groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "list-sizes")
         discard(spark)                    # after each step: what it shuffled is not needed again
         held = written(m.select("token", "cls").join(df, "token"), "lists-held")
-        discard(spark, df, *([m] if hasattr(m, "scratch_path") else []))
+        discard(spark, df, *(given or ()))
         keep = held.groupBy("cls").agg(F.count("*").alias("have")).join(sizes, "cls").where(
             F.col("have") >= enough(F.col("n"))).select("cls", "have")
         m = written(held.join(keep, "cls"), "lists")
+        given = [m]
         discard(spark, held)
     return m
 
@@ -195,12 +213,17 @@ def candidates(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``cls`` of the classes whose listed shingles can be part of a link."""
     spark = sets.sparkSession
     sizes = written(sets.select("cls", "n").dropDuplicates(["cls"]), "class-sizes")
-    post = sets.select("cls", F.explode("listed").alias("token"))
-    twice = written(post.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "tokens")
-    discard(spark)
-    m = written(post.join(twice, "token").dropDuplicates(["token", "cls"]), "lists")
-    discard(spark, twice)
-    m = _shared(m, sizes, lambda n: _formula(n, percent)[1])
+
+    def lists():                          # all listed shingles at once would be the most on disk
+        for k in range(PARTS):
+            post = sets.select("cls", F.explode("listed").alias("token")).where(F.pmod("token", F.lit(PARTS)) == k)
+            twice = written(post.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "tokens")
+            discard(spark)
+            yield post.join(twice, "token").dropDuplicates(["token", "cls"])
+            discard(spark, twice)
+
+    given = _in_parts(lists(), "lists")
+    m = _shared(_as_one(given), sizes, lambda n: _formula(n, percent)[1], given)
     out = written(m.select("cls").distinct(), "candidates")
     discard(spark, m, sizes)
     return out
@@ -224,11 +247,11 @@ def inverted_lists(whole: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``(cls, tokens)`` of the wanted rows' classes, from the text of one row of each."""
+    """``(cls, tokens)`` of the wanted rows' classes, from the text of one row of each; written."""
+    spark = rows.sparkSession
     rep = (wanted.groupBy("cls")
            .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-1)), "doc_id", "text_key")).alias("r"))
            .select("cls", F.col("r.doc_id").alias("rep_id"), F.col("r.text_key").alias("rep_key")))
-    j = rows.join(rep, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
 
     def find(batches):
         import numpy as np
@@ -242,8 +265,18 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(np.arange(len(at)) * BITS, pa.int32()), bits)],
                 names=["cls", "tokens", "bits"])
 
-    return (j.select("doc_id", "text", "text_key", "cls").mapInArrow(
-        find, "cls long, tokens array<long>, bits array<long>").dropDuplicates(["cls"]))
+    def sets():                           # every text is shuffled, few stay
+        for k in range(PARTS):
+            part = lambda t, key: t.where(F.pmod(key, F.lit(PARTS)) == k)  # noqa: B023,E731
+            # the classes grow with the corpus: merged at every size, never broadcast
+            j = part(rows, "text_key").join(
+                part(rep, "rep_key").hint("merge"),
+                F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
+            yield (j.select("doc_id", "text", "text_key", "cls").mapInArrow(
+                find, "cls long, tokens array<long>, bits array<long>").dropDuplicates(["cls"]))
+            discard(spark)
+
+    return _as_one(_in_parts(sets(), "whole-sets"))
 
 
 def parity_bits(at, value):
@@ -283,7 +316,7 @@ def list_links(rows: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT,
     some = candidates(sets, percent)
     wanted = written(sets.select("doc_id", "text_key", "cls").join(some, "cls"), "candidate-rows")
     discard(spark, sets, some)
-    whole = written(_whole_sets(rows, wanted, n), "whole-sets")
+    whole = _whole_sets(rows, wanted, n)
     discard(spark, wanted)
     lists = inverted_lists(whole, percent)
     links, comp, led = [], None, None

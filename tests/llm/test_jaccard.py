@@ -182,3 +182,25 @@ def test_disk_is_given_back_between_the_steps(spark, make_docs, monkeypatch):
     for name in ("whole-sets", "inverted-lists"):
         assert all("shingle-sets" not in x for x in seen[name])
     assert len(seen["lists-held"]) == 4 and all("list-sizes" not in x for x in seen["lists"][1:])
+
+
+def test_listed_shingles_and_texts_are_shuffled_in_parts(spark, make_docs, monkeypatch):
+    """op8's disk: neither all listed shingles nor all texts are in shuffle files at once, and the
+    join with the texts is the same at every size, so that a small run tells of a large one."""
+    made = {}
+
+    def write(df, name, f=J.written):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = f(df, name)
+        made.setdefault(name, []).append((out.count(), plan))
+        return out
+    monkeypatch.setattr(J, "written", write)
+    base = [f"w{k}" for k in range(40)]
+    docs = [(i, " ".join([*base[:i % 37], f"v{i % 29}", *base[i % 37:]])) for i in range(60)]
+    docs += [(100, docs[3][1]), (101, None), (102, "")]
+    assert got(J.jaccard_components(make_docs(docs))) == brute(docs)
+    assert len(made["whole-sets"]) == len(made["tokens"]) == J.PARTS > 1
+    for name in ("whole-sets", "tokens"):
+        rows = [n for n, _ in made[name]]
+        assert max(rows) < sum(rows), (name, rows)
+    assert all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for _, p in made["whole-sets"])
